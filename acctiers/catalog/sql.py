@@ -184,8 +184,8 @@ where w.frequency_12m >= {min_orders}"""
 def labels_sql(customers: str, as_of: str, horizon: int = 180, quantile: float = 0.8) -> str:
     a = _d(as_of)
     return f"""
-select customer_id, future_revenue, future_orders, cast(future_orders = 0 as integer) as churned,
-       cast(future_revenue > (quantile_cont(future_revenue, {quantile}) over ()) as integer) as high_value
+select customer_id, future_revenue, future_orders, cast(future_orders = 0 as bigint) as churned,
+       cast(future_revenue > (quantile_cont(future_revenue, {quantile}) over ()) as bigint) as high_value
 from (
   select k.customer_id, coalesce(round(sum(o.net_revenue), 4), 0.0) as future_revenue, count(o.order_id) as future_orders
   from {customers} k left join fct_orders o
@@ -199,7 +199,7 @@ def filled_sql(features: str, cfg: dict | None = None) -> str:
     for name, spec in (cfg or TIERING)["features"].items():
         filled = f"coalesce(cast({name} as double), (select median(cast({name} as double)) from {features}), 0.0)"
         cols.append(f"ln(1 + greatest({filled}, 0.0)) as {name}" if spec["transform"] == "log1p" else f"{filled} as {name}")
-    return f"select customer_id, {', '.join(cols)} from {features}"
+    return f"select customer_id, as_of_date, {', '.join(cols)} from {features}"
 
 
 def oriented_sql(filled: str, cfg: dict | None = None) -> str:
@@ -210,7 +210,7 @@ def oriented_sql(filled: str, cfg: dict | None = None) -> str:
         lo = f"(select quantile_cont({name}, {low}) from {filled})"
         hi = f"(select quantile_cont({name}, {high}) from {filled})"
         cols.append(f"least(greatest({name}, {lo}), {hi}) * {spec['direction']}.0 + 0.0 as {name}")
-    return f"select customer_id, {', '.join(cols)} from {filled}"
+    return f"select customer_id, as_of_date, {', '.join(cols)} from {filled}"
 
 
 def average_rank_sql(column: str, by: str = "") -> str:
@@ -222,7 +222,7 @@ def average_rank_sql(column: str, by: str = "") -> str:
 
 def percentile_sql(oriented: str, cfg: dict | None = None) -> str:
     cols = [f"{average_rank_sql(n)} / count(*) over () as {n}" for n in (cfg or TIERING)["features"]]
-    return f"select customer_id, {', '.join(cols)} from {oriented}"
+    return f"select customer_id, as_of_date, {', '.join(cols)} from {oriented}"
 
 
 def score_expression(weights: dict[str, float], prefix: str = "") -> str:
@@ -239,7 +239,7 @@ def expert_weights(cfg: dict | None = None) -> dict[str, float]:
 def score_sql(normalized: str, cfg: dict | None = None) -> str:
     names = list((cfg or TIERING)["features"])
     scores = ", ".join(f"{n} as {n}_score" for n in names)
-    return f"select customer_id, {scores}, {score_expression(expert_weights(cfg))} as composite_score from {normalized}"
+    return f"select customer_id, as_of_date, {scores}, {score_expression(expert_weights(cfg))} as composite_score from {normalized}"
 
 
 def tiers_sql(scores: str, cfg: dict | None = None) -> str:
@@ -253,7 +253,7 @@ def tiers_sql(scores: str, cfg: dict | None = None) -> str:
         ranks.append(f"when '{name}' then {position}")
     tier = f"case {' '.join(arms)} else '{tiers[-1][0]}' end"
     return f"""
-select * exclude (share), cast(case tier {' '.join(ranks)} end as integer) as tier_rank from (
+select * exclude (share), cast(case tier {' '.join(ranks)} end as bigint) as tier_rank from (
   select *, {tier} as tier from (
     select *, row_number() over (order by composite_score desc, customer_id) / cast(count(*) over () as double) as share,
            round({average_rank_sql('composite_score')} / count(*) over (), 4) as score_percentile
@@ -269,7 +269,7 @@ def add_tiering(tag: str, as_of: str, lookback: int = 365) -> None:
     PARTS[f"scores_{tag}"] = score_sql(f"percentile_{tag}")
     PARTS[f"tiers_{tag}"] = tiers_sql(f"scores_{tag}")
     PARTS[f"scored_{tag}"] = (
-        f"select f.*, t.* exclude (customer_id) from features_{tag} f join tiers_{tag} t on t.customer_id = f.customer_id"
+        f"select f.*, t.* exclude (customer_id, as_of_date) from features_{tag} f join tiers_{tag} t on t.customer_id = f.customer_id"
     )
 
 

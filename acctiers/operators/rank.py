@@ -23,6 +23,9 @@ from acctiers.session import freeze
 
 _STRIDE = 16
 
+# A table known to have at most this many rows is ranked by one plain window per group.
+SMALL = 1_000_000
+
 
 def _cut_values(df: DataFrame, value: str, by: Sequence[str], buckets: int) -> DataFrame:
     """One row per group: sorted distinct cut values, and every 16th of them for a coarse search."""
@@ -51,16 +54,19 @@ def average_rank(
     total: str | None = None,
     buckets: int = 256,
     method: str = "average",
+    rows: int | None = None,
 ) -> DataFrame:
     """Add the rank (1 = smallest) of a non-null numeric column; ties share the mean of their places,
     or the lowest of them with ``method="min"``.
 
     ``by`` names grouping columns with few distinct values (a feature name, a tier pair);
-    ``total`` adds the group's row count.  ``df`` is read four times, so pass a table that is
-    cheap to read (stored or frozen).
+    ``total`` adds the group's row count; ``rows`` is the table's row count where the caller knows
+    it.  ``df`` is read four times, so pass a table that is cheap to read (stored or frozen).
     """
     by = list(by)
     columns = df.columns
+    if rows is not None and rows <= SMALL:
+        return _small_rank(df, value, by, rank, total, method)
     group = ["_group", *by]
     source = df.withColumn("_group", F.lit(0)).withColumn("_v", F.col(value).cast("double"))
     cuts = _cut_values(source, "_v", group, buckets)
@@ -92,6 +98,15 @@ def average_rank(
     return ranked.select(*columns, (F.col("_before") + F.col("_inside")).alias(rank), *extra)
 
 
+def _small_rank(df: DataFrame, value: str, by: list[str], rank: str, total: str | None, method: str) -> DataFrame:
+    group = by or [F.lit(0)]
+    place = F.rank().over(Window.partitionBy(*group).orderBy(value)).cast("double")
+    if method == "average":
+        place = place + (F.count(F.lit(1)).over(Window.partitionBy(*group, value)) - 1) / F.lit(2.0)
+    extra = [F.count(F.lit(1)).over(Window.partitionBy(*group)).alias(total)] if total else []
+    return df.select("*", place.alias(rank), *extra)
+
+
 def percent_rank_average(df: DataFrame, value: str, by: Sequence[str] = (), out: str = "pct", **kw) -> DataFrame:
     """Average rank divided by the group's size, in (0, 1]."""
     ranked = average_rank(df, value, by, rank="_rank", total="_size", **kw)
@@ -137,14 +152,29 @@ def ordinal_rank(
     order: Sequence[Column],
     rank: str = "rank",
     total: str | None = None,
+    by: Sequence[str] = (),
     partitions: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Row number 1..n over the whole table in ``order`` (which must be a total order)."""
-    positions = sorted_positions(df, order, partitions)
+    """Row number 1..n in ``order`` (a total order), per group where ``by`` names few-valued columns."""
+    by = list(by)
+    group = Window.partitionBy(*(by or [F.lit(0)]))
+    if rows is not None and rows <= SMALL:
+        extra = [F.count(F.lit(1)).over(group).alias(total)] if total else []
+        return df.select("*", F.row_number().over(group.orderBy(*order)).cast("bigint").alias(rank), *extra)
+    positions = sorted_positions(df, [*[F.col(c).asc() for c in by], *order], partitions)
     offsets = _partition_offsets(positions)
-    extra = [F.col("_rows_total").alias(total)] if total else []
-    return positions.join(F.broadcast(offsets), "_part").select(
-        *df.columns, (F.col("_rows_before") + F.col("_index") + 1).alias(rank), *extra
+    placed = positions.join(F.broadcast(offsets), "_part").withColumn(
+        "_place", F.col("_rows_before") + F.col("_index") + 1
+    )
+    if not by:
+        extra = [F.col("_rows_total").alias(total)] if total else []
+        return placed.select(*df.columns, F.col("_place").alias(rank), *extra)
+    starts = placed.groupBy(*by).agg(F.min("_place").alias("_start"), F.count(F.lit(1)).alias("_size"))
+    extra = [F.col("_size").alias(total)] if total else []
+    # one row per group
+    return placed.join(F.broadcast(starts), by).select(
+        *df.columns, (F.col("_place") - F.col("_start") + 1).alias(rank), *extra
     )
 
 
@@ -174,12 +204,12 @@ def exact_quantiles(
     value: str,
     probs: Sequence[float],
     by: Sequence[str] = (),
-    single_pass_rows: int = 1_000_000,
+    rows: int | None = None,
     accuracy: int = 10_000,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: columns ``by``, ``p``, ``quantile``.
 
-    Up to ``single_pass_rows`` rows the built-in exact percentile does it in one aggregate.  Beyond,
+    Up to ``SMALL`` rows (``rows``, or counted here) the built-in exact percentile does it in one aggregate.  Beyond,
     its per-group value map would not fit one task, so an approximate sketch brackets each wanted
     position, one pass counts the values below and inside each bracket, and the two neighbours of
     the position are read from the bracket's histogram.  A bracket that misses its position is
@@ -189,7 +219,7 @@ def exact_quantiles(
     probs = [float(p) for p in probs]
     group = ["_group", *by]
     source = df.select(F.lit(0).alias("_group"), *by, F.col(value).cast("double").alias("_v")).filter("_v is not null")
-    if source.count() <= single_pass_rows:
+    if (source.count() if rows is None else rows) <= SMALL:
         wide = source.groupBy(*by).agg(F.percentile("_v", F.array(*map(F.lit, probs))).alias("_q"))
         at = F.posexplode("_q").alias("_i", "quantile")
         return wide.select(*by, at).select(*by, F.get(_literals(probs), F.col("_i")).alias("p"), "quantile").filter(

@@ -183,6 +183,7 @@ def forward_labels(
     as_of: date | str,
     horizon_days: int = 180,
     high_value_quantile: float = 0.8,
+    rows: int | None = None,
 ) -> DataFrame:
     """Outcomes in ``(as_of, as_of + horizon]`` for the customers given in ``customers``.
 
@@ -202,7 +203,7 @@ def forward_labels(
         F.coalesce("future_revenue", F.lit(0.0)).alias("future_revenue"),
         F.coalesce("future_orders", F.lit(0).cast("bigint")).alias("future_orders"),
     )
-    threshold = exact_quantiles(labels, "future_revenue", [high_value_quantile]).select("quantile").scalar()
+    threshold = exact_quantiles(labels, "future_revenue", [high_value_quantile], rows=rows).select("quantile").scalar()
     return labels.withColumns(
         {
             "churned": (F.col("future_orders") == 0).cast("int"),

@@ -89,15 +89,11 @@ def judge(orders: DataFrame, run: TierRun, cfg: dict | None = None) -> DataFrame
     """Scored customers with what they did afterwards; frozen, as every test reads it."""
     cfg = cfg or TIERING
     labels = forward_labels(
-        orders, run.features, run.as_of, cfg["horizon_days"], cfg["validation"]["high_value_quantile"]
+        orders, run.features, run.as_of, cfg["horizon_days"], cfg["validation"]["high_value_quantile"], run.rows
     )
     return freeze(run.tiers.join(labels, "customer_id"))
 
 
-def normalized_features(run: TierRun, names: list[str]) -> DataFrame:
-    return run.scored.scores.select("customer_id", *[F.col(f"{n}_score").alias(n) for n in names])
-
-
 def backtest(
     orders: DataFrame,
     lines: DataFrame,
@@ -114,10 +110,12 @@ def backtest(
     cfg = cfg or TIERING
     v = cfg["validation"]
     start = as_date(as_of) - timedelta(days=cfg["horizon_days"])
-    past = score_customers(orders, lines, customers, start, cfg)
-    current = current or score_customers(orders, lines, customers, as_of, cfg)
+    if current is None:
+        both = score_customers(orders, lines, customers, [start, as_of], cfg)
+        past, current = both.at(start), both.at(as_of)
+    else:
+        past = score_customers(orders, lines, customers, start, cfg)
     judged = judge(orders, past, cfg)
-    names = list(cfg["features"])
     fitted = B.out_of_fold(judged, MODEL_FEATURES, folds=v["folds"], seed=v["seed"], models=models)
     metrics = B.model_metrics(fitted)
     best = B.best_model(metrics).first()[0]
@@ -134,7 +132,7 @@ def backtest(
         monotonic=V.monotonic_outcomes(judged),
         spearman=V.bootstrap_spearman(judged, "composite_score", "future_revenue", v["bootstrap"], v["seed"]),
         sensitivity=V.weight_sensitivity(
-            normalized_features(past, names),
+            past.normalized(),
             past.scored.weights,
             cfg["tiers"],
             draws=v["draws"],
@@ -250,19 +248,18 @@ def run_tiering(
 def backfill_history(
     store: Store, as_of_dates: list[date | str], run_id: str, cfg: dict | None = None
 ) -> None:
-    """Tier history for several dates, one idempotent partition each."""
+    """Tier history for several dates from one pass, one idempotent partition each."""
     orders, lines, customers = load_inputs(store)
     at = datetime.now(UTC)
-    for day in as_of_dates:
-        tiers = score_customers(orders, lines, customers, day, cfg).tiers
-        history = tiers.select(
-            "customer_id",
-            "composite_score",
-            "tier",
-            "tier_rank",
-            F.lit(None).cast("string").alias("segment"),
-            F.lit(run_id).alias("run_id"),
-            F.lit(at).cast("timestamp").alias("scored_at"),
-            "as_of_date",
-        )
-        store.replace_partition(history, "tiering/customer_tier_history", "as_of_date")
+    tiers = score_customers(orders, lines, customers, as_of_dates, cfg).tiers
+    history = tiers.select(
+        "customer_id",
+        "composite_score",
+        "tier",
+        "tier_rank",
+        F.lit(None).cast("string").alias("segment"),
+        F.lit(run_id).alias("run_id"),
+        F.lit(at).cast("timestamp").alias("scored_at"),
+        "as_of_date",
+    )
+    store.replace_partition(history, "tiering/customer_tier_history", "as_of_date")

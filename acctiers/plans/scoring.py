@@ -1,11 +1,18 @@
-"""Composite score: fill, transform, winsorise, orient, normalise, weight."""
+"""Composite score: fill, transform, winsorise, orient, normalise, weight.
+
+Every step works per ``as_of_date``, so one pass scores one date or a whole back-fill.  Medians,
+bounds and the like are a few numbers per date and feature; they come back to the driver and enter
+the next step as literals, so no step joins.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import reduce
+from datetime import date
+from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acctiers.functions.exprs import clip, log_positive, normal_cdf
@@ -13,89 +20,98 @@ from acctiers.operators.rank import exact_quantiles, percent_rank_average
 from acctiers.settings import TIERING
 
 EPSILON = 1e-9
+ID = ["as_of_date", "customer_id"]
 
 
 @dataclass
 class Scored:
-    """``scores``: customer_id, ``<feature>_score`` in [0, 1] and ``composite_score`` in [0, 100]."""
+    """``scores``: as_of_date, customer_id, ``<feature>_score`` in [0, 1], ``composite_score`` in [0, 100]."""
 
     scores: DataFrame
     oriented: DataFrame
     weights: dict[str, float]
     expert: dict[str, float]
-    entropy: dict[str, float]
 
+    @cached_property
+    def entropy(self) -> dict[str, float]:
+        """Entropy weights of the (single) date; worked out only when asked for."""
+        return entropy_weights(self.oriented, list(self.expert))
 
-def to_long(df: DataFrame, names: list[str], id_col: str = "customer_id") -> DataFrame:
-    return df.select(id_col, *[F.col(n).cast("double").alias(n) for n in names]).unpivot(
-        id_col, names, "feature", "value"
-    )
+
+def to_long(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.select(*ID, *[F.col(n).cast("double").alias(n) for n in names]).unpivot(ID, names, "feature", "value")
+
+
+def by_date(values: Mapping[date, float], default: float = 0.0) -> Column:
+    """The number belonging to the row's as-of date."""
+    if len(set(values.values())) <= 1:
+        return F.lit(float(next(iter(values.values()), default)))
+    pairs = [x for day, v in values.items() for x in (F.lit(day), F.lit(float(v)))]
+    return F.coalesce(F.create_map(*pairs)[F.col("as_of_date")], F.lit(default))
 
 
-def _quantile_table(df: DataFrame, names: list[str], probs: list[float]) -> dict[tuple[str, float], float]:
-    rows = exact_quantiles(to_long(df, names), "value", probs, by=["feature"]).collect()  # features x probs
-    return {(r["feature"], r["p"]): r["quantile"] for r in rows}
+def _quantile_table(df: DataFrame, names: list[str], probs: list[float], rows: int | None) -> dict:
+    """(feature, p) -> {date: quantile}; dates x features x probs numbers."""
+    found = exact_quantiles(to_long(df, names), "value", probs, by=["as_of_date", "feature"], rows=rows)
+    table: dict[tuple[str, float], dict[date, float]] = {}
+    for r in found.collect():
+        table.setdefault((r["feature"], r["p"]), {})[r["as_of_date"]] = r["quantile"]
+    return table
 
 
-def prepare(features: DataFrame, spec: dict, winsor: tuple[float, float] | None) -> DataFrame:
+def prepare(features: DataFrame, spec: dict, winsor: tuple[float, float] | None, rows: int | None = None) -> DataFrame:
     """Oriented feature values, higher always better.
 
     Order matters: missing values take the median before the log, and the winsor bounds are
     quantiles of the transformed value (an interpolated quantile does not commute with a log).
     """
     names = list(spec)
-    medians = _quantile_table(features, names, [0.5])
-    filled = features.select("customer_id", *[F.col(n).cast("double").alias(n) for n in names])
-    filled = filled.withColumns(
-        {n: F.coalesce(F.col(n), F.lit(medians.get((n, 0.5), 0.0))) for n in names}
-    )
-    moved = filled.withColumns(
-        {n: log_positive(F.col(n)) for n in names if spec[n].get("transform") == "log1p"}
-    )
+    cells = None if rows is None else rows * len(names)
+    medians = _quantile_table(features, names, [0.5], cells)
+    filled = features.select(*ID, *[F.col(n).cast("double").alias(n) for n in names])
+    filled = filled.withColumns({n: F.coalesce(F.col(n), by_date(medians.get((n, 0.5), {}))) for n in names})
+    moved = filled.withColumns({n: log_positive(F.col(n)) for n in names if spec[n].get("transform") == "log1p"})
     if winsor:
         low, high = winsor
-        bounds = _quantile_table(moved, names, [low, high])
+        bounds = _quantile_table(moved, names, [low, high], cells)
         moved = moved.withColumns(
-            {n: clip(F.col(n), F.lit(bounds[n, low]), F.lit(bounds[n, high])) for n in names}
+            {n: clip(F.col(n), by_date(bounds[n, low]), by_date(bounds[n, high])) for n in names}
         )
     # + 0.0 turns -0.0 into 0.0
     return moved.withColumns({n: F.col(n) * F.lit(float(spec[n].get("direction", 1))) + F.lit(0.0) for n in names})
 
 
-def normalize_percentile(oriented: DataFrame, names: list[str]) -> DataFrame:
+def normalize_percentile(oriented: DataFrame, names: list[str], rows: int | None = None) -> DataFrame:
     """Average rank / n for every feature at once, ranked in long form and folded back per customer."""
-    ranked = percent_rank_average(to_long(oriented, names), "value", by=["feature"], out="pct")
-    return ranked.groupBy("customer_id").agg(
-        *[F.max(F.when(F.col("feature") == n, F.col("pct"))).alias(n) for n in names]
-    )
+    long = to_long(oriented, names)
+    cells = None if rows is None else rows * len(names)
+    ranked = percent_rank_average(long, "value", by=["as_of_date", "feature"], out="pct", rows=cells)
+    return ranked.groupBy(*ID).agg(*[F.max(F.when(F.col("feature") == n, F.col("pct"))).alias(n) for n in names])
 
 
-def _one_row(oriented: DataFrame, aggregates: dict) -> dict[str, float]:
-    return oriented.agg(*[c.alias(n) for n, c in aggregates.items()]).first().asDict()
+def _per_date(oriented: DataFrame, aggregates: dict[str, Column]) -> dict[str, dict[date, float]]:
+    rows = oriented.groupBy("as_of_date").agg(*[c.alias(n) for n, c in aggregates.items()]).collect()
+    return {n: {r["as_of_date"]: r[n] for r in rows} for n in aggregates}
 
 
-def normalize_minmax(oriented: DataFrame, names: list[str]) -> DataFrame:
-    ends = _one_row(
-        oriented, {**{f"lo_{n}": F.min(n) for n in names}, **{f"hi_{n}": F.max(n) for n in names}}
-    )
-    return oriented.select("customer_id", *[_minmax(n, ends).alias(n) for n in names])
+def normalize_minmax(oriented: DataFrame, names: list[str], rows: int | None = None) -> DataFrame:
+    ends = _per_date(oriented, {f"{e}_{n}": f(n) for n in names for e, f in (("lo", F.min), ("hi", F.max))})
 
+    def scaled(n: str) -> Column:
+        spans = {d: (ends[f"hi_{n}"][d] - low) or 1.0 for d, low in ends[f"lo_{n}"].items()}
+        return (F.col(n) - by_date(ends[f"lo_{n}"])) / by_date(spans, 1.0)
 
-def _minmax(name: str, ends: dict[str, float]):
-    low, high = ends[f"lo_{name}"], ends[f"hi_{name}"]
-    return (F.col(name) - F.lit(low)) / F.lit((high - low) or 1.0)
+    return oriented.select(*ID, *[scaled(n).alias(n) for n in names])
 
 
-def normalize_zscore(oriented: DataFrame, names: list[str]) -> DataFrame:
-    stats = _one_row(
-        oriented,
-        {**{f"mu_{n}": F.avg(n) for n in names}, **{f"sd_{n}": F.stddev_pop(n) for n in names}},
-    )
-    z = [
-        normal_cdf((F.col(n) - F.lit(stats[f"mu_{n}"])) / F.lit(stats[f"sd_{n}"] or 1.0)).alias(n)
-        for n in names
-    ]
-    return oriented.select("customer_id", *z)
+def normalize_zscore(oriented: DataFrame, names: list[str], rows: int | None = None) -> DataFrame:
+    stats = _per_date(oriented, {f"{e}_{n}": f(n) for n in names for e, f in (("mu", F.avg), ("sd", F.stddev_pop))})
+
+    def probability(n: str) -> Column:
+        spread = {d: sd or 1.0 for d, sd in stats[f"sd_{n}"].items()}
+        return normal_cdf((F.col(n) - by_date(stats[f"mu_{n}"])) / by_date(spread, 1.0))
+
+    return oriented.select(*ID, *[probability(n).alias(n) for n in names])
 
 
 NORMALIZERS = {
@@ -105,10 +121,10 @@ NORMALIZERS = {
 }
 
 
-def normalize(oriented: DataFrame, names: list[str], method: str = "percentile") -> DataFrame:
+def normalize(oriented: DataFrame, names: list[str], method: str = "percentile", rows: int | None = None) -> DataFrame:
     if method not in NORMALIZERS:
         raise ValueError(f"unknown normalization {method!r}")
-    return NORMALIZERS[method](oriented, names)
+    return NORMALIZERS[method](oriented, names, rows)
 
 
 def scale_to_one(weights: dict[str, float]) -> dict[str, float]:
@@ -119,21 +135,14 @@ def scale_to_one(weights: dict[str, float]) -> dict[str, float]:
 
 
 def entropy_table(oriented: DataFrame, names: list[str]) -> DataFrame:
-    """Entropy weight per feature, on min-max values so that dispersion (not rank) counts.
+    """Diversity (1 - entropy) per feature, on min-max values so that dispersion (not rank) counts.
 
     With S = sum x and T = sum x ln x, sum p ln p = T/S - ln S, so two plain aggregates do it.
     """
-    long = to_long(oriented, names)
-    ends = long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    # one row per feature
-    scaled = long.join(F.broadcast(ends), "feature").withColumn(
-        "x",
-        (F.col("value") - F.col("lo"))
-        / F.when(F.col("hi") == F.col("lo"), 1.0).otherwise(F.col("hi") - F.col("lo"))
-        + F.lit(EPSILON),
-    )
-    sums = scaled.groupBy("feature").agg(
-        F.sum("x").alias("s"), F.sum(F.col("x") * F.log("x")).alias("t"), F.count(F.lit(1)).alias("n")
+    long = normalize_minmax(oriented, names).unpivot(ID, names, "feature", "x")
+    x = F.col("x") + F.lit(EPSILON)
+    sums = long.groupBy("feature").agg(
+        F.sum(x).alias("s"), F.sum(x * F.log(x)).alias("t"), F.count(F.lit(1)).alias("n")
     )
     entropy = -(F.col("t") / F.col("s") - F.log("s")) / F.log(F.col("n").cast("double"))
     return sums.select(
@@ -148,7 +157,11 @@ def entropy_weights(oriented: DataFrame, names: list[str]) -> dict[str, float]:
     return scale_to_one({n: diversity[n] for n in names})
 
 
-def resolve_weights(method: str, expert: dict[str, float], entropy: dict[str, float]) -> dict[str, float]:
+def expert_weights(cfg: dict) -> dict[str, float]:
+    return scale_to_one({n: float(s["weight"]) for n, s in cfg["features"].items()})
+
+
+def resolve_weights(method: str, expert: dict[str, float], entropy: dict[str, float] | None) -> dict[str, float]:
     if method == "config":
         return expert
     if method == "entropy":
@@ -158,24 +171,33 @@ def resolve_weights(method: str, expert: dict[str, float], entropy: dict[str, fl
     raise ValueError(f"unknown weighting {method!r}")
 
 
-def weighted_score(weights: dict[str, float], suffix: str = ""):
+def weighted_score(weights: dict[str, float], suffix: str = "") -> Column:
     """Weighted sum x 100, held to 0..100 and rounded to four places."""
     total = reduce(lambda a, b: a + b, [F.col(n + suffix) * F.lit(w) for n, w in weights.items()])
     return F.round(clip(total * 100, F.lit(0.0), F.lit(100.0)), 4)
 
 
-def composite_score(features: DataFrame, cfg: dict | None = None, weights: dict[str, float] | None = None) -> Scored:
+def composite_score(
+    features: DataFrame, cfg: dict | None = None, weights: dict[str, float] | None = None, rows: int | None = None
+) -> Scored:
+    """Scores of all customers; ``rows`` is the feature table's row count where known.
+
+    Data-driven weights belong to one date, so they need a single-date feature table.
+    """
     cfg = cfg or TIERING
     spec = cfg["features"]
     names = list(spec)
-    oriented = prepare(features, spec, cfg.get("winsor"))
-    normalized = normalize(oriented, names, cfg["normalization"])
-    expert = scale_to_one({n: float(s["weight"]) for n, s in spec.items()})
-    entropy = entropy_weights(oriented, names)
-    used = scale_to_one(weights) if weights else resolve_weights(cfg["weighting"], expert, entropy)
+    oriented = prepare(features, spec, cfg.get("winsor"), rows)
+    normalized = normalize(oriented, names, cfg["normalization"], rows)
+    expert = expert_weights(cfg)
+    if weights:
+        used = scale_to_one(weights)
+    else:
+        entropy = entropy_weights(oriented, names) if cfg["weighting"] != "config" else None
+        used = resolve_weights(cfg["weighting"], expert, entropy)
     scores = normalized.select(
-        "customer_id",
+        *ID,
         *[F.col(n).alias(f"{n}_score") for n in names],
         weighted_score({n: used[n] for n in names}).alias("composite_score"),
     )
-    return Scored(scores, oriented, used, expert, entropy)
+    return Scored(scores, oriented, used, expert)

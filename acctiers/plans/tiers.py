@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acctiers.operators.rank import ordinal_rank, percent_rank_average
-from acctiers.plans.features import as_date, build_features
+from acctiers.plans.features import as_date, build_features, build_features_multi
 from acctiers.plans.scoring import Scored, composite_score
 from acctiers.session import freeze
 from acctiers.settings import TIERING
@@ -42,9 +43,17 @@ def tier_rank(tier: Column, tiers) -> Column:
     return F.create_map(*pairs)[tier].cast("int")
 
 
-def assign_tiers(scores: DataFrame, tiers, score: str = "composite_score", tie: str = "customer_id") -> DataFrame:
+def assign_tiers(
+    scores: DataFrame,
+    tiers,
+    score: str = "composite_score",
+    tie: str = "customer_id",
+    by: Sequence[str] = (),
+    rows: int | None = None,
+) -> DataFrame:
     """Tiers from the top down by share of customers; equal scores go by ``tie`` ascending."""
-    ranked = ordinal_rank(scores, [F.col(score).desc(), F.col(tie).asc()], rank="_rank", total="_size")
+    order = [F.col(score).desc(), F.col(tie).asc()]
+    ranked = ordinal_rank(scores, order, rank="_rank", total="_size", by=by, rows=rows)
     tier = tier_from_share(F.col("_rank") / F.col("_size"), tiers)
     return (
         ranked.withColumn("tier", tier)
@@ -53,45 +62,67 @@ def assign_tiers(scores: DataFrame, tiers, score: str = "composite_score", tie:
     )
 
 
-def with_score_percentile(scores: DataFrame, score: str = "composite_score") -> DataFrame:
-    ranked = percent_rank_average(scores, score, out="score_percentile")
+def with_score_percentile(
+    scores: DataFrame, score: str = "composite_score", by: Sequence[str] = (), rows: int | None = None
+) -> DataFrame:
+    ranked = percent_rank_average(scores, score, by=by, out="score_percentile", rows=rows)
     return ranked.withColumn("score_percentile", F.round("score_percentile", 4))
 
 
 @dataclass
 class TierRun:
+    """One or more scoring dates; ``at`` picks one of them."""
+
     tiers: DataFrame
     scored: Scored
     as_of: date
     features: DataFrame
+    rows: int
     segments: object | None = None
 
+    def at(self, day: date | str) -> TierRun:
+        day = as_date(day)
+        on_day = F.col("as_of_date") == F.lit(day)
+        s = self.scored
+        scored = Scored(s.scores.filter(on_day), s.oriented.filter(on_day), s.weights, s.expert)
+        return TierRun(self.tiers.filter(on_day), scored, day, self.features.filter(on_day), self.rows)
+
+    def normalized(self) -> DataFrame:
+        """customer_id and the normalised features, which do not depend on the weights."""
+        names = list(self.scored.expert)
+        return self.scored.scores.select("customer_id", *[F.col(f"{n}_score").alias(n) for n in names])
+
 
 def score_customers(
     orders: DataFrame,
     lines: DataFrame,
     customers: DataFrame,
-    as_of: date | str,
+    as_of: date | str | Sequence[date | str],
     cfg: dict | None = None,
     segment: bool = False,
 ) -> TierRun:
-    """Features, composite score, tier, percentile and (optionally) segment of every active customer."""
+    """Features, composite score, tier, percentile and (optionally) segment of every active customer.
+
+    Several dates are scored in one pass over orders and lines.
+    """
     cfg = cfg or TIERING
-    features = freeze(build_features(orders, lines, customers, as_of, cfg["lookback_days"], cfg["min_orders"]))
-    if features.isEmpty():
+    several = not isinstance(as_of, (date, str))
+    build = build_features_multi if several else build_features
+    features = freeze(build(orders, lines, customers, as_of, cfg["lookback_days"], cfg["min_orders"]))
+    rows = features.count()
+    if not rows:
         raise ValueError(f"no customers with >= {cfg['min_orders']} orders in the look-back window at {as_of}")
-    scored = composite_score(features, cfg)
+    scored = composite_score(features, cfg, rows=rows)
     scored.scores = freeze(scored.scores)
-    tiers = with_score_percentile(assign_tiers(scored.scores, cfg["tiers"]))
-    table = features.join(tiers, "customer_id")
-    run = TierRun(table, scored, as_date(as_of), features)
+    date_key = ["as_of_date"]
+    tiers = assign_tiers(scored.scores, cfg["tiers"], by=date_key, rows=rows)
+    table = features.join(with_score_percentile(tiers, by=date_key, rows=rows), ["customer_id", "as_of_date"])
+    table = table.select(*features.columns, *[c for c in table.columns if c not in features.columns])
+    last = max(map(as_date, as_of)) if several else as_date(as_of)
+    run = TierRun(freeze(table), scored, last, features, rows)
     if segment:
         from acctiers.plans.segments import behavioral_segments
 
-        names = list(cfg["features"])
-        normalized = scored.scores.select("customer_id", *[F.col(f"{n}_score").alias(n) for n in names])
-        run.segments = behavioral_segments(normalized, names, cfg["segments"])
-        run.tiers = table.join(run.segments.labels, "customer_id")
+        run.segments = behavioral_segments(run.normalized(), list(cfg["features"]), cfg["segments"])
+        run.tiers = run.tiers.join(run.segments.labels, "customer_id")
     return run
-
-

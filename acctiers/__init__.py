@@ -1,3 +1,10 @@
 """Sales warehouse, data checks and account tiering as Spark DataFrame jobs."""
 
+import sys
+
+from pyspark import cloudpickle
+
+# functions travel to the executors by value, so the package need not be installed there
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __version__ = "0.1.0"

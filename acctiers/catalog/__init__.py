@@ -5,6 +5,6 @@ from acctiers.catalog.registry import REGISTRY
 
 def load() -> dict:
     """All registered queries; importing the modules registers them."""
-    from acctiers.catalog import tiering, warehouse  # noqa: F401
+    from acctiers.catalog import loads, monitoring, quality, tiering, validation, warehouse  # noqa: F401
 
     return REGISTRY

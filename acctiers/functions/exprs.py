@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from datetime import UTC, datetime
 
 import pandas as pd
 from pyspark.sql import Column
@@ -62,6 +63,11 @@ def tidy(value: Column) -> Column:
     return F.regexp_replace(value, r"^\s+|\s+$", "")
 
 
+def utc(moment: datetime) -> datetime:
+    """A naive time counts as UTC."""
+    return moment if moment.tzinfo else moment.replace(tzinfo=UTC)
+
+
 def as_json(**fields: Column) -> Column:
     return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
 

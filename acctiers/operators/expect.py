@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from acctiers import settings as S
 from acctiers.operators.checks import CHECK_COLUMNS, check_rows
+from acctiers.session import literal_rows
 
 
 @dataclass(frozen=True)
@@ -191,7 +192,7 @@ def run_layer(
     if results:
         parts.append(summarize(reduce(DataFrame.unionByName, results)))
     if missing:
-        absent = spark.createDataFrame(missing, "suite string, relation string, severity string")
+        absent = literal_rows(spark, missing, "suite string, relation string, severity string")
         parts.append(
             check_rows(
                 absent,

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from acctiers import settings as S
 from acctiers.functions import exprs as X
-from acctiers.operators.checks import CHECK_COLUMNS, check_rows, severity_rank, worst_severity
+from acctiers.operators.checks import CHECK_COLUMNS, check_rows, severity_rank
+from acctiers.session import literal_rows
 
 # --- freshness -------------------------------------------------------------------------------
 
@@ -23,7 +24,7 @@ def _plain(number: Column) -> Column:
 
 def age_hours(latest: Column, now: datetime) -> Column:
     """Hours since ``latest``; a naive timestamp counts as UTC (the session time zone)."""
-    return (F.unix_micros(F.lit(now).cast("timestamp")) - F.unix_micros(latest.cast("timestamp"))) / F.lit(3.6e9)
+    return (F.unix_micros(F.lit(X.utc(now)).cast("timestamp")) - F.unix_micros(latest.cast("timestamp"))) / F.lit(3.6e9)
 
 
 def evaluate_freshness(latest: DataFrame, now: datetime) -> DataFrame:
@@ -66,7 +67,7 @@ def latest_times(target: str, table: DataFrame, data_column: str | None, limits:
 
 
 def missing_tables(spark: SparkSession, targets: list[str]) -> DataFrame:
-    rows = spark.createDataFrame([(t,) for t in targets], "target string")
+    rows = literal_rows(spark, [(t,) for t in targets], "target string")
     return check_rows(
         rows,
         check_type=F.lit("freshness"),
@@ -247,7 +248,7 @@ def _text_mask(value: Column) -> Column:
     The branches go from common to rare and stop at the first match; an integer is also a float.
     """
     return (
-        F.when(value == "", None)
+        F.when(value.isNull() | (value == ""), None)
         .when(value.rlike(X.INTEGER_TEXT), 3)
         .when(value.rlike(X.FLOAT_TEXT), 2)
         .when(value.rlike(X.DATE_TEXT), 8)
@@ -302,12 +303,12 @@ def declared_logical_type(kind: T.DataType) -> str:
 def table_logical_types(df: DataFrame) -> DataFrame:
     """(column_name, logical_type) from the declared schema of a stored table."""
     rows = [(f.name, declared_logical_type(f.dataType)) for f in df.schema.fields]
-    return df.sparkSession.createDataFrame(rows, "column_name string, logical_type string")
+    return literal_rows(df.sparkSession, rows, "column_name string, logical_type string")
 
 
 def contract_types(spark: SparkSession, contract: Mapping[str, tuple[str, bool]]) -> DataFrame:
     rows = [(name, kind) for name, (kind, _) in contract.items()]
-    return spark.createDataFrame(rows, "column_name string, expected string")
+    return literal_rows(spark, rows, "column_name string, expected string")
 
 
 def compare(observed: DataFrame, contract: Mapping[str, tuple[str, bool]]) -> DataFrame:
@@ -455,7 +456,7 @@ def mart_data_health(check_results: DataFrame, now: datetime) -> DataFrame:
     Both halves are aggregates on the check key with a map-side step; ``max_by`` keeps the newest row.
     """
     key = ["check_type", "check_name", "target"]
-    since = F.col("checked_at") >= F.lit(now - timedelta(days=30))
+    since = F.col("checked_at") >= F.lit(X.utc(now) - timedelta(days=30))
     kind = lambda s: F.count_if(since & (F.col("severity") == s))
     newest = F.max_by(
         F.struct("checked_at", "severity", "message", "observed_value", "threshold"),

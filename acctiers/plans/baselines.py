@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from acctiers.operators.rank import average_rank, ordinal_rank, quantile_bins
 from acctiers.plans.validation import _resample
-from acctiers.session import freeze
+from acctiers.session import freeze, literal_rows
 
 # --- fixed values: model settings --------------------------------------------------------------
 MODELS = {
@@ -236,7 +236,7 @@ def importances(fitted: Fitted) -> DataFrame:
         values = np.abs(raw.toArray())
         values = values / values.sum() if values.sum() else values
         rows += [(name, f, float(v)) for f, v in zip(fitted.inputs, values, strict=True)]
-    return fitted.predictions.sparkSession.createDataFrame(rows, "model string, feature string, importance double")
+    return literal_rows(fitted.predictions.sparkSession, rows, "model string, feature string, importance double")
 
 
 def _place(column: str):
@@ -248,7 +248,7 @@ def _place(column: str):
 def weights_vs_importance(importance: DataFrame, expert: dict[str, float], model: str) -> DataFrame:
     """Spearman correlation of expert weights and one model's importances (one row per score feature)."""
     spark = importance.sparkSession
-    weights = spark.createDataFrame(list(expert.items()), "feature string, weight double")
+    weights = literal_rows(spark, list(expert.items()), "feature string, weight double")
     both = importance.filter(F.col("model") == model).join(weights, "feature")
     ranked = both.select(_place("weight").alias("a"), _place("importance").alias("b"))
     return ranked.agg(F.corr("a", "b").alias("weights_vs_importance_spearman"))

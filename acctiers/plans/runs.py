@@ -15,7 +15,7 @@ from acctiers.plans import validation as V
 from acctiers.plans.features import as_date, forward_labels
 from acctiers.plans.tiers import TierRun, score_customers
 from acctiers.plans.warehouse import Warehouse
-from acctiers.session import freeze
+from acctiers.session import freeze, literal_rows
 from acctiers.settings import MODEL_FEATURES, TIERING, tier_names
 from acctiers.sources.store import Store
 
@@ -197,8 +197,8 @@ def validation_metrics(b: Backtest) -> DataFrame:
 def tier_weights(spark: SparkSession, run: TierRun) -> DataFrame:
     s = run.scored
     rows = [(n, s.weights[n], s.expert[n], s.entropy[n]) for n in s.weights]
-    return spark.createDataFrame(
-        rows, "feature string, applied_weight double, expert_weight double, entropy_weight double"
+    return literal_rows(
+        spark, rows, "feature string, applied_weight double, expert_weight double, entropy_weight double"
     )
 
 

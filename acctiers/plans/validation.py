@@ -19,9 +19,12 @@ from acctiers.functions import tails
 from acctiers.operators.rank import average_rank, bin_number, exact_quantiles, ordinal_rank, quantile_bins
 from acctiers.plans.scoring import scale_to_one, weighted_score
 from acctiers.plans.tiers import tier_from_share
-from acctiers.session import freeze
+from acctiers.session import freeze, literal_rows
 
-_ALL = Window.partitionBy(F.lit(0))  # only over tier-sized tables
+
+def _all():
+    """Window over a whole table; only for tables of a few rows per tier."""
+    return Window.partitionBy(F.lit(0))
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -44,8 +47,8 @@ def lift_table(judged: DataFrame) -> DataFrame:
     )
     medians = exact_quantiles(judged, "future_revenue", [0.5], by=["tier"])
     joined = sums.join(medians.select("tier", F.col("quantile").alias("median_future_revenue")), "tier")
-    revenue = F.sum("_revenue").over(_ALL)
-    base = F.sum("_high").over(_ALL) / F.sum("customers").over(_ALL)
+    revenue = F.sum("_revenue").over(_all())
+    base = F.sum("_high").over(_all()) / F.sum("customers").over(_all())
     return joined.select(
         "tier",
         "tier_rank",
@@ -91,7 +94,7 @@ def anova_log_revenue(judged: DataFrame, alpha: float = 0.05) -> DataFrame:
     groups = judged.groupBy("tier").agg(
         F.count(F.lit(1)).alias("n"), F.avg(x).alias("m"), F.coalesce(F.var_samp(x), F.lit(0.0)).alias("v")
     )
-    grand = F.sum(F.col("n") * F.col("m")).over(_ALL) / F.sum("n").over(_ALL)
+    grand = F.sum(F.col("n") * F.col("m")).over(_all()) / F.sum("n").over(_all())
     gap = F.col("m") - F.col("_grand")
     sums = groups.withColumn("_grand", grand).agg(
         F.sum("n").alias("n"),
@@ -114,7 +117,7 @@ def holm_adjust(tests: DataFrame, p: str = "p_value", out: str = "p_holm") -> Da
     """Holm step-down adjusted p-values over a handful of tests."""
     order = Window.partitionBy(F.lit(0)).orderBy(p)
     place = F.row_number().over(order)
-    stepped = tests.withColumn("_step", F.least(F.lit(1.0), (F.count(F.lit(1)).over(_ALL) - place + 1) * F.col(p)))
+    stepped = tests.withColumn("_step", F.least(F.lit(1.0), (F.count(F.lit(1)).over(_all()) - place + 1) * F.col(p)))
     running = order.rowsBetween(Window.unboundedPreceding, 0)
     return stepped.withColumn(out, F.max("_step").over(running)).drop("_step")
 
@@ -126,7 +129,7 @@ def adjacent_tier_tests(judged: DataFrame, alpha: float = 0.05) -> DataFrame:
     """
     present = judged.groupBy("tier_rank", "tier").agg(F.count(F.lit(1)).alias("_n"))
     place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("tier_rank"))
-    places = present.select("tier_rank", place.alias("_place"), F.max(place).over(_ALL).alias("_last"))
+    places = present.select("tier_rank", place.alias("_place"), F.max(place).over(_all()).alias("_last"))
     # a tier takes part in the pair below it and the pair above it
     pairs = F.filter(F.array("_place", F.col("_place") - 1), lambda x: (x >= 1) & (x < F.col("_last")))
     spread = (
@@ -171,12 +174,12 @@ def tier_churn_counts(judged: DataFrame) -> DataFrame:
 def churn_chi_square(judged: DataFrame, alpha: float = 0.05) -> DataFrame:
     """Chi-square of tier by churn with Cramer's V; Yates' correction only for a 2 x 2 table."""
     table = tier_churn_counts(judged).select(
-        "tier", F.explode(F.array(F.struct(F.lit(0).alias("c"), F.col("stayed").alias("o")), F.struct(F.lit(1), "churned"))).alias("x")
+        "tier", F.explode(F.array(F.struct(F.lit(0).alias("c"), F.col("stayed").alias("o")), F.struct(F.lit(1).alias("c"), F.col("churned").alias("o")))).alias("x")
     )
     cells = table.select("tier", F.col("x.c").alias("c"), F.col("x.o").cast("double").alias("o"))
     col_sum = F.sum("o").over(Window.partitionBy("c"))
     row_sum = F.sum("o").over(Window.partitionBy("tier"))
-    cells = cells.withColumns({"_col": col_sum, "_row": row_sum, "n": F.sum("o").over(_ALL)}).filter("_col > 0")
+    cells = cells.withColumns({"_col": col_sum, "_row": row_sum, "n": F.sum("o").over(_all())}).filter("_col > 0")
     shape = cells.agg(
         F.count_distinct("tier").alias("rows"), F.count_distinct("c").alias("cols"), F.max("n").alias("n")
     )
@@ -225,7 +228,7 @@ def _resample(cells: DataFrame, statistic, iterations: int, seed: int, schema: s
     copies = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("_chunk")
     columns = [c for c in cells.columns if c != "n"]
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(columns, ignore_index=True)
         counts = pdf["n"].to_numpy(dtype="float64")
         make = statistic(pdf)
@@ -299,7 +302,7 @@ def population_stability_index(expected: DataFrame, actual: DataFrame, value: st
         F.count(F.lit(1)).alias(n)
     )
     both = slot(expected, "e").join(slot(actual, "a"), "bin", "full_outer").fillna(0)
-    share = lambda c: F.greatest(F.col(c) / F.sum(c).over(_ALL), F.lit(1e-6))
+    share = lambda c: F.greatest(F.col(c) / F.sum(c).over(_all()), F.lit(1e-6))
     shares = both.select(share("e").alias("e"), share("a").alias("a"))
     # bins empty on both sides add nothing
     return shares.agg(F.sum((F.col("a") - F.col("e")) * F.log(F.col("a") / F.col("e"))).alias("psi"))
@@ -313,7 +316,7 @@ def transition_matrix(before: DataFrame, after: DataFrame, tiers: Sequence[str])
     counts = moved.groupBy("from_tier").agg(
         *[F.count_if(F.col("to_tier") == t).alias(t) for t in tiers]
     )
-    grid = before.sparkSession.createDataFrame([(t, i) for i, t in enumerate(tiers)], "from_tier string, from_rank int")
+    grid = literal_rows(before.sparkSession, [(t, i) for i, t in enumerate(tiers)], "from_tier string, from_rank int")
     wide = grid.join(counts, "from_tier", "left").fillna(0)
     to = F.explode(F.array(*[F.struct(F.lit(t).alias("to_tier"), F.lit(i).alias("to_rank"), F.col(t).alias("customers")) for i, t in enumerate(tiers)]))
     return wide.select("from_tier", "from_rank", to.alias("x")).select("from_tier", "from_rank", "x.*")
@@ -330,7 +333,7 @@ def weighted_kappa(grid: DataFrame) -> DataFrame:
     gap = F.pow(F.col("i") - F.col("j"), 2)
     row = F.sum("customers").over(Window.partitionBy("i"))
     col = F.sum("customers").over(Window.partitionBy("j"))
-    sums = cells.withColumns({"_w": gap, "_r": row, "_c": col, "_n": F.sum("customers").over(_ALL)})
+    sums = cells.withColumns({"_w": gap, "_r": row, "_c": col, "_n": F.sum("customers").over(_all())})
     seen = F.sum(F.col("_w") * F.col("customers"))
     chance = F.sum(F.col("_w") * F.col("_r") * F.col("_c") / F.col("_n"))
     return sums.agg((1 - _ratio(seen, chance)).alias("weighted_kappa"))
@@ -360,7 +363,7 @@ def perturbed_weights(base: dict[str, float], draws: int, perturbation: float, s
     return [scale_to_one({n: w * rng.uniform(low, high) for n, w in base.items()}) for _ in range(draws)]
 
 
-def _kendall_cells(key, pdf: pd.DataFrame) -> pd.DataFrame:
+def _kendall_cells(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     """tau-b of one draw from its bin-by-bin counts (at most bins x bins cells)."""
     table = np.zeros((int(pdf["bx"].max()) + 1, int(pdf["by"].max()) + 1))
     table[pdf["bx"], pdf["by"]] = pdf["n"]

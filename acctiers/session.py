@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime SQL settings the jobs rely on.  Cluster-level sizing (executors, memory) stays with
 # spark-submit; AQE sizes the shuffles at run time from a generous initial partition count.
@@ -65,6 +67,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A handful of driver-side rows as a plan literal: no Python data source, one task."""
+    fields = [part.strip().rsplit(" ", 1) for part in schema.split(",")]
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = [
+        F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, fields, strict=True)]) for row in rows
+    ]
+    return spark.sql("select 1").select(F.inline(F.array(*structs)))
+
+
 def freeze(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: cuts lineage, survives a lost executor, fixes the row set.
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from acctiers import settings as S
+from acctiers.functions.exprs import utc
 from acctiers.operators import monitor as M
 from acctiers.operators.checks import CHECK_DDL, stamp
 from acctiers.sources.landing import conform, extract_csv, file_checksums
@@ -60,15 +61,20 @@ def load_source(
     full_refresh: bool = False,
     started: datetime | None = None,
     lookback: str | None = None,
+    gated: bool = False,
 ) -> Loaded:
-    """One pass over the file writes the table and counts the rows read and kept."""
+    """One pass over the file writes the table and counts the rows read and kept.
+
+    ``gated`` says the contract gate has just passed (and stored) this file's drift check, so it is
+    not scanned for drift again.
+    """
     spark, spec = store.spark, S.SOURCES[source]
     batch_id = batch_id or uuid.uuid4().hex[:12]
-    started = started or datetime.now(UTC)
+    started = utc(started or datetime.now(UTC))
     landed = extract_csv(spark, path)
 
-    drift = M.check_landed(source, landed).collect()  # one row
-    if drift[0]["severity"] == "error":
+    drift = [] if gated else M.check_landed(source, landed).collect()  # one row
+    if drift and drift[0]["severity"] == "error":
         persist_checks(store, spark.createDataFrame(drift, CHECK_DDL), run_id, started)
         raise M.SchemaDriftError(f"{source}: {drift[0]['message']}")
 
@@ -125,7 +131,9 @@ def load_all(
     landed = {source: extract_csv(store.spark, path) for source, path in paths.items()}
     gate = M.contract_gate(landed, raise_on_error=False).collect()  # one row per source
     checks = store.spark.createDataFrame(gate, CHECK_DDL)
+    persist_checks(store, checks, run_id, datetime.now(UTC))
     if any(r["severity"] == "error" for r in gate):
-        persist_checks(store, checks, run_id, datetime.now(UTC))
         M.raise_for_drift(checks)
-    return [load_source(store, s, paths[s], batch_id, run_id, full_refresh) for s in S.SOURCES if s in paths]
+    return [
+        load_source(store, s, paths[s], batch_id, run_id, full_refresh, gated=True) for s in S.SOURCES if s in paths
+    ]

@@ -242,48 +242,37 @@ def check_table_volumes(
 _TEXT_KINDS = (("integer", 1), ("float", 2), ("boolean", 4), ("date", 8), ("timestamp", 16))
 
 
-def _text_mask(value: Column) -> Column:
-    """Bits of the logical types a text value could be; null when blank.
+def _type_mask(name: str) -> str:
+    """Aggregate whose bits are the logical types all text values of a column could be; null without values.
 
     The branches go from common to rare and stop at the first match; an integer is also a float.
     """
-    return (
-        F.when(value.isNull() | (value == ""), None)
-        .when(value.rlike(X.INTEGER_TEXT), 3)
-        .when(value.rlike(X.FLOAT_TEXT), 2)
-        .when(value.rlike(X.DATE_TEXT), 8)
-        .when(value.rlike(X.TIMESTAMP_TEXT), 16)
-        .when(value.rlike(X.BOOLEAN_TEXT), 4)
-        .otherwise(0)
-    )
+    v = f"regexp_replace(`{name}`, r'^\\s+|\\s+$', '')"
+    arms = ((X.INTEGER_TEXT, 3), (X.FLOAT_TEXT, 2), (X.DATE_TEXT, 8), (X.TIMESTAMP_TEXT, 16), (X.BOOLEAN_TEXT, 4))
+    tests = " ".join(f"when {v} rlike r'{pattern}' then {bits}" for pattern, bits in arms)
+    return f"bit_and(case when `{name}` is null or {v} = '' then null {tests} else 0 end)"
 
 
-def _inferred(name: str, kind: T.DataType) -> Column:
-    """Aggregate expression giving the logical type of a column from its values."""
-    column = F.col(f"`{name}`")
-    present = F.count(column) > 0
+def _inferred(field: T.StructField) -> str:
+    """SQL aggregate giving the logical type of a column from its values."""
+    name, kind = f"`{field.name}`", field.dataType
     if isinstance(kind, T.StringType):
-        mask = F.bit_and(_text_mask(X.tidy(column)))
-        expr = F.when(mask.isNull(), "unknown")
-        for label, bit in _TEXT_KINDS:
-            expr = expr.when(mask.bitwiseAND(F.lit(bit)) != 0, label)
-        return expr.otherwise("string")
+        mask = _type_mask(field.name)
+        arms = " ".join(f"when ({mask}) & {bit} <> 0 then '{label}'" for label, bit in _TEXT_KINDS)
+        return f"case when ({mask}) is null then 'unknown' {arms} else 'string' end"
+    absent = f"count({name}) = 0"
     if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
-        number = column.cast("double")
-        whole = F.bool_and(number == F.round(number))
-        return F.when(~present, "unknown").when(whole, "integer").otherwise("float")
+        whole = f"bool_and(double({name}) = round(double({name})))"
+        return f"case when {absent} then 'unknown' when {whole} then 'integer' else 'float' end"
     fixed = {T.BooleanType: "boolean", T.DateType: "date", T.TimestampType: "timestamp", T.TimestampNTZType: "timestamp"}
     label = fixed.get(type(kind), "integer" if isinstance(kind, T.IntegralType) else "string")
-    return F.when(~present, "unknown").otherwise(label)
+    return f"case when {absent} then 'unknown' else '{label}' end"
 
 
 def infer_logical_types(df: DataFrame) -> DataFrame:
     """(column_name, logical_type) from every value of the table, in one aggregate."""
-    rows = [
-        F.struct(F.lit(f.name).alias("column_name"), _inferred(f.name, f.dataType).alias("logical_type"))
-        for f in df.schema.fields
-    ]
-    return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
+    rows = [f"named_struct('column_name', '{f.name}', 'logical_type', {_inferred(f)})" for f in df.schema.fields]
+    return df.agg(F.expr(f"array({', '.join(rows)})").alias("r")).select(F.inline("r"))
 
 
 def declared_logical_type(kind: T.DataType) -> str:

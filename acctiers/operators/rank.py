@@ -14,6 +14,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,7 +30,7 @@ SMALL = 1_000_000
 
 def _cut_values(df: DataFrame, value: str, by: Sequence[str], buckets: int) -> DataFrame:
     """One row per group: sorted distinct cut values, and every 16th of them for a coarse search."""
-    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    probs = literals([i / buckets for i in range(1, buckets)])
     cuts = df.groupBy(*by).agg(
         F.array_sort(F.array_distinct(F.percentile_approx(value, probs, 4 * buckets))).alias("_cuts")
     )
@@ -220,9 +221,9 @@ def exact_quantiles(
     group = ["_group", *by]
     source = df.select(F.lit(0).alias("_group"), *by, F.col(value).cast("double").alias("_v")).filter("_v is not null")
     if (source.count() if rows is None else rows) <= SMALL:
-        wide = source.groupBy(*by).agg(F.percentile("_v", F.array(*map(F.lit, probs))).alias("_q"))
+        wide = source.groupBy(*by).agg(F.percentile("_v", literals(probs)).alias("_q"))
         at = F.posexplode("_q").alias("_i", "quantile")
-        return wide.select(*by, at).select(*by, F.get(_literals(probs), F.col("_i")).alias("p"), "quantile").filter(
+        return wide.select(*by, at).select(*by, F.get(literals(probs), F.col("_i")).alias("p"), "quantile").filter(
             "quantile is not null"
         )
 
@@ -234,24 +235,25 @@ def exact_quantiles(
         again = brackets.join(missed, [*group, "_i"], "left_semi").drop("_low", "_high")
         retry = freeze(again.join(ends, group))
         found = found.filter("hit").unionByName(_read_brackets(source, retry, group))
-    return found.select(*by, F.get(_literals(probs), F.col("_i")).alias("p"), "quantile")
+    return found.select(*by, F.get(literals(probs), F.col("_i")).alias("p"), "quantile")
 
 
-def _literals(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+def literals(values: Sequence[float]) -> Column:
+    """Constant array of doubles, as one parsed expression."""
+    return F.expr(f"array({', '.join(f'double({float(v)!r})' if math.isfinite(v) else f'double({str(v)!r})' for v in values)})")
 
 
 def _brackets(source: DataFrame, probs: list[float], by: list[str], margin: float, accuracy: int) -> DataFrame:
     """Frozen, one row per (group, prob): wanted positions and a value interval that should hold them."""
-    lows = _literals([max(p - margin, 0.0) for p in probs])
-    highs = _literals([min(p + margin, 1.0) for p in probs])
+    lows = literals([max(p - margin, 0.0) for p in probs])
+    highs = literals([min(p + margin, 1.0) for p in probs])
     stats = source.groupBy(*by).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_v", lows, accuracy).alias("_lows"),
         F.percentile_approx("_v", highs, accuracy).alias("_highs"),
     )
     rows = stats.select(*by, "_n", F.posexplode(F.arrays_zip("_lows", "_highs")).alias("_i", "_z"))
-    position = (F.col("_n") - 1) * F.get(_literals(probs), F.col("_i"))
+    position = (F.col("_n") - 1) * F.get(literals(probs), F.col("_i"))
     return freeze(
         rows.select(
             *by, "_i", position.alias("_position"), F.col("_z._lows").alias("_low"), F.col("_z._highs").alias("_high")
@@ -295,7 +297,7 @@ def quantile_bins(df: DataFrame, columns: dict[str, str], bins: int = 1024) -> D
     Up to ``bins`` distinct values every value gets a bin of its own, so nothing is lost; beyond that
     a bin is a run of neighbouring values.  ``columns`` maps the value column to the bin column.
     """
-    probs = F.array(*[F.lit(i / bins) for i in range(1, bins + 1)])
+    probs = literals([i / bins for i in range(1, bins + 1)])
     cuts = df.agg(
         *[
             F.array_sort(F.array_distinct(F.percentile_approx(F.col(c).cast("double"), probs, 4 * bins))).alias(b)
@@ -307,7 +309,7 @@ def quantile_bins(df: DataFrame, columns: dict[str, str], bins: int = 1024) -> D
 
 def bin_number(value: Column, cuts: Sequence[float]) -> Column:
     """How many of the sorted ``cuts`` are at or below ``value``, by a coarse then a fine search."""
-    every = F.array(*[F.lit(float(c)) for c in cuts])
-    coarse = F.array(*[F.lit(float(c)) for c in cuts[_STRIDE - 1 :: _STRIDE]]).cast("array<double>")
+    every = literals(cuts).cast("array<double>")
+    coarse = literals(cuts[_STRIDE - 1 :: _STRIDE]).cast("array<double>")
     start = F.size(F.filter(coarse, lambda c: c <= value)) * _STRIDE
     return start + F.size(F.filter(F.slice(every, start + 1, _STRIDE), lambda c: c <= value))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from acctiers.operators.rank import average_rank, ordinal_rank, quantile_bins
 from acctiers.plans.validation import _resample
-from acctiers.session import freeze, literal_rows
+from acctiers.session import freeze, literal_rows, reload
 
 # --- fixed values: model settings --------------------------------------------------------------
 MODELS = {
@@ -115,7 +115,7 @@ def out_of_fold(
         per_class = counts(fold)
         train = data if fold is None else data.filter(F.col("fold") != fold)
         pipeline = _pipeline(name, inputs, seed, sum(per_class.values()), models[name])
-        model = pipeline.fit(_balanced(train, per_class))
+        model = reload(data.sparkSession, pipeline.fit(_balanced(train, per_class)))
         if fold is None:
             return name, fold, model
         held = model.transform(data.filter(F.col("fold") == fold))

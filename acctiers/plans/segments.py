@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from acctiers.session import freeze
+from acctiers.session import freeze, reload
 
 SAMPLE = 3000
 
@@ -50,7 +50,7 @@ def fit_best(points: DataFrame, ks: list[int], n_init: int, seed: int, parallel:
         for k, cost, model in pool.map(fit, tries):
             if k not in best or cost < best[k][0]:
                 best[k] = (cost, model)
-    return {k: model for k, (_, model) in best.items()}
+    return {k: reload(points.sparkSession, model) for k, (_, model) in best.items()}
 
 
 def _silhouettes(sample: np.ndarray, labels: np.ndarray, points: np.ndarray, own: np.ndarray) -> np.ndarray:

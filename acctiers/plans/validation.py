@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acctiers.functions import tails
-from acctiers.operators.rank import average_rank, bin_number, exact_quantiles, ordinal_rank, quantile_bins
+from acctiers.operators.rank import average_rank, bin_number, exact_quantiles, literals, ordinal_rank, quantile_bins
 from acctiers.plans.scoring import scale_to_one, weighted_score
 from acctiers.plans.tiers import tier_from_share
 from acctiers.session import freeze, literal_rows
@@ -385,7 +385,7 @@ def _scores_by_draw(normalized: DataFrame, weights: list[dict[str, float]], keep
     """Copy each customer to every draw with that draw's score; narrow, so it costs no shuffle."""
     names = list(weights[0])
     spread = normalized.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(len(weights) - 1))))
-    picks = {n: F.get(F.array(*[F.lit(w[n]) for w in weights]), F.col("draw")) for n in names}
+    picks = {n: F.get(literals([w[n] for w in weights]), F.col("draw")) for n in names}
     total = reduce(lambda a, b: a + b, [F.col(n) * picks[n] for n in names])
     score = F.round(F.least(F.greatest(total * 100, F.lit(0.0)), F.lit(100.0)), 4)
     return spread.select("draw", *keep, score.alias("score"))
@@ -413,7 +413,7 @@ def sensitivity_draws(
     total = tiered.count()
     cuts = base.agg(
         F.array_sort(
-            F.array_distinct(F.percentile_approx("base_score", F.array(*[F.lit(i / bins) for i in range(1, bins + 1)]), 4 * bins))
+            F.array_distinct(F.percentile_approx("base_score", literals([i / bins for i in range(1, bins + 1)]), 4 * bins))
         )
     ).first()[0]  # at most ``bins`` numbers
     tiered = freeze(tiered.select("customer_id", *names, "base_tier", bin_number(F.col("base_score"), cuts).alias("bx")))

@@ -32,6 +32,8 @@ def build_session(app: str = "acctiers", master: str | None = None, **conf: str)
         "spark.sql.parquet.filterPushdown": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+        # no call-site capture on every column expression: plans here are built from many
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
@@ -78,6 +80,17 @@ def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Dat
     return spark.sql("select 1").select(F.inline(F.array(*structs)))
 
 
+def reload(spark: SparkSession, model):
+    """A fitted model saved to the shared folder and read back, without its training summary.
+
+    The summary keeps a handle on the session, which cannot travel to executors once the session has
+    observed metrics.
+    """
+    path = scratch_path(spark, "model")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def freeze(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: cuts lineage, survives a lost executor, fixes the row set.
 

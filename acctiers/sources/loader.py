@@ -89,8 +89,7 @@ def load_source(
     else:
         rows = store.append_evolving(fresh, table)
     extracted = seen.get["rows"]
-    table_rows = store.read(table).count()
-    after = store.max_value(table, column)
+    table_rows, after = store.read(table).agg(F.count(F.lit(1)), F.max(column)).first()
 
     # history is read before this batch's own audit row is written
     history = store.read_or_none(AUDIT)

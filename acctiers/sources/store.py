@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from acctiers.session import freeze
 
@@ -20,14 +22,39 @@ class Store:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def _file(self, path: str):
+        marker = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return marker, marker.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def exists(self, name: str) -> bool:
-        jvm = self.spark._jvm
-        marker = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return marker.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(marker)
+        marker, files = self._file(self.path(name))
+        return files.exists(marker)
+
+    def _schema_path(self, name: str) -> str:
+        return f"{self.root}/_schemas/{name}.json"
+
+    def schema(self, name: str) -> T.StructType | None:
+        """Schema noted at the last write, so a read opens no footer to learn it."""
+        marker, files = self._file(self._schema_path(name))
+        if not files.exists(marker):
+            return None
+        stream = files.open(marker)
+        text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        return T.StructType.fromJson(json.loads(text))
+
+    def _note_schema(self, name: str, schema: T.StructType) -> None:
+        marker, files = self._file(self._schema_path(name))
+        stream = files.create(marker, True)
+        stream.write(bytearray(schema.json().encode()))
+        stream.close()
 
     def read(self, name: str, columns: Sequence[str] | None = None) -> DataFrame:
-        """Later appends may have added columns, so file schemas are merged."""
-        df = self.spark.read.option("mergeSchema", True).parquet(self.path(name))
+        """Columns added by later appends are null in older files.  A table this class did not write
+        has no noted schema; its file schemas are merged instead."""
+        schema = self.schema(name)
+        reader = self.spark.read.schema(schema) if schema else self.spark.read.option("mergeSchema", True)
+        df = reader.parquet(self.path(name))
         return df.select(*columns) if columns else df
 
     def read_or_none(self, name: str, columns: Sequence[str] | None = None) -> DataFrame | None:
@@ -40,14 +67,17 @@ class Store:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.mode({"append": "append", "replace": "overwrite"}[mode]).parquet(self.path(name))
+        self._note_schema(name, df.schema)
         return counted.get["rows"]
 
     def append_evolving(self, df: DataFrame, name: str) -> int:
         """Append with additive evolution: known columns keep their stored type, missing ones are null."""
-        known = self.read_or_none(name)
-        if known is not None:
-            typed = {f.name: F.col(f.name).cast(f.dataType) for f in known.schema if f.name in df.columns}
-            df = known.limit(0).unionByName(df.withColumns(typed), allowMissingColumns=True)
+        if self.exists(name):
+            known = self.read(name).schema
+            typed = [
+                (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in known
+            ]
+            df = df.select(*typed, *[c for c in df.columns if c not in known.names])
         return self.write(df, name, "append")
 
     def replace_partition(self, df: DataFrame, name: str, column: str) -> None:
@@ -58,6 +88,7 @@ class Store:
             .partitionBy(column)
             .parquet(self.path(name))
         )
+        self._note_schema(name, df.schema)
 
     def replace_from_itself(self, df: DataFrame, name: str) -> int:
         """Replace a table by a result computed from it: the result is checkpointed first."""

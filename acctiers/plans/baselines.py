@@ -13,7 +13,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from acctiers.operators.rank import average_rank, ordinal_rank, quantile_bins
@@ -76,6 +76,13 @@ def _balanced(train: DataFrame, counts: dict[int, int]) -> DataFrame:
     return train.withColumn("weight", weight)
 
 
+def _detached(model: PipelineModel) -> PipelineModel:
+    """The pipeline without its training summary (see ``reload``): a copied forest has none, boosted
+    trees never do, and a linear model is small enough to save and read back."""
+    last = model.stages[-1]
+    return reload(SparkSession.active(), model) if hasattr(last, "coefficients") else model.copy()
+
+
 @dataclass
 class Fitted:
     predictions: DataFrame  # customer_id, label, composite_score, one out-of-fold probability per model
@@ -115,9 +122,10 @@ def out_of_fold(
         per_class = counts(fold)
         train = data if fold is None else data.filter(F.col("fold") != fold)
         pipeline = _pipeline(name, inputs, seed, sum(per_class.values()), models[name])
-        model = reload(data.sparkSession, pipeline.fit(_balanced(train, per_class)))
+        model = pipeline.fit(_balanced(train, per_class))
         if fold is None:
             return name, fold, model
+        model = _detached(model)
         held = model.transform(data.filter(F.col("fold") == fold))
         return name, fold, held.select("customer_id", F.get(vector_to_array("probability"), 1).alias(name))
 
@@ -132,6 +140,30 @@ def out_of_fold(
     return Fitted(freeze(out), final, list(inputs))
 
 
+def fit_all_rows(
+    judged: DataFrame, inputs: Sequence[str], label: str = "high_value", seed: int = 42, models: dict | None = None
+) -> Fitted:
+    """Only the final fits, for importances and in-sample probabilities."""
+    models = models or MODELS
+    data = freeze(
+        judged.select(
+            "customer_id",
+            F.col(label).cast("double").alias("label"),
+            "composite_score",
+            *[F.col(c).cast("double").alias(c) for c in inputs],
+        )
+    )
+    counts = {r["label"]: r["count"] for r in data.groupBy("label").count().collect()}  # one row per class
+    train = _balanced(data, counts)
+    final = {n: _pipeline(n, inputs, seed, sum(counts.values()), s).fit(train) for n, s in models.items()}
+    out = data
+    for name, model in final.items():
+        scored = _detached(model).transform(data)
+        probability = F.get(vector_to_array("probability"), 1).alias(name)
+        out = out.join(scored.select("customer_id", probability), "customer_id")
+    return Fitted(out.select("customer_id", "label", "composite_score", *final), final, list(inputs))
+
+
 # --- ranking quality ----------------------------------------------------------------------------
 
 

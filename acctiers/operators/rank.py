@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from acctiers.session import freeze
+from acctiers.session import freeze, wide_partitions
 
 _STRIDE = 16
 
@@ -119,7 +119,7 @@ def sorted_positions(df: DataFrame, order: Sequence[Column], partitions: int | N
 
     ``order`` must end in a unique column, so that equal leading values spread over partitions.
     """
-    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions or wide_partitions(df.sparkSession)
     laid_out = (
         df.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)

@@ -16,6 +16,8 @@ RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot join key even where the split costs one more shuffle afterwards
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # collect_set keeps its hash map instead of sorting after 128 keys
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
@@ -49,6 +51,12 @@ def apply_runtime(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def wide_partitions(spark: SparkSession) -> int:
+    """Partition count for explicit range partitioning, which AQE leaves alone."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach; the cluster names it in ``spark.checkpoint.dir``.
 

@@ -61,8 +61,8 @@ def average_rank(
     or the lowest of them with ``method="min"``.
 
     ``by`` names grouping columns with few distinct values (a feature name, a tier pair);
-    ``total`` adds the group's row count; ``rows`` is the table's row count where the caller knows
-    it.  ``df`` is read four times, so pass a table that is cheap to read (stored or frozen).
+    ``total`` adds the group's row count; ``rows`` is an upper bound on the table's row count where
+    the caller knows one.  ``df`` is read four times, so pass a table that is cheap to read (stored or frozen).
     """
     by = list(by)
     columns = df.columns
@@ -311,5 +311,15 @@ def bin_number(value: Column, cuts: Sequence[float]) -> Column:
     """How many of the sorted ``cuts`` are at or below ``value``, by a coarse then a fine search."""
     every = literals(cuts).cast("array<double>")
     coarse = literals(cuts[_STRIDE - 1 :: _STRIDE]).cast("array<double>")
+    return _search(value, every, coarse)
+
+
+def bin_in_column(df: DataFrame, value: str, cuts: str, out: str) -> DataFrame:
+    """``bin_number`` with the sorted cuts taken from an array column."""
+    coarse = F.filter(cuts, lambda c, i: i % _STRIDE == _STRIDE - 1)
+    return df.withColumn(out, _search(F.col(value), F.col(cuts), coarse))
+
+
+def _search(value: Column, every: Column, coarse: Column) -> Column:
     start = F.size(F.filter(coarse, lambda c: c <= value)) * _STRIDE
     return start + F.size(F.filter(F.slice(every, start + 1, _STRIDE), lambda c: c <= value))

@@ -37,7 +37,7 @@ MODELS = {
 def stratified_folds(df: DataFrame, label: str, folds: int, seed: int) -> DataFrame:
     """Fold = place in hash order within the class, modulo the fold count: sizes differ by one at most."""
     order = [F.col(label).asc(), F.xxhash64("customer_id", F.lit(seed)).asc(), F.col("customer_id").asc()]
-    placed = ordinal_rank(df, order, "_place")
+    placed = ordinal_rank(df, order, "_place", rows=df.count())
     starts = placed.groupBy(label).agg(F.min("_place").alias("_start"))  # one row per class
     return placed.join(F.broadcast(starts), label).select(
         *df.columns, ((F.col("_place") - F.col("_start")) % folds).cast("int").alias("fold")
@@ -169,7 +169,7 @@ def fit_all_rows(
 
 def roc_auc(df: DataFrame, score: str, label: str = "label") -> DataFrame:
     """Exact area from average ranks."""
-    ranked = average_rank(df.select(score, label), score, rank="_r")
+    ranked = average_rank(df.select(score, label), score, rank="_r", rows=df.count())
     hit = F.col(label) == 1
     one = ranked.agg(
         F.sum(F.when(hit, F.col("_r"))).alias("r"),

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acctiers.functions import tails
-from acctiers.operators.rank import average_rank, bin_number, exact_quantiles, literals, ordinal_rank, quantile_bins
+from acctiers.operators.rank import average_rank, bin_in_column, bin_number, exact_quantiles, literals, ordinal_rank, quantile_bins
 from acctiers.plans.scoring import scale_to_one, weighted_score
 from acctiers.plans.tiers import tier_from_share
 from acctiers.session import freeze, literal_rows
@@ -72,7 +72,7 @@ def _tie_sum(df: DataFrame, value: str, *by: str) -> DataFrame:
 
 def kruskal_wallis(judged: DataFrame, alpha: float = 0.05, value: str = "future_revenue") -> DataFrame:
     """Tie-corrected H and epsilon squared over tiers."""
-    ranked = average_rank(judged.select("tier", value), value, rank="_r")
+    ranked = average_rank(judged.select("tier", value), value, rank="_r", rows=judged.count())
     per_tier = ranked.groupBy("tier").agg(F.count(F.lit(1)).alias("n"), F.sum("_r").alias("r"))
     ties = _tie_sum(judged, value).scalar()
     n = F.col("n").cast("double")
@@ -137,7 +137,7 @@ def adjacent_tier_tests(judged: DataFrame, alpha: float = 0.05) -> DataFrame:
         .join(F.broadcast(places), "tier_rank")  # one row per tier
         .select("tier", "_place", "future_revenue", F.explode(pairs).alias("pair"))
     )
-    ranked = average_rank(spread, "future_revenue", by=["pair"], rank="_r")
+    ranked = average_rank(spread, "future_revenue", by=["pair"], rank="_r", rows=2 * judged.count())
     high = F.col("_place") == F.col("pair")
     sums = ranked.groupBy("pair").agg(
         F.max(F.when(high, F.col("tier"))).alias("higher"),
@@ -265,7 +265,8 @@ def _spearman_cells(pdf: pd.DataFrame):
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """Rank correlation from exact average ranks, with its two-sided t test."""
     pairs = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    both = average_rank(average_rank(pairs, "x", rank="rx"), "y", rank="ry")
+    rows = df.count()
+    both = average_rank(average_rank(pairs, "x", rank="rx", rows=rows), "y", rank="ry", rows=rows)
     one = both.agg(F.corr("rx", "ry").alias("spearman_rho"), F.count(F.lit(1)).cast("double").alias("_n"))
     rho = F.col("spearman_rho")
     t = rho * F.sqrt((F.col("_n") - 2) / ((1 - rho) * (1 + rho)))
@@ -404,13 +405,15 @@ def sensitivity_draws(
 
     ``normalized`` holds customer_id and the normalised features, which do not depend on weights.
     A score has at most 1,000,001 values, so each draw folds to a score histogram before its tiers
-    are read off; only customers whose score straddles a tier bound are ranked one by one.
+    are read off; only customers whose score straddles a tier bound are ranked one by one.  tau-b is exact
+    up to ``bins`` customers; beyond that, scores sharing a quantile bin count as tied.
     """
     names = list(base_weights)
     base = normalized.withColumn("base_score", weighted_score(base_weights))
-    share = ordinal_rank(base, [F.col("base_score").desc(), F.col("customer_id").asc()], "_rank", "_n")
+    total = normalized.count()
+    order = [F.col("base_score").desc(), F.col("customer_id").asc()]
+    share = ordinal_rank(base, order, "_rank", "_n", rows=total)
     tiered = share.withColumn("base_tier", tier_from_share(F.col("_rank") / F.col("_n"), tiers))
-    total = tiered.count()
     cuts = base.agg(
         F.array_sort(
             F.array_distinct(F.percentile_approx("base_score", literals([i / bins for i in range(1, bins + 1)]), 4 * bins))
@@ -421,16 +424,19 @@ def sensitivity_draws(
     weights = perturbed_weights(base_weights, draws, perturbation, seed)
     scored = _scores_by_draw(tiered, weights, ["customer_id", "base_tier", "bx"])
 
-    cells = scored.groupBy("draw", "bx", bin_number(F.col("score"), cuts).alias("by")).agg(F.count(F.lit(1)).alias("n"))
-    tau = cells.groupBy("draw").applyInPandas(_kendall_cells, "draw int, tau double")
-
     ladder = scored.groupBy("draw", "score", "base_tier").agg(F.count(F.lit(1)).alias("n"))
     per_score = ladder.groupBy("draw", "score").agg(F.sum("n").alias("n"), F.collect_list(F.struct("base_tier", "n")).alias("mix"))
     down = Window.partitionBy("draw").orderBy(F.col("score").desc())
     upto = F.sum("n").over(down)
     first, last = (upto - F.col("n") + 1) / F.lit(total), upto / F.lit(total)
     placed = per_score.withColumns({"best": tier_from_share(first, tiers), "worst": tier_from_share(last, tiers), "_before": upto - F.col("n")})
-    placed = freeze(placed)
+    placed = freeze(placed.withColumn("_bin", F.floor((F.lit(total) - F.col("n") - F.col("_before")) * bins / F.lit(total))))
+    edges = placed.groupBy("draw", "_bin").agg(F.min("score").alias("edge"))
+    edges = edges.groupBy("draw").agg(F.array_sort(F.collect_list("edge")).alias("_edges"))
+    # one row per draw of at most ``bins`` numbers; every score its own bin up to ``bins`` customers
+    binned = bin_in_column(scored.join(F.broadcast(edges), "draw"), "score", "_edges", "by")
+    cells = binned.groupBy("draw", "bx", "by").agg(F.count(F.lit(1)).alias("n"))
+    tau = cells.groupBy("draw").applyInPandas(_kendall_cells, "draw int, tau double")
     settled = placed.filter("best = worst")
     same = F.aggregate(
         F.filter("mix", lambda m: m["base_tier"] == F.col("best")), F.lit(0).cast("bigint"), lambda acc, m: acc + m["n"]
@@ -441,7 +447,7 @@ def sensitivity_draws(
     straddling = placed.filter("best <> worst").select("draw", "score", "_before")
     split = scored.join(F.broadcast(straddling), ["draw", "score"])
     order = [F.col("draw").asc(), F.col("score").desc(), F.col("customer_id").asc()]
-    numbered = ordinal_rank(split, order, "_place")
+    numbered = ordinal_rank(split, order, "_place", rows=total * draws)
     starts = numbered.groupBy("draw", "score").agg(F.min("_place").alias("_start"))
     numbered = numbered.join(F.broadcast(starts), ["draw", "score"])
     tier = tier_from_share((F.col("_before") + F.col("_place") - F.col("_start") + 1) / F.lit(total), tiers)

@@ -34,8 +34,7 @@ def _cut_values(df: DataFrame, value: str, by: Sequence[str], buckets: int) -> D
     cuts = df.groupBy(*by).agg(
         F.array_sort(F.array_distinct(F.percentile_approx(value, probs, 4 * buckets))).alias("_cuts")
     )
-    coarse = F.filter("_cuts", lambda c, i: i % _STRIDE == _STRIDE - 1)
-    return freeze(cuts.withColumn("_coarse", coarse))
+    return freeze(cuts.withColumn("_coarse", every_stride("_cuts")))
 
 
 def _bucket(value: Column) -> Column:
@@ -314,10 +313,14 @@ def bin_number(value: Column, cuts: Sequence[float]) -> Column:
     return _search(value, every, coarse)
 
 
-def bin_in_column(df: DataFrame, value: str, cuts: str, out: str) -> DataFrame:
-    """``bin_number`` with the sorted cuts taken from an array column."""
-    coarse = F.filter(cuts, lambda c, i: i % _STRIDE == _STRIDE - 1)
-    return df.withColumn(out, _search(F.col(value), F.col(cuts), coarse))
+def every_stride(cuts: str) -> Column:
+    """The part of an array of sorted cuts that the coarse search looks at."""
+    return F.filter(cuts, lambda c, i: i % _STRIDE == _STRIDE - 1)
+
+
+def bin_in_columns(value: str, cuts: str, coarse: str) -> Column:
+    """``bin_number`` with the cuts and their coarse part taken from array columns."""
+    return _search(F.col(value), F.col(cuts), F.col(coarse))
 
 
 def _search(value: Column, every: Column, coarse: Column) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acctiers.functions import tails
-from acctiers.operators.rank import average_rank, bin_in_column, bin_number, exact_quantiles, literals, ordinal_rank, quantile_bins
+from acctiers.operators.rank import average_rank, bin_in_columns, bin_number, every_stride, exact_quantiles, literals, ordinal_rank, quantile_bins
 from acctiers.plans.scoring import scale_to_one, weighted_score
 from acctiers.plans.tiers import tier_from_share
 from acctiers.session import freeze, literal_rows
@@ -433,8 +433,9 @@ def sensitivity_draws(
     placed = freeze(placed.withColumn("_bin", F.floor((F.lit(total) - F.col("n") - F.col("_before")) * bins / F.lit(total))))
     edges = placed.groupBy("draw", "_bin").agg(F.min("score").alias("edge"))
     edges = edges.groupBy("draw").agg(F.array_sort(F.collect_list("edge")).alias("_edges"))
+    edges = edges.withColumn("_coarse", every_stride("_edges"))
     # one row per draw of at most ``bins`` numbers; every score its own bin up to ``bins`` customers
-    binned = bin_in_column(scored.join(F.broadcast(edges), "draw"), "score", "_edges", "by")
+    binned = scored.join(F.broadcast(edges), "draw").withColumn("by", bin_in_columns("score", "_edges", "_coarse"))
     cells = binned.groupBy("draw", "bx", "by").agg(F.count(F.lit(1)).alias("n"))
     tau = cells.groupBy("draw").applyInPandas(_kendall_cells, "draw int, tau double")
     settled = placed.filter("best = worst")

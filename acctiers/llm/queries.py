@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctiers.llm import bpe, counts, urls
+from acctiers.llm import bpe, counts, decontaminate, urls
 from acctiers.llm.runtime import table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -30,6 +30,14 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(docs, public_tokenizers.path(WORD_BPE), limit=2048)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    items = table(spark, sf_dir, "benchmark", "item_id", "text")
+    judged = decontaminate.contamination(docs, items, width=10)
+    digest = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
+    return judged.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated", "n_near")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages", "page_id", "url"))
 
@@ -37,6 +45,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_token_counts": op3_token_counts,
+    "op6_decontamination": op6_decontamination,
     "op10_url_filter": op10_url_filter,
 }
 

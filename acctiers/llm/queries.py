@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctiers.llm import bpe, counts, decontaminate, urls
+from acctiers.llm import bpe, counts, decontaminate, licenses, urls
 from acctiers.llm.runtime import table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -38,6 +38,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated", "n_near")
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages", "page_id", "url"))
 
@@ -46,6 +50,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_token_counts": op3_token_counts,
     "op6_decontamination": op6_decontamination,
+    "op9_license_scan": op9_license_scan,
     "op10_url_filter": op10_url_filter,
 }
 

@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctiers.llm import bpe, counts, decontaminate, licenses, urls
+from acctiers.llm import bpe, counts, decontaminate, licenses, substring, urls
 from acctiers.llm.runtime import table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), width=13)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     path = public_tokenizers.path(BYTE_BPE)
@@ -47,6 +52,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_token_counts": op3_token_counts,
     "op6_decontamination": op6_decontamination,

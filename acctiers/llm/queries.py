@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctiers.llm import bpe, counts, decontaminate, licenses, substring, urls
+from acctiers.llm import bpe, counts, decontaminate, jaccard, licenses, substring, urls
 from acctiers.llm.runtime import table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -43,6 +43,12 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated", "n_near")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = jaccard.linked_components(docs, n=4, num=85, den=100)
+    return found.select("doc_id", "n_shingles", "component_id", "class_id")
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -56,6 +62,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_token_counts": op3_token_counts,
     "op6_decontamination": op6_decontamination,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_license_scan": op9_license_scan,
     "op10_url_filter": op10_url_filter,
 }

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acctiers.session import scratch_path
+
 # Rows of one Arrow batch.  Texts differ in length by four orders of magnitude, so a worker's
 # memory is bounded by few rows per batch and by the byte limit inside ``words.chunks``.
 BATCH_ROWS = "512"
@@ -49,3 +51,10 @@ def crc_mod(column: str, n: int):
 
 def with_columns_of(docs: DataFrame, columns: Sequence[str]) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`") for c in columns])
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` written to the shared folder and read back: cuts lineage, survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctiers.llm import bpe, counts, decontaminate, jaccard, licenses, substring, urls
-from acctiers.llm.runtime import table
+from acctiers.llm import bpe, counts, decontaminate, jaccard, licenses, quality, substring, toxicity, urls
+from acctiers.llm.runtime import crc_mod, table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
+TOXIC = 0.3
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +36,20 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(docs, public_tokenizers.path(WORD_BPE), limit=2048)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = crc_mod("doc_id", 4) == 2
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic").where(~held_out)
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"),
+        F.size("offending").alias("n_offending"),
+    )
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     items = table(spark, sf_dir, "benchmark", "item_id", "text")
@@ -43,6 +58,14 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated", "n_near")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = crc_mod("doc_id", 3) == 1
+    trusted = table(spark, sf_dir, "labels", "doc_id", "quality").where(~held_out & (F.col("quality") == 1))
+    scored = quality.score(docs, quality.train(docs, trusted))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     found = jaccard.linked_components(docs, n=4, num=85, den=100)
@@ -61,7 +84,9 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_token_counts": op3_token_counts,
+    "op4_toxicity": op4_toxicity,
     "op6_decontamination": op6_decontamination,
+    "op7_quality": op7_quality,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_license_scan": op9_license_scan,
     "op10_url_filter": op10_url_filter,

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acctiers.llm import bpe, counts, decontaminate, jaccard, licenses, quality, substring, toxicity, urls
+from acctiers.llm import ann, bpe, counts, decontaminate, jaccard, licenses, quality, substring, toxicity, urls
 from acctiers.llm.runtime import crc_mod, table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -50,6 +50,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), k=5, every=50)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     items = table(spark, sf_dir, "benchmark", "item_id", "text")
@@ -85,6 +89,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
+    "op5_nearest": op5_nearest,
     "op6_decontamination": op6_decontamination,
     "op7_quality": op7_quality,
     "op8_jaccard_join": op8_jaccard_join,

@@ -100,7 +100,7 @@ class Model:
 
 
 def noisy_or(p: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
-    return -np.expm1(np.bincount(doc, weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=n))
+    return 0.0 - np.expm1(np.bincount(doc, weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=n))
 
 
 def select_features(s: Sentences, labels: np.ndarray) -> np.ndarray:

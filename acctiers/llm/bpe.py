@@ -155,8 +155,11 @@ def _encoder(tokens: list[bytes], key: tuple) -> tuple[BytePairs, Cache]:
     return _KEPT[key]
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>) of every row; each match of ``pattern`` is encoded by itself.
+def encode(
+    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False
+) -> DataFrame:
+    """(doc_id, ids array<int>) of every row, with ``keep_text`` the text too (null as empty); each match of
+    ``pattern`` is encoded by itself.
 
     The vocabulary is read on the driver and broadcast; its size is that of the file, not of the data.
     """
@@ -173,9 +176,11 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
                 flat.extend(chain.from_iterable(map(look, find_all(pattern, text))))
                 counts[i + 1] = len(flat)
             ids = pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(np.array(flat, np.int32)))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], ids], names=["doc_id", "ids"])
+            more = {"text": batch["text"]} if keep_text else {}
+            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "ids": ids} | more)
 
-    return keyed_text(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, ids array<int>")
+    schema = "doc_id bigint, ids array<int>" + (", text string" if keep_text else "")
+    return keyed_text(docs, id_col, text_col).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

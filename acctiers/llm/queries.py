@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from acctiers.llm import ann, bpe, counts, decontaminate, jaccard, licenses, quality, substring, toxicity, urls
 from acctiers.llm.runtime import crc_mod, table
 
@@ -95,6 +96,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_license_scan": op9_license_scan,
     "op10_url_filter": op10_url_filter,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {}

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctiers.session import scratch_path
@@ -32,11 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
-def keyed_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id long, text string) with null texts as empty, whatever else the table holds."""
+def keyed_text(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """(doc_id long, text string) with null texts as empty, whatever else the table holds, and columns of choice."""
     return docs.select(
         F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
+        *more,
     )
 
 
@@ -49,10 +48,6 @@ def crc_mod(column: str, n: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(n)
 
 
-def with_columns_of(docs: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return docs.select(*[F.col(f"`{c}`") for c in columns])
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` written to the shared folder and read back: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, name)

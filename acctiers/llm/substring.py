@@ -25,7 +25,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acctiers.llm import words as W
@@ -239,7 +239,7 @@ def duplicate_windows(docs: DataFrame, width: int = 13, anchor_words: int = ANCH
     )
 
 
-def _remove(width: int, respace: bool, carried: Sequence[str]):
+def _remove(width: int, respace: bool, carried: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.chunks(batches):
             words = W.batch_words(batch)
@@ -277,21 +277,21 @@ def remove_repeats(
     docs: DataFrame,
     width: int = 13,
     respace: bool = True,
-    carry: Sequence[str] = (),
+    carry: Sequence[str | Column] = (),
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept) of every row, and a struct ``carried`` of the columns ``carry``.
+    """(doc_id, n_words, n_removed, kept) of every row, and a struct ``carried`` of the columns ``carry`` of ``docs``.
 
     ``kept`` holds the words that stay, joined by one space; with ``respace`` off a text without cuts stays as it is.
     """
     rows = docs.select(
         F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
-        *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried")] if carry else []),
+        *([F.struct(*[F.col(f"`{c}`") if isinstance(c, str) else c for c in carry]).alias("carried")] if carry else []),
     )
     cuts = duplicate_windows(rows.select("doc_id", "text"), width)
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept string"
     if carry:
         schema += f", carried {rows.schema['carried'].dataType.simpleString()}"
-    return rows.join(cuts, "doc_id", "left").mapInArrow(_remove(width, respace, carry), schema)
+    return rows.join(cuts, "doc_id", "left").mapInArrow(_remove(width, respace, bool(carry)), schema)

@@ -160,8 +160,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit(sample["text"].combine_chunks(), sample["label"].to_numpy())
 
 
-def score(docs: DataFrame, model: Model, offends: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score, offending) of every row; ``offending``: byte spans of sentences with their scores."""
+def score(
+    docs: DataFrame, model: Model, offends: float = 0.5, id_col: str = "doc_id", text_col: str = "text", carry: bool = False
+) -> DataFrame:
+    """(doc_id, score, offending) of every row; ``offending``: byte spans of sentences with their scores.
+
+    With ``carry`` a struct ``carried`` of all columns of ``docs`` comes along.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     span = pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])
 
@@ -185,10 +190,14 @@ def score(docs: DataFrame, model: Model, offends: float = 0.5, id_col: str = "do
                     batch["doc_id"],
                     pa.array(noisy_or(p, s.doc, batch.num_rows)),
                     pa.ListArray.from_arrays(pa.array(counts, pa.int32()), rows),
+                    *([batch["carried"]] if carry else []),
                 ],
-                names=["doc_id", "score", "offending"],
+                names=["doc_id", "score", "offending", *(["carried"] if carry else [])],
             )
 
-    return keyed_text(docs, id_col, text_col).mapInArrow(
-        run, "doc_id bigint, score double, offending array<struct<begin:int,end:int,score:double>>"
-    )
+    more = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("carried")] if carry else []
+    rows = keyed_text(docs, id_col, text_col, *more)
+    schema = "doc_id bigint, score double, offending array<struct<begin:int,end:int,score:double>>"
+    if carry:
+        schema += f", carried {rows.schema['carried'].dataType.simpleString()}"
+    return rows.mapInArrow(run, schema)

@@ -31,6 +31,7 @@ from acctiers.llm.runtime import stored
 FIT_ROWS = 20_000
 BLOCK = 20_000
 BLOCK_QUERIES = 4_000
+LEAF_ROWS = 16  # sample rows in a leaf at least; fewer rows make shallower trees
 STEP = 256  # queries of one matrix product
 
 
@@ -168,7 +169,7 @@ def neighbours(
     every: int = 50,
     trees: int = 8,
     depth: int = 8,
-    share: float = 0.1,
+    share: float = 0.15,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
 ) -> DataFrame:
@@ -199,6 +200,7 @@ def neighbours(
     asked_vectors = classes.join(queries.select(F.col("query").alias("class")).distinct(), "class", "left_semi")
 
     sample = classes.orderBy(F.xxhash64("class"), "class").limit(FIT_ROWS).select("class", "vector").toArrow().sort_by("class")
+    depth = min(depth, max(0, (sample.num_rows // LEAF_ROWS).bit_length() - 1))
     forest = plant(unit_rows(matrix(sample["vector"], dim)), trees, depth)
     shared = spark.sparkContext.broadcast(forest)
     probes = max(1, round(share * trees * (1 << depth)))

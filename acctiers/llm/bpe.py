@@ -21,6 +21,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from acctiers.llm import words as W
 from acctiers.llm.pieces import Cache, find_all
@@ -187,7 +188,6 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: s
     """The rows of ``encoded`` with the bytes of their ids; null ids give no bytes."""
     tokens = read_ranks(ranks_path)
     shared = encoded.sparkSession.sparkContext.broadcast(tokens)
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.array(shared.value, pa.large_binary())
@@ -202,4 +202,4 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: s
             out = pa.Array.from_buffers(pa.large_binary(), batch.num_rows, [None, pa.py_buffer(offsets.tobytes()), data]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, out_col])
 
-    return encoded.mapInArrow(run, f"{ddl}, `{out_col}` binary")
+    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(out_col, T.BinaryType())]))

@@ -7,7 +7,8 @@
    possible item starts; where both lists agree the start is a candidate.
 3. For a candidate all words of the item are looked up in the index at their shifted places.  Runs of
    ``width`` found words are exact phrase matches.  A candidate without such a run is a proximity match
-   when at least ``near_share`` of the words of one window's span are found in place.
+   when at least ``near_share`` times the window's width of its words are found in place (among them the
+   two rarest of some window).
 
 Null, empty and too short texts have no words or no matches; an item without words matches nothing.
 Repeated items count once per item_id.  doc_id names a document: rows that repeat a doc_id with the same

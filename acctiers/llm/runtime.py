@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from acctiers.session import scratch_path
 
@@ -39,6 +40,11 @@ def keyed_text(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> Da
     )
 
 
+def extended(ddl: str, *more: T.StructField) -> T.StructType:
+    """A schema from text and fields whose names text may not express."""
+    return T.StructType([*T._parse_datatype_string(ddl).fields, *more])
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acctiers.llm import words as W
-from acctiers.llm.runtime import keyed_text
+from acctiers.llm.runtime import extended, keyed_text
 
 U = np.uint64
 FIT_ROWS = 8_000
@@ -197,7 +197,5 @@ def score(
 
     more = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("carried")] if carry else []
     rows = keyed_text(docs, id_col, text_col, *more)
-    schema = "doc_id bigint, score double, offending array<struct<begin:int,end:int,score:double>>"
-    if carry:
-        schema += f", carried {rows.schema['carried'].dataType.simpleString()}"
-    return rows.mapInArrow(run, schema)
+    ddl = "doc_id bigint, score double, offending array<struct<begin:int,end:int,score:double>>"
+    return rows.mapInArrow(run, extended(ddl, *([rows.schema["carried"]] if carry else [])))

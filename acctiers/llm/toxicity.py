@@ -29,6 +29,7 @@ U = np.uint64
 FIT_ROWS = 8_000
 FIT_BYTES = 32_768
 FEATURES = 6_000
+SLICE = 256  # texts of the sample worked on at a time
 PREFIXES = (4, 5, 6)  # bytes of the word beginnings used beside whole words
 ENDS = np.zeros(256, bool)
 ENDS[[ord(c) for c in ".!?\n\r"]] = True
@@ -103,20 +104,37 @@ def noisy_or(p: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return 0.0 - np.expm1(np.bincount(doc, weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=n))
 
 
-def select_features(s: Sentences, labels: np.ndarray) -> np.ndarray:
+def _slices(texts: pa.Array) -> Iterator[tuple[int, Sentences]]:
+    """A few texts at a time, so that word arrays stay small."""
+    for low in range(0, len(texts), SLICE):
+        yield low, sentences(*W.buffers(texts.slice(low, SLICE)))
+
+
+def select_features(texts: pa.Array, labels: np.ndarray) -> np.ndarray:
     """Features most associated with the labels of the texts they stand in (chi square), in hash order."""
-    table = features(s.words)
-    hashes, number = np.unique(table.ravel(), return_inverse=True)
-    doc = np.repeat(s.words.doc, table.shape[1])
-    pair = np.unique(number.ravel() * len(labels) + doc)
-    number, doc = pair // len(labels), pair % len(labels)
-    seen = np.bincount(number, minlength=len(hashes)).astype(float)
-    hit = np.bincount(number, weights=labels[doc].astype(float), minlength=len(hashes))
+    hashes, toxic = [], []
+    for low, s in _slices(texts):
+        table = features(s.words)
+        doc, value = np.repeat(s.words.doc, table.shape[1]), table.ravel()
+        order = np.lexsort((value, doc))
+        doc, value = doc[order], value[order]
+        fresh = np.ones(len(doc), bool)
+        fresh[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
+        hashes.append(value[fresh])
+        toxic.append(labels[low + doc[fresh]].astype(bool))
+    value, toxic = np.concatenate(hashes), np.concatenate(toxic)
+    order = np.argsort(value)
+    value, toxic = value[order], toxic[order]
+    heads = np.flatnonzero(np.concatenate([np.ones(min(len(value), 1), bool), value[1:] != value[:-1]]))
+    if not len(heads):
+        return value
+    seen = np.diff(np.append(heads, len(value))).astype(float)
+    hit = np.add.reduceat(toxic.astype(np.float64), heads)
     share = labels.mean()
     excess = (hit - seen * share) ** 2 / (seen * share * (1 - share)) * len(labels) / np.maximum(len(labels) - seen, 1)
     excess[seen < 3] = 0
     best = np.argsort(-excess, kind="stable")[:FEATURES]
-    return np.sort(hashes[best[excess[best] > 6]])
+    return np.sort(value[heads[best[excess[best] > 6]]])
 
 
 def fit(texts: pa.Array, labels: np.ndarray, steps: int = 250, decay: float = 2e-4) -> Model:
@@ -125,19 +143,24 @@ def fit(texts: pa.Array, labels: np.ndarray, steps: int = 250, decay: float = 2e
     if len(np.unique(labels)) < 2:
         share = float(labels.mean()) if len(labels) else 0.0
         return Model(bias=float(np.log(share / (1 - share))) if 0 < share < 1 else (30.0 if share else -30.0))
-    s = sentences(*W.buffers(texts))
-    model = Model(select_features(s, labels))
+    model = Model(select_features(texts, labels))
     model.weights = np.zeros(len(model.keys))
-    sentence, number = model.incidence(s)
-    n_sentences, n = len(s.doc), len(labels)
+    parts, docs, n_sentences = [], [], 0
+    for low, s in _slices(texts):
+        of, number = model.incidence(s)
+        parts.append((of + n_sentences, number))
+        docs.append(s.doc + low)
+        n_sentences += len(s.doc)
+    sentence, number = (np.concatenate(x) for x in zip(*parts, strict=True))
+    doc, n = np.concatenate(docs), len(labels)
     bias, theta = -4.0, np.zeros(len(model.keys))
     first, second, bias_first, bias_second = np.zeros_like(theta), np.zeros_like(theta), 0.0, 0.0
     for step in range(1, steps + 1):
         model.weights, model.bias = theta, bias
         p = model.sentence_scores(sentence, number, n_sentences)
-        whole = np.clip(noisy_or(p, s.doc, n), 1e-9, 1 - 1e-9)
+        whole = np.clip(noisy_or(p, doc, n), 1e-9, 1 - 1e-9)
         pull = np.where(labels == 1, (1 - whole) / whole, -1.0)  # d log likelihood / d z, over p
-        slope = -p * pull[s.doc] / n
+        slope = -p * pull[doc] / n
         grad = np.bincount(number, weights=slope[sentence], minlength=len(theta)) + decay * theta / max(len(theta), 1)
         bias_grad = slope.sum()
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad**2

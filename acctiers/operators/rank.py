@@ -1,15 +1,13 @@
 """Whole-table ranks, prefix sums and exact quantiles without a single-task window.
 
-``rank()`` over an unpartitioned window moves a table into one task.  Two other shapes are used:
-
-* **average rank** - approximate quantiles give up to ``buckets`` cut values per group.  Each cut
-  value is a bucket of its own (all rows equal, so its rank follows from counts and needs no
-  shuffle, however many copies there are); the open intervals between cuts hold about
-  ``n / buckets`` rows and are ranked by a window inside the interval.  The cuts are frozen, so
-  every branch of the plan sees the same ones; they decide only balance, never the result.
-* **ordinal rank / prefix sum** - a range partitioned sort on a unique key.  Ties are split by the
-  tie-break column, so equal values spread over tasks.  Position = partition offset + position
-  inside the partition.
+``rank()`` over an unpartitioned window moves a table into one task.  Everything here rests on two shapes
+that work alike at every size:
+
+* **ladder** - equal values fold to one row with their count (in the map step first, so a value that fills
+  a third of the table costs one row per task), and the ladder's rows get running counts.  Average ranks
+  and exact quantiles are read off the ladder.
+* **running totals** - a range partitioned sort on a unique key, then offset of the partition + position
+  inside it.  Ties are split by a tie-break column, so equal leading values spread over tasks.
 """
 
 from __future__ import annotations
@@ -24,26 +22,21 @@ from acctiers.session import freeze, wide_partitions
 
 _STRIDE = 16
 
-# A table known to have at most this many rows is ranked by one plain window per group.
-SMALL = 1_000_000
 
-
-def _cut_values(df: DataFrame, value: str, by: Sequence[str], buckets: int) -> DataFrame:
-    """One row per group: sorted distinct cut values, and every 16th of them for a coarse search."""
-    probs = literals([i / buckets for i in range(1, buckets)])
-    cuts = df.groupBy(*by).agg(
-        F.array_sort(F.array_distinct(F.percentile_approx(value, probs, 4 * buckets))).alias("_cuts")
-    )
-    return freeze(cuts.withColumn("_coarse", every_stride("_cuts")))
-
-
-def _bucket(value: Column) -> Column:
-    """2k for the open interval below cut k, 2k+1 for the cut value itself."""
-    start = F.size(F.filter("_coarse", lambda c: c < value)) * _STRIDE
-    near = F.slice("_cuts", start + 1, _STRIDE)
-    below = start + F.size(F.filter(near, lambda c: c < value))
-    at_cut = F.get("_cuts", below) == value
-    return 2 * below + F.when(at_cut, 1).otherwise(0)
+def _ladder(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """(by, _v, _n, _upto, _start, _total): counts of each value, running counts, and the group's range of them."""
+    names = [f"_by{i}" for i in range(len(by))]
+    keys = [F.col(c).alias(n) for c, n in zip(by, names, strict=True)]
+    counts = df.select(*keys, F.col(value).cast("double").alias("_v")).groupBy(*names, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    upto = running_total(counts, [*[F.col(n).asc() for n in names], F.col("_v").asc()], "_n", "_place", "_upto", "_all")
+    if not names:
+        return upto.select("_v", "_n", "_upto", F.lit(0).alias("_start"), F.col("_all").alias("_total"))
+    spans = upto.groupBy(*names).agg(F.min(F.col("_upto") - F.col("_n")).alias("_start"), F.sum("_n").alias("_total"))
+    # one row per group; callers group by columns with few distinct values
+    spans = spans.select(*[F.col(n).alias(f"{n}g") for n in names], "_start", "_total")
+    same = [upto[n].eqNullSafe(spans[f"{n}g"]) for n in names]
+    joined = upto.join(F.broadcast(spans), same)
+    return joined.select(*[F.col(n) for n in names], "_v", "_n", "_upto", "_start", "_total")
 
 
 def average_rank(
@@ -52,59 +45,29 @@ def average_rank(
     by: Sequence[str] = (),
     rank: str = "rank",
     total: str | None = None,
-    buckets: int = 256,
     method: str = "average",
-    rows: int | None = None,
 ) -> DataFrame:
     """Add the rank (1 = smallest) of a non-null numeric column; ties share the mean of their places,
     or the lowest of them with ``method="min"``.
 
     ``by`` names grouping columns with few distinct values (a feature name, a tier pair);
-    ``total`` adds the group's row count; ``rows`` is an upper bound on the table's row count where
-    the caller knows one.  ``df`` is read four times, so pass a table that is cheap to read (stored or frozen).
+    ``total`` adds the group's row count.  ``df`` is read twice, so pass a table that is cheap to read.
     """
-    by = list(by)
-    columns = df.columns
-    if rows is not None and rows <= SMALL:
-        return _small_rank(df, value, by, rank, total, method)
-    group = ["_group", *by]
-    source = df.withColumn("_group", F.lit(0)).withColumn("_v", F.col(value).cast("double"))
-    cuts = _cut_values(source, "_v", group, buckets)
-    # one row per group: the size is the number of groups times ``buckets``
-    placed = source.join(F.broadcast(cuts), group).withColumn("_bucket", _bucket(F.col("_v")))
-    placed = placed.drop("_cuts", "_coarse")
-
-    prefix = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*group)
-    offsets = placed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # at most 2 * buckets rows per group
-    offsets = offsets.withColumns(
-        {
-            "_before": F.coalesce(F.sum("_n").over(prefix), F.lit(0)),
-            "_total": F.sum("_n").over(whole),
-        }
-    )
-    placed = placed.join(F.broadcast(offsets), [*group, "_bucket"])
-
+    by, columns = list(by), df.columns
+    steps = _ladder(df, value, by)
     share = 0.5 if method == "average" else 0.0
-    at_cut = placed.filter(F.col("_bucket") % 2 == 1).withColumn("_inside", 1 + (F.col("_n") - 1) * F.lit(share))
-    inside = Window.partitionBy(*group, "_bucket").orderBy("_v")
-    peers = Window.partitionBy(*group, "_bucket", "_v")
-    between = placed.filter(F.col("_bucket") % 2 == 0).withColumn(
-        "_inside", F.rank().over(inside) + (F.count(F.lit(1)).over(peers) - 1) * F.lit(share)
+    first = F.col("_upto") - F.col("_n") - F.col("_start") + 1
+    steps = steps.select(
+        *[F.col(f"_by{i}") for i in range(len(by))],
+        "_v",
+        (first + (F.col("_n") - 1) * F.lit(share)).alias("_rank"),
+        F.col("_total").cast("bigint").alias("_size"),
     )
-    ranked = at_cut.unionByName(between)
-    extra = [F.col("_total").alias(total)] if total else []
-    return ranked.select(*columns, (F.col("_before") + F.col("_inside")).alias(rank), *extra)
-
-
-def _small_rank(df: DataFrame, value: str, by: list[str], rank: str, total: str | None, method: str) -> DataFrame:
-    group = by or [F.lit(0)]
-    place = F.rank().over(Window.partitionBy(*group).orderBy(value)).cast("double")
-    if method == "average":
-        place = place + (F.count(F.lit(1)).over(Window.partitionBy(*group, value)) - 1) / F.lit(2.0)
-    extra = [F.count(F.lit(1)).over(Window.partitionBy(*group)).alias(total)] if total else []
-    return df.select("*", place.alias(rank), *extra)
+    # a hot value is one row of the ladder; its rows are split by the skew-join setting of the session
+    keyed = df.withColumns({"_v": F.col(value).cast("double")} | {f"_by{i}": F.col(c) for i, c in enumerate(by)})
+    same = [keyed["_v"].eqNullSafe(steps["_v"]), *[keyed[f"_by{i}"].eqNullSafe(steps[f"_by{i}"]) for i in range(len(by))]]
+    extra = [steps["_size"].alias(total)] if total else []
+    return keyed.join(steps, same).select(*[keyed[c] for c in columns], steps["_rank"].alias(rank), *extra)
 
 
 def percent_rank_average(df: DataFrame, value: str, by: Sequence[str] = (), out: str = "pct", **kw) -> DataFrame:
@@ -154,14 +117,9 @@ def ordinal_rank(
     total: str | None = None,
     by: Sequence[str] = (),
     partitions: int | None = None,
-    rows: int | None = None,
 ) -> DataFrame:
     """Row number 1..n in ``order`` (a total order), per group where ``by`` names few-valued columns."""
     by = list(by)
-    group = Window.partitionBy(*(by or [F.lit(0)]))
-    if rows is not None and rows <= SMALL:
-        extra = [F.count(F.lit(1)).over(group).alias(total)] if total else []
-        return df.select("*", F.row_number().over(group.orderBy(*order)).cast("bigint").alias(rank), *extra)
     positions = sorted_positions(df, [*[F.col(c).asc() for c in by], *order], partitions)
     offsets = _partition_offsets(positions)
     placed = positions.join(F.broadcast(offsets), "_part").withColumn(
@@ -199,42 +157,31 @@ def running_total(
     )
 
 
-def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    rows: int | None = None,
-    accuracy: int = 10_000,
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles with linear interpolation: columns ``by``, ``p``, ``quantile``.
 
-    Up to ``SMALL`` rows (``rows``, or counted here) the built-in exact percentile does it in one aggregate.  Beyond,
-    its per-group value map would not fit one task, so an approximate sketch brackets each wanted
-    position, one pass counts the values below and inside each bracket, and the two neighbours of
-    the position are read from the bracket's histogram.  A bracket that misses its position is
-    replaced by the whole value range, so the answer never rests on the sketch's error bound.
+    The two neighbours of each wanted position are the ladder steps whose running counts pass it.
     """
     by = list(by)
     probs = [float(p) for p in probs]
-    group = ["_group", *by]
-    source = df.select(F.lit(0).alias("_group"), *by, F.col(value).cast("double").alias("_v")).filter("_v is not null")
-    if (source.count() if rows is None else rows) <= SMALL:
-        wide = source.groupBy(*by).agg(F.percentile("_v", literals(probs)).alias("_q"))
-        at = F.posexplode("_q").alias("_i", "quantile")
-        return wide.select(*by, at).select(*by, F.get(literals(probs), F.col("_i")).alias("p"), "quantile").filter(
-            "quantile is not null"
-        )
-
-    brackets = _brackets(source, probs, group, 2.0 / accuracy, accuracy)
-    found = freeze(_read_brackets(source, brackets, group))
-    missed = found.filter("not hit").select(*group, "_i")
-    if not missed.isEmpty():
-        ends = source.groupBy(*group).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-        again = brackets.join(missed, [*group, "_i"], "left_semi").drop("_low", "_high")
-        retry = freeze(again.join(ends, group))
-        found = found.filter("hit").unionByName(_read_brackets(source, retry, group))
-    return found.select(*by, F.get(literals(probs), F.col("_i")).alias("p"), "quantile")
+    steps = _ladder(df.filter(F.col(value).isNotNull()), value, by)
+    position = F.get(literals(probs), F.col("_i")) * (F.col("_total") - 1)
+    wanted = steps.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(len(probs) - 1)))).withColumn("_position", position)
+    below, upto = F.col("_upto") - F.col("_n") - F.col("_start"), F.col("_upto") - F.col("_start")
+    low_at, high_at = F.floor("_position"), F.ceil("_position")
+    hit = wanted.withColumns(
+        {"_low": (below <= low_at) & (low_at < upto), "_high": (below <= high_at) & (high_at < upto)}
+    ).filter("_low or _high")
+    names = [f"_by{i}" for i in range(len(by))]
+    found = hit.groupBy(*names, "_i").agg(
+        F.max("_position").alias("_position"),
+        F.max(F.when(F.col("_low"), F.col("_v"))).alias("_lo"),
+        F.max(F.when(F.col("_high"), F.col("_v"))).alias("_hi"),
+    )
+    quantile = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_position") - F.floor("_position"))
+    return found.select(
+        *[F.col(n).alias(c) for n, c in zip(names, by, strict=True)], F.get(literals(probs), F.col("_i")).alias("p"), quantile.alias("quantile")
+    )
 
 
 def literals(values: Sequence[float]) -> Column:
@@ -242,54 +189,6 @@ def literals(values: Sequence[float]) -> Column:
     return F.expr(f"array({', '.join(f'double({float(v)!r})' if math.isfinite(v) else f'double({str(v)!r})' for v in values)})")
 
 
-def _brackets(source: DataFrame, probs: list[float], by: list[str], margin: float, accuracy: int) -> DataFrame:
-    """Frozen, one row per (group, prob): wanted positions and a value interval that should hold them."""
-    lows = literals([max(p - margin, 0.0) for p in probs])
-    highs = literals([min(p + margin, 1.0) for p in probs])
-    stats = source.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", lows, accuracy).alias("_lows"),
-        F.percentile_approx("_v", highs, accuracy).alias("_highs"),
-    )
-    rows = stats.select(*by, "_n", F.posexplode(F.arrays_zip("_lows", "_highs")).alias("_i", "_z"))
-    position = (F.col("_n") - 1) * F.get(literals(probs), F.col("_i"))
-    return freeze(
-        rows.select(
-            *by, "_i", position.alias("_position"), F.col("_z._lows").alias("_low"), F.col("_z._highs").alias("_high")
-        )
-    )
-
-
-def _read_brackets(source: DataFrame, brackets: DataFrame, by: list[str]) -> DataFrame:
-    key = [*by, "_i"]
-    small = F.broadcast(brackets.groupBy(*by).agg(F.collect_list(F.struct("_i", "_low", "_high")).alias("_b")))
-    # one bracket row per group and probability: the broadcast side is that many numbers
-    seen = source.join(small, by)
-    hits = seen.select(
-        *by,
-        "_v",
-        F.explode(F.filter("_b", lambda b: F.col("_v") <= b["_high"])).alias("_b"),
-    )
-    inside = F.col("_v") >= F.col("_b._low")
-    # values under the bracket fold into one null-valued row per map task
-    counts = hits.groupBy(*by, F.col("_b._i").alias("_i"), F.when(inside, F.col("_v")).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    upto = Window.partitionBy(*key).orderBy(F.col("_v").asc_nulls_first())
-    ladder = counts.withColumn("_upto", F.sum("_n").over(upto)).join(F.broadcast(brackets.select(*key, "_position")), key)
-    low_at, high_at = F.floor("_position"), F.ceil("_position")
-    reached = ladder.groupBy(*key).agg(
-        F.first("_position").alias("_position"),
-        F.min(F.when(F.col("_upto") > low_at, F.struct("_upto", "_v"))).alias("_lo"),
-        F.min(F.when(F.col("_upto") > high_at, F.struct("_upto", "_v"))).alias("_hi"),
-    )
-    fraction = F.col("_position") - F.floor("_position")
-    low, high = F.col("_lo._v"), F.col("_hi._v")
-    return reached.select(*key, (low + (high - low) * fraction).alias("quantile")).withColumn(
-        "hit", F.col("quantile").isNotNull()
-    )
-
-
 def quantile_bins(df: DataFrame, columns: dict[str, str], bins: int = 1024) -> DataFrame:
     """Add a bin number per column: the count of cut values at or below it, cuts being quantiles.
 

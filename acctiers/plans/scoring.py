@@ -29,12 +29,20 @@ class Scored:
 
     scores: DataFrame
     oriented: DataFrame
-    weights: dict[str, float]
+    by_day: dict[date, dict[str, float]]
     expert: dict[str, float]
 
+    @property
+    def weights(self) -> dict[str, float]:
+        """The weights used, where all dates have the same."""
+        used = list(self.by_day.values())
+        if any(w != used[0] for w in used):
+            raise ValueError("the dates have different weights; pick one date first")
+        return used[0]
+
     @cached_property
     def entropy(self) -> dict[str, float]:
-        """Entropy weights of the (single) date; worked out only when asked for."""
+        """Entropy weights of a single date; worked out only when asked for."""
         return entropy_weights(self.oriented, list(self.expert))
 
 
@@ -43,37 +51,36 @@ def to_long(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def by_date(values: Mapping[date, float], default: float = 0.0) -> Column:
-    """The number belonging to the row's as-of date."""
-    if len(set(values.values())) <= 1:
-        return F.lit(float(next(iter(values.values()), default)))
+    """The number belonging to the row's as-of date; ``default`` for dates without one."""
+    if not values:
+        return F.lit(default)
     pairs = [x for day, v in values.items() for x in (F.lit(day), F.lit(float(v)))]
     return F.coalesce(F.create_map(*pairs)[F.col("as_of_date")], F.lit(default))
 
 
-def _quantile_table(df: DataFrame, names: list[str], probs: list[float], rows: int | None) -> dict:
+def _quantile_table(df: DataFrame, names: list[str], probs: list[float]) -> dict:
     """(feature, p) -> {date: quantile}; dates x features x probs numbers."""
-    found = exact_quantiles(to_long(df, names), "value", probs, by=["as_of_date", "feature"], rows=rows)
+    found = exact_quantiles(to_long(df, names), "value", probs, by=["as_of_date", "feature"])
     table: dict[tuple[str, float], dict[date, float]] = {}
     for r in found.collect():
         table.setdefault((r["feature"], r["p"]), {})[r["as_of_date"]] = r["quantile"]
     return table
 
 
-def prepare(features: DataFrame, spec: dict, winsor: tuple[float, float] | None, rows: int | None = None) -> DataFrame:
+def prepare(features: DataFrame, spec: dict, winsor: tuple[float, float] | None) -> DataFrame:
     """Oriented feature values, higher always better.
 
     Order matters: missing values take the median before the log, and the winsor bounds are
     quantiles of the transformed value (an interpolated quantile does not commute with a log).
     """
     names = list(spec)
-    cells = None if rows is None else rows * len(names)
-    medians = _quantile_table(features, names, [0.5], cells)
+    medians = _quantile_table(features, names, [0.5])
     filled = features.select(*ID, *[F.col(n).cast("double").alias(n) for n in names])
     filled = filled.withColumns({n: F.coalesce(F.col(n), by_date(medians.get((n, 0.5), {}))) for n in names})
     moved = filled.withColumns({n: log_positive(F.col(n)) for n in names if spec[n].get("transform") == "log1p"})
     if winsor:
         low, high = winsor
-        bounds = _quantile_table(moved, names, [low, high], cells)
+        bounds = _quantile_table(moved, names, [low, high])
         moved = moved.withColumns(
             {n: clip(F.col(n), by_date(bounds[n, low]), by_date(bounds[n, high])) for n in names}
         )
@@ -81,11 +88,10 @@ def prepare(features: DataFrame, spec: dict, winsor: tuple[float, float] | None,
     return moved.withColumns({n: F.col(n) * F.lit(float(spec[n].get("direction", 1))) + F.lit(0.0) for n in names})
 
 
-def normalize_percentile(oriented: DataFrame, names: list[str], rows: int | None = None) -> DataFrame:
+def normalize_percentile(oriented: DataFrame, names: list[str]) -> DataFrame:
     """Average rank / n for every feature at once, ranked in long form and folded back per customer."""
     long = to_long(oriented, names)
-    cells = None if rows is None else rows * len(names)
-    ranked = percent_rank_average(long, "value", by=["as_of_date", "feature"], out="pct", rows=cells)
+    ranked = percent_rank_average(long, "value", by=["as_of_date", "feature"], out="pct")
     return ranked.groupBy(*ID).agg(*[F.max(F.when(F.col("feature") == n, F.col("pct"))).alias(n) for n in names])
 
 
@@ -94,7 +100,7 @@ def _per_date(oriented: DataFrame, aggregates: dict[str, Column]) -> dict[str, d
     return {n: {r["as_of_date"]: r[n] for r in rows} for n in aggregates}
 
 
-def normalize_minmax(oriented: DataFrame, names: list[str], rows: int | None = None) -> DataFrame:
+def normalize_minmax(oriented: DataFrame, names: list[str]) -> DataFrame:
     ends = _per_date(oriented, {f"{e}_{n}": f(n) for n in names for e, f in (("lo", F.min), ("hi", F.max))})
 
     def scaled(n: str) -> Column:
@@ -104,7 +110,7 @@ def normalize_minmax(oriented: DataFrame, names: list[str], rows: int | None = N
     return oriented.select(*ID, *[scaled(n).alias(n) for n in names])
 
 
-def normalize_zscore(oriented: DataFrame, names: list[str], rows: int | None = None) -> DataFrame:
+def normalize_zscore(oriented: DataFrame, names: list[str]) -> DataFrame:
     stats = _per_date(oriented, {f"{e}_{n}": f(n) for n in names for e, f in (("mu", F.avg), ("sd", F.stddev_pop))})
 
     def probability(n: str) -> Column:
@@ -121,10 +127,10 @@ NORMALIZERS = {
 }
 
 
-def normalize(oriented: DataFrame, names: list[str], method: str = "percentile", rows: int | None = None) -> DataFrame:
+def normalize(oriented: DataFrame, names: list[str], method: str = "percentile") -> DataFrame:
     if method not in NORMALIZERS:
         raise ValueError(f"unknown normalization {method!r}")
-    return NORMALIZERS[method](oriented, names, rows)
+    return NORMALIZERS[method](oriented, names)
 
 
 def scale_to_one(weights: dict[str, float]) -> dict[str, float]:
@@ -135,26 +141,36 @@ def scale_to_one(weights: dict[str, float]) -> dict[str, float]:
 
 
 def entropy_table(oriented: DataFrame, names: list[str]) -> DataFrame:
-    """Diversity (1 - entropy) per feature, on min-max values so that dispersion (not rank) counts.
+    """Diversity (1 - entropy) per date and feature, on min-max values so that dispersion (not rank) counts.
 
     With S = sum x and T = sum x ln x, sum p ln p = T/S - ln S, so two plain aggregates do it.
     """
     long = normalize_minmax(oriented, names).unpivot(ID, names, "feature", "x")
     x = F.col("x") + F.lit(EPSILON)
-    sums = long.groupBy("feature").agg(
+    sums = long.groupBy("as_of_date", "feature").agg(
         F.sum(x).alias("s"), F.sum(x * F.log(x)).alias("t"), F.count(F.lit(1)).alias("n")
     )
     entropy = -(F.col("t") / F.col("s") - F.log("s")) / F.log(F.col("n").cast("double"))
-    return sums.select(
-        "feature", "n", F.when(F.col("n") > 1, F.greatest(1 - entropy, F.lit(0.0))).otherwise(0.0).alias("diversity")
-    )
+    diversity = F.when(F.col("n") > 1, F.greatest(1 - entropy, F.lit(0.0))).otherwise(0.0)
+    return sums.select("as_of_date", "feature", "n", diversity.alias("diversity"))
+
+
+def entropy_by_date(oriented: DataFrame, names: list[str]) -> dict[date, dict[str, float]]:
+    """Entropy weights of every date: dates x features numbers."""
+    found: dict[date, dict[str, float]] = {}
+    for r in entropy_table(oriented, names).collect():
+        found.setdefault(r["as_of_date"], {})[r["feature"]] = r["diversity"]
+    return {
+        day: scale_to_one({n: d[n] for n in names} if sum(d.values()) else dict.fromkeys(names, 1.0)) for day, d in found.items()
+    }
 
 
 def entropy_weights(oriented: DataFrame, names: list[str]) -> dict[str, float]:
-    diversity = {r["feature"]: r["diversity"] for r in entropy_table(oriented, names).collect()}
-    if sum(diversity.values()) == 0:
-        return scale_to_one(dict.fromkeys(names, 1.0))
-    return scale_to_one({n: diversity[n] for n in names})
+    """Entropy weights of a table of one date."""
+    found = entropy_by_date(oriented, names)
+    if len(found) > 1:
+        raise ValueError("entropy weights belong to one date; use entropy_by_date")
+    return next(iter(found.values()), scale_to_one(dict.fromkeys(names, 1.0)))
 
 
 def expert_weights(cfg: dict) -> dict[str, float]:
@@ -171,33 +187,36 @@ def resolve_weights(method: str, expert: dict[str, float], entropy: dict[str, fl
     raise ValueError(f"unknown weighting {method!r}")
 
 
-def weighted_score(weights: dict[str, float], suffix: str = "") -> Column:
+def weighted_score(weights: Mapping[str, float | Column], suffix: str = "") -> Column:
     """Weighted sum x 100, held to 0..100 and rounded to four places."""
-    total = reduce(lambda a, b: a + b, [F.col(n + suffix) * F.lit(w) for n, w in weights.items()])
+    terms = [F.col(n + suffix) * (w if isinstance(w, Column) else F.lit(w)) for n, w in weights.items()]
+    total = reduce(lambda a, b: a + b, terms)
     return F.round(clip(total * 100, F.lit(0.0), F.lit(100.0)), 4)
 
 
 def composite_score(
-    features: DataFrame, cfg: dict | None = None, weights: dict[str, float] | None = None, rows: int | None = None
+    features: DataFrame, cfg: dict | None = None, weights: dict[str, float] | None = None
 ) -> Scored:
-    """Scores of all customers; ``rows`` is the feature table's row count where known.
-
-    Data-driven weights belong to one date, so they need a single-date feature table.
-    """
+    """Scores of all customers; data-driven weights are found for each date by itself."""
     cfg = cfg or TIERING
     spec = cfg["features"]
     names = list(spec)
-    oriented = prepare(features, spec, cfg.get("winsor"), rows)
-    normalized = normalize(oriented, names, cfg["normalization"], rows)
+    oriented = prepare(features, spec, cfg.get("winsor"))
+    normalized = normalize(oriented, names, cfg["normalization"])
     expert = expert_weights(cfg)
     if weights:
-        used = scale_to_one(weights)
+        used, by_day = scale_to_one(weights), None
+    elif cfg["weighting"] == "config":
+        used, by_day = expert, None
     else:
-        entropy = entropy_weights(oriented, names) if cfg["weighting"] != "config" else None
-        used = resolve_weights(cfg["weighting"], expert, entropy)
+        found = entropy_by_date(oriented, names)
+        by_day = {day: resolve_weights(cfg["weighting"], expert, w) for day, w in found.items()}
+        used = {n: by_date({day: w[n] for day, w in by_day.items()}) for n in names}
     scores = normalized.select(
         *ID,
         *[F.col(n).alias(f"{n}_score") for n in names],
         weighted_score({n: used[n] for n in names}).alias("composite_score"),
     )
-    return Scored(scores, oriented, used, expert)
+    if by_day is None:
+        by_day = {None: used}
+    return Scored(scores, oriented, by_day, expert)

@@ -49,11 +49,10 @@ def assign_tiers(
     score: str = "composite_score",
     tie: str = "customer_id",
     by: Sequence[str] = (),
-    rows: int | None = None,
 ) -> DataFrame:
     """Tiers from the top down by share of customers; equal scores go by ``tie`` ascending."""
     order = [F.col(score).desc(), F.col(tie).asc()]
-    ranked = ordinal_rank(scores, order, rank="_rank", total="_size", by=by, rows=rows)
+    ranked = ordinal_rank(scores, order, rank="_rank", total="_size", by=by)
     tier = tier_from_share(F.col("_rank") / F.col("_size"), tiers)
     return (
         ranked.withColumn("tier", tier)
@@ -63,9 +62,9 @@ def assign_tiers(
 
 
 def with_score_percentile(
-    scores: DataFrame, score: str = "composite_score", by: Sequence[str] = (), rows: int | None = None
+    scores: DataFrame, score: str = "composite_score", by: Sequence[str] = ()
 ) -> DataFrame:
-    ranked = percent_rank_average(scores, score, by=by, out="score_percentile", rows=rows)
+    ranked = percent_rank_average(scores, score, by=by, out="score_percentile")
     return ranked.withColumn("score_percentile", F.round("score_percentile", 4))
 
 
@@ -77,15 +76,15 @@ class TierRun:
     scored: Scored
     as_of: date
     features: DataFrame
-    rows: int
     segments: object | None = None
 
     def at(self, day: date | str) -> TierRun:
         day = as_date(day)
         on_day = F.col("as_of_date") == F.lit(day)
         s = self.scored
-        scored = Scored(s.scores.filter(on_day), s.oriented.filter(on_day), s.weights, s.expert)
-        return TierRun(self.tiers.filter(on_day), scored, day, self.features.filter(on_day), self.rows)
+        weights = {day: s.by_day[day]} if day in s.by_day else s.by_day
+        scored = Scored(s.scores.filter(on_day), s.oriented.filter(on_day), weights, s.expert)
+        return TierRun(self.tiers.filter(on_day), scored, day, self.features.filter(on_day))
 
     def normalized(self) -> DataFrame:
         """customer_id and the normalised features, which do not depend on the weights."""
@@ -109,17 +108,16 @@ def score_customers(
     several = not isinstance(as_of, (date, str))
     build = build_features_multi if several else build_features
     features = freeze(build(orders, lines, customers, as_of, cfg["lookback_days"], cfg["min_orders"]))
-    rows = features.count()
-    if not rows:
+    if features.isEmpty():
         raise ValueError(f"no customers with >= {cfg['min_orders']} orders in the look-back window at {as_of}")
-    scored = composite_score(features, cfg, rows=rows)
+    scored = composite_score(features, cfg)
     scored.scores = freeze(scored.scores)
     date_key = ["as_of_date"]
-    tiers = assign_tiers(scored.scores, cfg["tiers"], by=date_key, rows=rows)
-    table = features.join(with_score_percentile(tiers, by=date_key, rows=rows), ["customer_id", "as_of_date"])
+    tiers = assign_tiers(scored.scores, cfg["tiers"], by=date_key)
+    table = features.join(with_score_percentile(tiers, by=date_key), ["customer_id", "as_of_date"])
     table = table.select(*features.columns, *[c for c in table.columns if c not in features.columns])
     last = max(map(as_date, as_of)) if several else as_date(as_of)
-    run = TierRun(freeze(table), scored, last, features, rows)
+    run = TierRun(freeze(table), scored, last, features)
     if segment:
         from acctiers.plans.segments import behavioral_segments
 

@@ -72,7 +72,7 @@ def _tie_sum(df: DataFrame, value: str, *by: str) -> DataFrame:
 
 def kruskal_wallis(judged: DataFrame, alpha: float = 0.05, value: str = "future_revenue") -> DataFrame:
     """Tie-corrected H and epsilon squared over tiers."""
-    ranked = average_rank(judged.select("tier", value), value, rank="_r", rows=judged.count())
+    ranked = average_rank(judged.select("tier", value), value, rank="_r")
     per_tier = ranked.groupBy("tier").agg(F.count(F.lit(1)).alias("n"), F.sum("_r").alias("r"))
     ties = _tie_sum(judged, value).scalar()
     n = F.col("n").cast("double")
@@ -137,7 +137,7 @@ def adjacent_tier_tests(judged: DataFrame, alpha: float = 0.05) -> DataFrame:
         .join(F.broadcast(places), "tier_rank")  # one row per tier
         .select("tier", "_place", "future_revenue", F.explode(pairs).alias("pair"))
     )
-    ranked = average_rank(spread, "future_revenue", by=["pair"], rank="_r", rows=2 * judged.count())
+    ranked = average_rank(spread, "future_revenue", by=["pair"], rank="_r")
     high = F.col("_place") == F.col("pair")
     sums = ranked.groupBy("pair").agg(
         F.max(F.when(high, F.col("tier"))).alias("higher"),
@@ -266,7 +266,7 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """Rank correlation from exact average ranks, with its two-sided t test."""
     pairs = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
     rows = df.count()
-    both = average_rank(average_rank(pairs, "x", rank="rx", rows=rows), "y", rank="ry", rows=rows)
+    both = average_rank(average_rank(pairs, "x", rank="rx"), "y", rank="ry")
     one = both.agg(F.corr("rx", "ry").alias("spearman_rho"), F.count(F.lit(1)).cast("double").alias("_n"))
     rho = F.col("spearman_rho")
     t = rho * F.sqrt((F.col("_n") - 2) / ((1 - rho) * (1 + rho)))
@@ -412,7 +412,7 @@ def sensitivity_draws(
     base = normalized.withColumn("base_score", weighted_score(base_weights))
     total = normalized.count()
     order = [F.col("base_score").desc(), F.col("customer_id").asc()]
-    share = ordinal_rank(base, order, "_rank", "_n", rows=total)
+    share = ordinal_rank(base, order, "_rank", "_n")
     tiered = share.withColumn("base_tier", tier_from_share(F.col("_rank") / F.col("_n"), tiers))
     cuts = base.agg(
         F.array_sort(
@@ -448,7 +448,7 @@ def sensitivity_draws(
     straddling = placed.filter("best <> worst").select("draw", "score", "_before")
     split = scored.join(F.broadcast(straddling), ["draw", "score"])
     order = [F.col("draw").asc(), F.col("score").desc(), F.col("customer_id").asc()]
-    numbered = ordinal_rank(split, order, "_place", rows=total * draws)
+    numbered = ordinal_rank(split, order, "_place")
     starts = numbered.groupBy("draw", "score").agg(F.min("_place").alias("_start"))
     numbered = numbered.join(F.broadcast(starts), ["draw", "score"])
     tier = tier_from_share((F.col("_before") + F.col("_place") - F.col("_start") + 1) / F.lit(total), tiers)

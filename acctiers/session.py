@@ -60,12 +60,14 @@ def wide_partitions(spark: SparkSession) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach; the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a session that names none (a test on one machine) gets a local folder.
+    A session on one machine that names none gets a local folder; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="acctiers-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)

@@ -146,14 +146,36 @@ TIERING: dict[str, Any] = {
 }
 
 
-def merge(base: dict, override: dict | None) -> dict:
-    """Copy of ``base`` with ``override`` laid over it, dict by dict."""
+# --- fixed values: names of the published configuration file, beside those used here ---------
+PUBLISHED_NAMES = {
+    "weighting_method": "weighting",
+    "normalization_method": "normalization",
+    "winsorize_quantiles": "winsor",
+    "segmentation": "segments",
+    "random_state": "seed",
+    "bootstrap_iterations": "bootstrap",
+    "cv_folds": "folds",
+    "weight_perturbation": "perturbation",
+    "sensitivity_iterations": "draws",
+}
+
+
+def merge(base: dict, override: dict | None, at: str = "") -> dict:
+    """Copy of ``base`` with ``override`` laid over it, dict by dict; unknown keys are an error.
+
+    Feature names are data: a feature table may name others than the default one.
+    """
     out = deepcopy(base)
     for key, value in (override or {}).items():
-        if isinstance(value, dict) and isinstance(out.get(key), dict):
-            out[key] = merge(out[key], value)
+        name = key if key in base else PUBLISHED_NAMES.get(key, key)
+        if name not in base and at != "features.":
+            raise ValueError(f"unknown setting {at}{key}; known: {', '.join(sorted(base))}")
+        if isinstance(value, dict) and isinstance(out.get(name), dict):
+            out[name] = merge(out[name], value, f"{at}{name}.") if at != "features." else {**out[name], **value}
+        elif name == "tiers":
+            out[name] = tuple((t["name"], t["share"]) if isinstance(t, dict) else tuple(t) for t in value)
         else:
-            out[key] = deepcopy(value)
+            out[name] = deepcopy(value)
     return out
 
 

@@ -41,19 +41,22 @@ def empty_to_null(df: DataFrame) -> DataFrame:
     return df.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
 
 
-def extract_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """All columns as text, only the empty string is null.
+def extract_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """All columns as text, only the empty string is null; a record that does not fit the header is an error.
 
-    ``multi_line`` allows line breaks inside quotes, at the price of files that cannot be split.
+    ``multi_line`` reads line breaks inside quotes right, at the price of files that cannot be split.  Turn
+    it off for sources that hold none; a quoted line break then breaks its record, which is an error, too.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
-    return empty_to_null(tidy_names(raw))
+    options = {"header": True, "inferSchema": False, "escape": '"', "multiLine": multi_line}
+    names = spark.read.options(**options).csv(path).columns
+    broken = "_broken_record"
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, broken]])
+    raw = spark.read.schema(schema).options(**options, columnNameOfCorruptRecord=broken).csv(path)
+    message = F.concat(F.lit("record does not fit the header: "), F.col(broken))
+    checked = F.when(F.col(broken).isNotNull(), F.raise_error(message)).otherwise(F.nullif(F.col(f"`{names[0]}`"), F.lit("")))
+    first = checked.alias(names[0].strip().lower())
+    rest = [F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c.strip().lower()) for c in names[1:]]
+    return raw.select(first, *rest)
 
 
 def file_checksums(spark: SparkSession, path: str) -> DataFrame:

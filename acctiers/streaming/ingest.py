@@ -13,8 +13,12 @@ from acctiers.sources.store import with_audit
 
 
 def stream_csv(spark: SparkSession, source: str, folder: str) -> DataFrame:
-    """New files in the landing folder of a contracted source, as text columns."""
-    return spark.readStream.schema(text_schema(source)).option("header", True).option("escape", '"').csv(folder)
+    """New files in the landing folder of a contracted source, as text columns.
+
+    A file whose header does not name the contract's columns in their order fails its batch.
+    """
+    read = spark.readStream.schema(text_schema(source)).options(header=True, escape='"', multiLine=True, enforceSchema=False)
+    return read.csv(folder)
 
 
 def stream_parquet(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet") -> DataFrame:
@@ -38,39 +42,63 @@ def ingest(source: str, landed: DataFrame, target: str, checkpoint: str):
             .parquet(target)
         )
 
-    return (
-        landed.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _until_done(landed.writeStream.foreachBatch(write), checkpoint)
+
+
+def append_new(events: DataFrame, keys: list[str], target: str, checkpoint: str, name: str = "_batch_id"):
+    """Append every event whose key is not stored yet, then stop; late ones are kept, repeats are not.
+
+    The stored keys are the state: each micro-batch is checked against them by an anti join, so nothing is
+    released by a watermark.  A replayed batch overwrites its own partition.
+    """
+    run = checkpoint.rstrip("/").rpartition("/")[2]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fresh = batch.dropDuplicates(keys)
+        part = f"{run}-{batch_id}"
+        if _holds_data(batch.sparkSession, target):
+            stored = batch.sparkSession.read.parquet(target).filter(F.col(name) != part).select(*keys)
+            fresh = fresh.join(stored, keys, "left_anti")
+        rows = fresh.withColumn(name, F.lit(part))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(name).parquet(target)
+
+    return _until_done(events.writeStream.foreachBatch(write), checkpoint)
 
 
 def without_repeats(events: DataFrame, keys: list[str], time: str, lateness: str = "1 day") -> DataFrame:
-    """Drop exact repeats that arrive within ``lateness``; state older than that is released.
+    """Drop repeats that arrive within ``lateness``; state older than that is released.
 
-    Full newest-version de-duplication stays a batch step.
+    Rows older than the watermark are dropped, too: for sources that are never later than ``lateness``.
+    ``append_new`` keeps late rows.  Full newest-version de-duplication stays a batch step.
     """
     return events.withWatermark(time, lateness).dropDuplicatesWithinWatermark(keys)
 
 
-def daily_counts(events: DataFrame, time: str, source: str, lateness: str = "1 day") -> DataFrame:
-    """Rows per source and day, each emitted once its day is closed."""
-    window = F.window(time, "1 day")
-    counted = events.withWatermark(time, lateness).groupBy(window, F.col(source).alias("source")).agg(
-        F.count(F.lit(1)).alias("rows_loaded")
-    )
+def daily_counts(events: DataFrame, time: str, source: str) -> DataFrame:
+    """Rows per source and day; the state is one row for each, which late rows still change."""
+    counted = events.groupBy(F.window(time, "1 day"), F.col(source).alias("source")).agg(F.count(F.lit(1)).alias("rows_loaded"))
     return counted.select(F.col("window.start").alias("batch_start"), "source", "rows_loaded")
 
 
+def keep_current(counts: DataFrame, target: str, checkpoint: str):
+    """Write the whole small result of a streaming aggregate anew after each micro-batch, then stop."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(target)
+
+    return _until_done(counts.writeStream.outputMode("complete").foreachBatch(write), checkpoint)
+
+
+def _until_done(writer, checkpoint: str):
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _holds_data(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def run_once(stream: DataFrame, target: str, checkpoint: str) -> None:
     """Process what is there into Parquet and stop."""
-    query = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    writer = stream.writeStream.format("parquet").outputMode("append").option("path", target)
+    _until_done(writer, checkpoint).awaitTermination()

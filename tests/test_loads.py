@@ -174,3 +174,53 @@ def test_stream_loads_each_file_once_and_late_rows_too(spark, tmp_path):
     write(folder, order(2, "2026-01-01"), header=plain, name="late.csv")
     assert run() == ["O1", "O2"]
     assert run() == ["O1", "O2"]
+
+
+def test_stream_refuses_reordered_headers(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "p.csv").write_text("product_name,product_id,category,unit_cost,list_price,updated_at\nWidget,P1,c,1,2,2026-01-01\n")
+    query = U.ingest("products", U.stream_csv(spark, "products", str(folder)), str(tmp_path / "out"), str(tmp_path / "check"))
+    with pytest.raises(Exception, match="(?i)header"):
+        query.awaitTermination()
+
+
+def test_line_break_inside_quotes(spark, tmp_path):
+    path = tmp_path / "c.csv"
+    path.write_text('customer_id,business_name\nC1,"Acme\nLtd"\nC2,Other\n')
+    rows = landing.extract_csv(spark, str(path)).orderBy("customer_id").collect()
+    assert [tuple(r) for r in rows] == [("C1", "Acme\nLtd"), ("C2", "Other")]
+    with pytest.raises(Exception, match="does not fit the header"):
+        landing.extract_csv(spark, str(path), multi_line=False).collect()
+
+
+def test_records_that_do_not_fit_are_an_error(spark, tmp_path):
+    path = tmp_path / "c.csv"
+    path.write_text("a,b\n1,2\n3\n")
+    with pytest.raises(Exception, match="does not fit the header"):
+        landing.extract_csv(spark, str(path)).collect()
+
+
+def test_late_rows_are_kept_and_repeats_are_not(spark, tmp_path):
+    folder, target, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+    schema = "id bigint, ts timestamp"
+
+    def run(*rows):
+        data = spark.createDataFrame([(i, datetime.fromisoformat(t)) for i, t in rows], schema)
+        data.coalesce(1).write.mode("append").parquet(str(folder))
+        U.append_new(U.stream_parquet(spark, str(folder), data.schema), ["id"], target, check).awaitTermination()
+        return sorted(r["id"] for r in spark.read.parquet(target).collect())
+
+    assert run((1, "2026-03-01"), (1, "2026-03-01"), (2, "2026-03-02")) == [1, 2]
+    assert run((3, "2026-01-01"), (2, "2026-03-02")) == [1, 2, 3]
+
+
+def test_cluster_without_a_shared_folder_is_an_error(monkeypatch):
+    from types import SimpleNamespace
+
+    from acctiers.session import shared_dir
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_dir(fake)

@@ -13,7 +13,7 @@ from acctiers.plans import scoring as SC
 from acctiers.plans import tiers as TR
 from acctiers.plans import validation as V
 from acctiers.session import literal_rows
-from acctiers.settings import SCORE_FEATURES, TIERING
+from acctiers.settings import merge, SCORE_FEATURES, TIERING
 
 AS_OF = date(2026, 6, 30)
 NAMES = list(SCORE_FEATURES)
@@ -124,15 +124,54 @@ def test_scores_against_pandas(run):
     assert np.corrcoef(got, feats["recency_days"])[0, 1] < 0
 
 
-def test_large_paths_give_the_same_scores(run):
-    """Row counts the driver does not know: range-partitioned ranks and bracketed quantiles."""
-    plain = SC.composite_score(run.features, rows=run.rows).scores.orderBy("customer_id").collect()
-    large = SC.composite_score(run.features, rows=2_000_000).scores.orderBy("customer_id").collect()
-    assert plain == large
+def test_tiers_follow_from_stored_scores(run):
     tiers = TR.assign_tiers(run.scored.scores, TIERING["tiers"], by=["as_of_date"]).select("customer_id", "tier")
     assert sorted(tiers.collect()) == sorted(run.tiers.select("customer_id", "tier").collect())
 
 
+def two_dates(spark):
+    """Two features on two dates; the second feature is unknown on the second date and spreads differently on both."""
+    first = [("2026-01-01", i, float(i), float(i % 3)) for i in range(1, 31)]
+    second = [("2026-02-01", i, float(i * i), None) for i in range(1, 31)]
+    rows = spark.createDataFrame(first + second, "day string, customer_id bigint, a double, b double")
+    return rows.select(F.col("day").cast("date").alias("as_of_date"), "customer_id", "a", "b")
+
+
+TWO = {"a": {"weight": 0.5, "direction": 1, "transform": "none"}, "b": {"weight": 0.5, "direction": 1, "transform": "none"}}
+
+
+def test_a_date_without_values_gets_the_default_not_another_dates_median(spark):
+    both = two_dates(spark)
+    together = SC.prepare(both, TWO, None).filter("as_of_date = date '2026-02-01'").select("customer_id", "b").collect()
+    alone = SC.prepare(both.filter("as_of_date = date '2026-02-01'"), TWO, None).select("customer_id", "b").collect()
+    assert sorted(together) == sorted(alone) and {r["b"] for r in together} == {0.0}
+
+
+@pytest.mark.parametrize("weighting", ["entropy", "blend"])
+def test_data_driven_weights_are_found_per_date(spark, weighting):
+    cfg = {"features": TWO, "weighting": weighting, "normalization": "percentile", "winsor": None}
+    both = two_dates(spark).withColumn("b", F.coalesce("b", F.col("customer_id") % 7.0))
+    together = SC.composite_score(both, cfg)
+    for day, weights in together.by_day.items():
+        alone = SC.composite_score(both.filter(F.col("as_of_date") == F.lit(day)), cfg)
+        assert alone.weights == pytest.approx(weights)
+        mine = together.scores.filter(F.col("as_of_date") == F.lit(day)).select("customer_id", "composite_score").collect()
+        assert sorted(mine) == sorted(alone.scores.select("customer_id", "composite_score").collect())
+    with pytest.raises(ValueError, match="different weights"):
+        together.weights
+
+
+def test_unknown_settings_are_an_error_and_published_names_are_read():
+    with pytest.raises(ValueError, match="unknown setting"):
+        merge(TIERING, {"weigthing": "entropy"})
+    with pytest.raises(ValueError, match="validation.fold"):
+        merge(TIERING, {"validation": {"fold": 3}})
+    cfg = merge(TIERING, {"weighting_method": "entropy", "winsorize_quantiles": [0.05, 0.95], "segmentation": {"k_range": [3, 4], "random_state": 7},
+                          "tiers": [{"name": "A", "share": 0.4}, {"name": "B", "share": 0.6}], "validation": {"cv_folds": 3}})
+    assert (cfg["weighting"], cfg["winsor"], cfg["segments"]["seed"], cfg["tiers"]) == ("entropy", [0.05, 0.95], 7, (("A", 0.4), ("B", 0.6)))
+    assert cfg["validation"]["folds"] == 3
+
+
 @pytest.mark.parametrize("method", ["minmax", "zscore"])
 def test_other_normalizations_stay_in_bounds(run, method):
     oriented = run.scored.oriented

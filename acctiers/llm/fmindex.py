@@ -39,19 +39,23 @@ class WaveletMatrix:
         return at
 
 
-def suffix_array(symbols: np.ndarray) -> np.ndarray:
-    """Prefix doubling; the last symbol must be smaller than all others and occur once."""
+def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
+    """Suffixes in order of at least their first ``depth`` symbols, by prefix doubling.
+
+    The last symbol must be smaller than all others and occur once.  Backward search for patterns of fewer
+    than ``depth`` symbols needs no finer order.
+    """
     n = len(symbols)
-    order = np.argsort(symbols, kind="stable")
+    order = np.argsort(symbols)
     rank = np.empty(n, np.int64)
     sorted_symbols = symbols[order]
     rank[order] = np.concatenate([[0], np.cumsum(sorted_symbols[1:] != sorted_symbols[:-1])])
     step = 1
-    while n and rank[order[-1]] < n - 1:
+    while step < depth and n and rank[order[-1]] < n - 1:
         second = np.zeros(n, np.int64)
         second[: n - step] = rank[step:] + 1
         key = rank * (n + 1) + second
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key = key[order]
         rank[order] = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
         step *= 2
@@ -67,7 +71,7 @@ class FMIndex:
         """``sequences``: their concatenation with separators; ``depth``: longest match that is told apart."""
         text = np.concatenate([sequences.astype(np.int64), [0]])
         self.depth, self.n, top = depth, len(text), int(text.max())
-        order = suffix_array(text)
+        order = suffix_array(text, depth + 2)
         self.suffixes = order[: self.n].astype(np.int32)
         bwt = text[order - 1]
         self.tree = WaveletMatrix(bwt, top)

@@ -20,6 +20,8 @@ def prepare(spark: SparkSession) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.session.timeZone": "UTC",
+        # shuffle files go when their job ends; what later jobs need is stored by then
+        "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     }
     for key, value in wanted.items():
         if spark.conf.get(key, None) != value:

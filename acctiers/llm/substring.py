@@ -22,15 +22,17 @@ the same id are not each other's duplicates.  A long text is many segments; noth
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acctiers.llm import words as W
 from acctiers.llm.fmindex import FMIndex
-from acctiers.llm.runtime import partitions
+from acctiers.llm.runtime import extended, partitions, stored
 
 ANCHOR_WORDS = 4
 HOT_ANCHOR = 5_000  # occurrences above which an anchor's windows are sharded one by one
@@ -88,52 +90,46 @@ def _count_anchors(width: int, anchor_words: int):
 def _place_anchors(width: int, anchor_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.chunks(batches):
-            doc, first, windows, anchor = anchor_runs(W.batch_words(batch), width, anchor_words)
+            doc, first, _, anchor = anchor_runs(W.batch_words(batch), width, anchor_words)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(W.signed(anchor)),
-                    batch["doc_id"].take(pa.array(doc)),
-                    pa.array(first.astype(np.int32)),
-                    pa.array(windows.astype(np.int32)),
-                ],
-                names=["anchor", "doc_id", "first", "windows"],
+                [pa.array(W.signed(anchor)), batch["doc_id"].take(pa.array(doc)), pa.array(first.astype(np.int32))],
+                names=["anchor", "doc_id", "first"],
             )
 
     return run
 
 
-def _cut_segments(width: int):
-    """Word sequences of the runs listed with each text; runs of hot anchors window by window."""
+def _cut_segments(width: int, anchor_words: int):
+    """Word sequences of the runs listed with each text; runs of hot anchors window by window.
+
+    ``runs`` holds twice the first word of a run, plus one if its anchor is hot.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.chunks(batches):
             words = W.batch_words(batch)
-            firsts, hashes = words.firsts(), words.hashes()
-            lists = batch["runs"]
-            rows = lists.flatten()
-            owner = np.repeat(np.arange(batch.num_rows), np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))
-            first, windows, hot, anchor = (rows.field(k).to_numpy(zero_copy_only=False) for k in ("first", "windows", "hot", "anchor"))
+            firsts, hashes, n = words.firsts(), words.hashes(), len(words.starts)
+            owner, first, windows, anchor = anchor_runs(words, width, anchor_words)
+            listed, coded = W.flat(batch["runs"])
+            place = firsts[listed] + (coded >> 1)
+            place, coded = place[place < firsts[listed + 1]], coded[place < firsts[listed + 1]]
+            marked = np.zeros(n, np.int8)
+            marked[place] = 1 + (coded & 1)
+            mark = marked[firsts[owner] + first]
+            owner, first, windows, anchor, hot = (x[mark > 0] for x in (owner, first, windows, W.signed(anchor), mark == 2))
             copies = np.where(hot, windows, 1)
-            owner, anchor, hot = np.repeat(owner, copies), np.repeat(anchor, copies), np.repeat(hot, copies)
             shift = np.arange(int(copies.sum())) - np.repeat(np.cumsum(copies) - copies, copies)
-            first = np.repeat(first, copies) + np.where(hot, shift, 0)
-            length = np.where(hot, width, np.repeat(windows, copies) + width - 1)
+            owner, anchor, hot, first, windows = (np.repeat(x, copies) for x in (owner, anchor, hot, first, windows))
+            first = first + np.where(hot, shift, 0)
+            length = np.where(hot, width, windows + width - 1)
             low = firsts[owner] + first
-            inside = low + length <= firsts[owner + 1]  # rows that repeat an id with another text
-            owner, anchor, hot, first, length, low = (x[inside] for x in (owner, anchor, hot, first, length, low))
             own = W.signed(W.rolling(hashes, width))
             if len(own) and hot.any():
                 anchor = np.where(hot, own[np.minimum(low, len(own) - 1)], anchor)
             # one text of all words, one space apart, in which every segment is a slice
-            size = words.ends - words.starts
-            keep = ~W.SPACE[words.data]
-            at = np.concatenate([[0], np.cumsum(size + 1)])
-            spaced = np.full(int(at[-1]), 0x20, np.uint8)
-            if len(size):
-                inside_word = np.ones(int(at[-1]), bool)
-                inside_word[at[1:] - 1] = False
-                spaced[inside_word] = words.data[keep]
+            spaced, _ = W.respaced(replace(words, doc=np.zeros(n, np.int64)), np.ones(n, bool))
             flat = spaced.tobytes()
+            at = np.concatenate([[0], np.cumsum(words.ends - words.starts + 1)])
             texts = [flat[a:b] for a, b in zip(at[low].tolist(), (at[low + length] - 1).tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -179,12 +175,17 @@ def shard_owners(texts: pa.Array, owners: np.ndarray, width: int) -> list[np.nda
 
 
 def _search_shard(width: int):
+    """Owners by window, of the segments that have a copy or a window with a smaller owner than their own."""
+
     def run(shard: pa.Table) -> pa.Table:
-        owners = shard["owner"].to_numpy().astype(np.int64)
-        found = shard_owners(shard["words"].combine_chunks(), owners, width)
+        own, copies = shard["owner"].to_numpy().astype(np.int64), shard["copies"].to_numpy()
+        found = shard_owners(shard["words"].combine_chunks(), own, width)
+        told = np.array([c > 1 or (f < o).any() for f, o, c in zip(found, own, copies, strict=True)], bool)
+        found = [f for f, t in zip(found, told, strict=True) if t]
         counts = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(counts), pa.array(np.concatenate(found) if found else np.empty(0, np.int64)))
-        return pa.table({"anchor": shard["anchor"], "key": shard["key"], "owners": lists})
+        kept = shard.filter(pa.array(told))
+        return pa.table({"anchor": kept["anchor"], "key": kept["key"], "owners": lists})
 
     return run
 
@@ -205,22 +206,22 @@ def duplicate_windows(docs: DataFrame, width: int = 13, anchor_words: int = ANCH
         .where("texts > 1")
         .select("anchor", (F.col("runs") > HOT_ANCHOR).alias("hot"))
     )
-    placed = docs.mapInArrow(_place_anchors(width, anchor_words), "anchor bigint, doc_id bigint, first int, windows int")
+    placed = docs.mapInArrow(_place_anchors(width, anchor_words), "anchor bigint, doc_id bigint, first int")
     suspects = (
         placed.join(shared, "anchor")
         .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("anchor", "first", "windows", "hot")).alias("runs"))  # bounded by the text's length
+        .agg(F.collect_list(F.col("first") * 2 + F.col("hot").cast("int")).alias("runs"))  # bounded by the text's length
     )
-    segments = (
-        docs.join(suspects, "doc_id", "left")
-        .where("runs is not null")
-        .mapInArrow(_cut_segments(width), "anchor bigint, doc_id bigint, first int, words string")
-        .withColumn("key", F.xxhash64("words"))
+    # three jobs, so that the shuffle files of one are gone when the next one writes its own
+    suspects = stored(suspects, "suspects")
+    segments = docs.join(suspects, "doc_id").mapInArrow(
+        _cut_segments(width, anchor_words), "anchor bigint, doc_id bigint, first int, words string"
     )
+    segments = stored(segments.withColumn("key", F.xxhash64("words")), "segments")
     shard = F.pmod(F.xxhash64("anchor"), F.lit(shards))
     owners = (
         segments.groupBy("anchor", "key", "words")
-        .agg(F.min("doc_id").alias("owner"))
+        .agg(F.min("doc_id").alias("owner"), F.count(F.lit(1)).alias("copies"))
         .where("owner is not null")
         .withColumn("shard", shard)
         .groupBy("shard")
@@ -229,7 +230,7 @@ def duplicate_windows(docs: DataFrame, width: int = 13, anchor_words: int = ANCH
     flagged = F.filter(
         F.transform("owners", lambda o, i: F.when(o < F.col("doc_id"), i + F.col("first"))), lambda i: i.isNotNull()
     )
-    return (
+    cuts = (
         segments.select("anchor", "key", "doc_id", "first")
         .join(owners, ["anchor", "key"])
         .select("doc_id", flagged.alias("cuts"))
@@ -237,6 +238,7 @@ def duplicate_windows(docs: DataFrame, width: int = 13, anchor_words: int = ANCH
         .groupBy("doc_id")
         .agg(F.flatten(F.collect_list("cuts")).alias("cuts"))  # bounded by the text's length
     )
+    return stored(cuts, "cuts")
 
 
 def _remove(width: int, respace: bool, carried: bool):
@@ -244,21 +246,17 @@ def _remove(width: int, respace: bool, carried: bool):
         for batch in W.chunks(batches):
             words = W.batch_words(batch)
             firsts, n = words.firsts(), len(words.starts)
-            lists = batch["cuts"]
-            owner = np.repeat(np.arange(batch.num_rows), np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))
-            low = firsts[owner] + lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            low = low[low + width <= firsts[owner + 1]]
+            owner, first = W.flat(batch["cuts"])
+            low = firsts[owner] + first
+            low = low[low + width <= firsts[owner + 1]]  # rows may repeat an id with another text
             edge = np.zeros(n + 1, np.int64)
             np.add.at(edge, low, 1)
             np.add.at(edge, low + width, -1)
             removed = np.cumsum(edge[:n]) > 0
             cut = np.bincount(words.doc[removed], minlength=batch.num_rows)
-            kept = [
-                W.joined(words, ~removed, i, firsts) if respace or cut[i] else None for i in range(batch.num_rows)
-            ]
-            texts = pa.array(kept, pa.binary()).cast(pa.string())
+            texts = W.text_array(*W.respaced(words, ~removed))
             if not respace:
-                texts = pa.array([t if k is None else k for t, k in zip(batch["text"].to_pylist(), texts.to_pylist(), strict=True)], pa.string())
+                texts = pc.if_else(pa.array(cut > 0), texts, batch["text"])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"],
@@ -291,7 +289,5 @@ def remove_repeats(
         *([F.struct(*[F.col(f"`{c}`") if isinstance(c, str) else c for c in carry]).alias("carried")] if carry else []),
     )
     cuts = duplicate_windows(rows.select("doc_id", "text"), width)
-    schema = "doc_id bigint, n_words bigint, n_removed bigint, kept string"
-    if carry:
-        schema += f", carried {rows.schema['carried'].dataType.simpleString()}"
+    schema = extended("doc_id bigint, n_words bigint, n_removed bigint, kept string", *([rows.schema["carried"]] if carry else []))
     return rows.join(cuts, "doc_id", "left").mapInArrow(_remove(width, respace, bool(carry)), schema)

@@ -154,9 +154,32 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def joined(words: Words, keep: np.ndarray, i: int, firsts: np.ndarray) -> bytes:
-    """Kept words of text i, joined by one space."""
-    low, high = firsts[i], firsts[i + 1]
-    at = low + np.flatnonzero(keep[low:high])
-    data = words.data
-    return b" ".join([data[s:e].tobytes() for s, e in zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)])
+def respaced(words: Words, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the kept words, one space between the words of a text, and the offsets of the texts."""
+    starts, ends, doc = words.starts[keep], words.ends[keep], words.doc[keep]
+    size = ends - starts
+    gap = np.zeros(len(doc), np.int64)
+    gap[:-1] = doc[1:] == doc[:-1]
+    edge = np.zeros(len(words.data) + 1, np.int8)
+    edge[starts] += 1
+    edge[ends] -= 1  # words that touch are in different texts; there both marks cancel
+    inside = np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
+    at = np.concatenate([[0], np.cumsum(size + gap)])
+    out = np.full(int(at[-1]), 0x20, np.uint8)
+    target = np.ones(int(at[-1]), bool)
+    target[(at[1:] - 1)[gap > 0]] = False
+    out[target] = words.data[inside]
+    counts = np.bincount(doc, minlength=words.n_docs)
+    return out, at[np.concatenate([[0], np.cumsum(counts)])]
+
+
+def text_array(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """A text column from UTF-8 bytes and offsets."""
+    where = pa.py_buffer(np.ascontiguousarray(offsets, np.int32))
+    return pa.Array.from_buffers(pa.string(), len(offsets) - 1, [None, where, pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, value) of all entries of an integer list column; null lists have none."""
+    counts = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    return np.repeat(np.arange(len(lists)), counts), lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)

@@ -254,10 +254,10 @@ query(
     "L8_table_logical_types",
     " union all ".join(
         f"select '{c}' as column_name, case typeof(any_value({c})) when 'BIGINT' then 'integer' when 'DOUBLE' then 'float' "
-        f"when 'DATE' then 'date' when 'TIMESTAMP' then 'timestamp' else 'string' end as logical_type from raw_orders"
+        f"when 'DATE' then 'date' when 'TIMESTAMP' then 'timestamp' else 'string' end as logical_type, count({c}) as present from raw_orders"
         for c in _DECLARED
     ),
-)(lambda s, d: M.table_logical_types(T.raw_orders(s, d)))
+)(lambda s, d: M.stored_column_types(T.raw_orders(s, d)))
 
 _CONTRACT = " union all ".join(f"select '{c}' as column_name, '{k}' as expected" for c, (k, _) in S.CONTRACTS["orders"].items())
 _FITS = " or ".join(

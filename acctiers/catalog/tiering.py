@@ -14,7 +14,7 @@ from acctiers.plans import published as P
 from acctiers.plans import scoring as SC
 from acctiers.plans import tiers as TR
 from acctiers.plans.runs import CUSTOMER_INPUTS, ORDER_INPUTS, frames_from_sources
-from acctiers.plans.segments import behavioral_segments, fit_best, silhouettes, standardized
+from acctiers.plans.segments import behavioral_segments
 from acctiers.plans.warehouse import Warehouse
 from acctiers.session import freeze
 from acctiers.settings import SCORE_FEATURES, TIERING, merge
@@ -198,9 +198,8 @@ def _(spark, sf):
 
 @query("O5_silhouette_by_k")
 def _(spark, sf):
-    points = standardized(_normalized(spark, sf), NAMES)
-    by_k = silhouettes(points, fit_best(points, [3, 4, 5], 2, 42), 42)
-    return spark.createDataFrame(list(by_k.items()), "k int, silhouette double")
+    found = behavioral_segments(_normalized(spark, sf), NAMES, TIERING["segments"])
+    return spark.createDataFrame(list(found.by_k.items()), "k int, silhouette double")
 
 
 @query("O6_segment_profiles")

@@ -295,6 +295,19 @@ def table_logical_types(df: DataFrame) -> DataFrame:
     return literal_rows(df.sparkSession, rows, "column_name string, logical_type string")
 
 
+def stored_column_types(df: DataFrame) -> DataFrame:
+    """``table_logical_types`` with how many values of each column the table holds, in one pass."""
+    counts = [
+        F.struct(
+            F.lit(f.name).alias("column_name"),
+            F.lit(declared_logical_type(f.dataType)).alias("logical_type"),
+            F.count(F.col(f"`{f.name}`")).alias("present"),
+        )
+        for f in df.schema.fields
+    ]
+    return df.agg(F.array(*counts).alias("c")).select(F.inline("c"))
+
+
 def contract_types(spark: SparkSession, contract: Mapping[str, tuple[str, bool]]) -> DataFrame:
     rows = [(name, kind) for name, (kind, _) in contract.items()]
     return literal_rows(spark, rows, "column_name string, expected string")

@@ -109,6 +109,15 @@ def _derive(base: DataFrame, customers: DataFrame, as_of: Column, lookback_days:
     )
 
 
+def _between(df: DataFrame, after: date, until: date) -> DataFrame:
+    """Rows dated in ``(after, until]``; where the table is stored by order_month its partitions are bounded, too."""
+    rows = df.filter((F.col("order_date") > F.lit(after)) & (F.col("order_date") <= F.lit(until)))
+    if "order_month" in df.columns:
+        months = [F.lit(d.replace(day=1)) for d in (after, until)]
+        rows = rows.filter(F.col("order_month").between(*months))
+    return rows
+
+
 def build_features(
     orders: DataFrame,
     lines: DataFrame,
@@ -124,11 +133,10 @@ def build_features(
     """
     end = as_date(as_of)
     start = end - timedelta(days=lookback_days)
-    in_window = (F.col("order_date") > F.lit(start)) & (F.col("order_date") <= F.lit(end))
     today = F.lit(end)
-    sums = order_aggregates(orders.filter(in_window), ["customer_id"], today, lookback_days)
+    sums = order_aggregates(_between(orders, start, end), ["customer_id"], today, lookback_days)
     active = sums.filter(F.col("frequency_12m") >= min_orders).filter(F.col("frequency_12m") > 0)
-    breadth = category_breadth(lines.filter(in_window), ["customer_id"])
+    breadth = category_breadth(_between(lines, start, end), ["customer_id"])
     base = active.join(breadth, "customer_id", "left").withColumn("as_of_date", today)
     return _derive(base, customers, today, lookback_days, ["as_of_date"])
 
@@ -146,12 +154,14 @@ def build_features_multi(
     Each order is copied only to the dates whose window holds it; the copy is an ``explode`` of the
     filtered date list, so it happens before the shuffle and without a join.
     """
-    dates = F.array(*[F.lit(as_date(d)) for d in as_of_dates])
+    days = [as_date(d) for d in as_of_dates]
+    dates = F.array(*[F.lit(d) for d in days])
+    start = min(days) - timedelta(days=lookback_days)
 
     def spread(df: DataFrame) -> DataFrame:
         day = F.col("order_date")
         fits = F.filter(dates, lambda d: (day <= d) & (day > F.date_sub(d, lookback_days)))
-        return df.withColumn("as_of_date", F.explode(fits))
+        return _between(df, start, max(days)).withColumn("as_of_date", F.explode(fits))
 
     keys = ["customer_id", "as_of_date"]
     as_of = F.col("as_of_date")
@@ -190,9 +200,7 @@ def forward_labels(
     """
     start = as_date(as_of)
     end = start + timedelta(days=horizon_days)
-    future = orders.filter(
-        (F.col("order_date") > F.lit(start)) & (F.col("order_date") <= F.lit(end)) & (F.col("status") == "completed")
-    )
+    future = _between(orders, start, end).filter(F.col("status") == "completed")
     sums = future.groupBy("customer_id").agg(
         _rounded(F.sum("net_revenue")).alias("future_revenue"), F.count(F.lit(1)).alias("future_orders")
     )

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acctiers.operators import history as H
+from acctiers.operators import monitor as M
 from acctiers.plans import baselines as B
 from acctiers.plans import published as P
 from acctiers.plans import validation as V
@@ -16,7 +18,8 @@ from acctiers.plans.features import as_date, forward_labels
 from acctiers.plans.tiers import TierRun, score_customers
 from acctiers.plans.warehouse import Warehouse
 from acctiers.session import freeze, literal_rows
-from acctiers.settings import MODEL_FEATURES, TIERING, tier_names
+from acctiers.settings import MODEL_FEATURES, SOURCES, TIERING, tier_names
+from acctiers.sources.loader import AUDIT, CHECKS, empty_audit, persist_checks
 from acctiers.sources.store import Store
 
 ORDER_INPUTS = (
@@ -29,8 +32,9 @@ ORDER_INPUTS = (
     "discount_pct",
     "payment_terms_days",
     "paid_date",
+    "order_month",
 )
-LINE_INPUTS = ("order_id", "customer_id", "order_date", "status", "category")
+LINE_INPUTS = ("order_id", "customer_id", "order_date", "status", "category", "order_month")
 CUSTOMER_INPUTS = ("customer_id", "business_name", "industry", "region", "employee_count", "signup_date")
 
 
@@ -47,6 +51,30 @@ def build_marts(store: Store) -> None:
         store.write(wh.model(name), f"marts/{name}", "replace")
 
 
+def snapshot_customers(store: Store) -> int:
+    """History of the customer attributes: the first run opens it, later runs apply what has changed."""
+    name = "history/customers_snapshot"
+    wh = Warehouse({s: store.read(f"raw/{s}") for s in ("customers", "products", "orders", "order_items")})
+    current = wh.stg_customers.select(*H.CUSTOMER_ATTRIBUTES)
+    if not store.exists(name):
+        return store.write(H.open_interval(current), name, "replace")
+    return store.replace_from_itself(H.scd2_apply(store.read(name), current), name)
+
+
+def store_checks(store: Store, now: datetime | None = None, run_id: str | None = None) -> DataFrame:
+    """Run all checks over the raw tables, append them to the check log and store the health mart.
+
+    The mart is what the export's data-health table reads.
+    """
+    now = now or datetime.now(UTC)
+    tables = {s: store.read_or_none(f"raw/{s}") for s in SOURCES}
+    audit = store.read_or_none(AUDIT)
+    checks = M.run_all_checks(store.spark, tables, empty_audit(store.spark) if audit is None else audit, now)
+    persist_checks(store, freeze(checks), run_id, now)
+    store.write(M.mart_data_health(store.read(CHECKS), now), "marts/mart_data_health", "replace")
+    return store.read("marts/mart_data_health")
+
+
 def load_inputs(store: Store) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Only the columns tiering needs; Parquet reads no others, and order_month prunes the history."""
     return (

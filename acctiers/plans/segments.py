@@ -2,23 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acctiers.session import freeze, reload
 
-SAMPLE = 3000
-
 
 @dataclass
 class Segmentation:
@@ -53,53 +48,19 @@ def fit_best(points: DataFrame, ks: list[int], n_init: int, seed: int, parallel:
     return {k: reload(points.sparkSession, model) for k, (_, model) in best.items()}
 
 
-def _silhouettes(sample: np.ndarray, labels: np.ndarray, points: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Silhouette of ``points`` (members of the sample) against the whole sample, for one clustering."""
-    clusters = np.unique(labels)
-    squares = (points**2).sum(1)[:, None] + (sample**2).sum(1)[None, :] - 2.0 * points @ sample.T
-    distances = np.sqrt(np.maximum(squares, 0.0))
-    member = labels[:, None] == clusters[None, :]
-    sizes = member.sum(0)
-    sums = distances @ member
-    mine = np.searchsorted(clusters, own)
-    at = np.arange(len(points))
-    inside = sums[at, mine] / np.maximum(sizes[mine] - 1, 1)
-    others = sums / sizes
-    others[at, mine] = np.inf
-    nearest = others.min(1)
-    scale = np.maximum(inside, nearest)
-    value = np.where(scale > 0, (nearest - inside) / np.where(scale > 0, scale, 1.0), 0.0)
-    return np.where(sizes[mine] > 1, value, 0.0)
-
-
-def silhouettes(points: DataFrame, models: dict[int, KMeansModel], seed: int, size: int = SAMPLE) -> dict[int, float]:
-    """Mean Euclidean silhouette per k over a hash-ordered sample of at most ``size`` points.
-
-    The sample (at most 3000 short vectors) goes to every task once; each task scores its share of
-    the points against it, so no pair of points is ever a row.
+def silhouettes(points: DataFrame, models: dict[int, KMeansModel]) -> dict[int, float]:
+    """Mean silhouette per k over all points, on squared distances.
+
+    The mean squared distance of a point to a cluster follows from the cluster's count, sum and sum of
+    squares, so each k is two aggregates and no pair of points is formed.
     """
-    order = F.xxhash64("customer_id", F.lit(seed))
-    sample = freeze(points.select("customer_id", "features").orderBy(order, "customer_id").limit(size))
-    labelled = sample
+    scorer = ClusteringEvaluator(predictionCol="cluster", featuresCol="features", distanceMeasure="squaredEuclidean")
+    found = {}
     for k, model in models.items():
-        labelled = model.setPredictionCol(f"c{k}").transform(labelled)
-        model.setPredictionCol("cluster")
-    columns = [f"c{k}" for k in models]
-    flat = labelled.select(vector_to_array("features").alias("v"), *columns)
-    rows = flat.collect()  # at most ``size`` rows
-    matrix = np.array([r["v"] for r in rows])
-    labels = {c: np.array([r[c] for r in rows]) for c in columns}
-    shared = points.sparkSession.sparkContext.broadcast((matrix, labels))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        whole, known = shared.value
-        for pdf in batches:
-            own = np.array(pdf["v"].tolist())
-            yield pd.DataFrame({c: _silhouettes(whole, known[c], own, pdf[c].to_numpy()) for c in columns})
-
-    scored = flat.repartition(8).mapInPandas(score, ", ".join(f"{c} double" for c in columns))
-    means = scored.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    return {k: means[f"c{k}"] for k in models}
+        labelled = model.transform(points)
+        several = labelled.select("cluster").distinct().limit(2).count() > 1
+        found[k] = scorer.evaluate(labelled) if several else 0.0
+    return found
 
 
 def segment_name(names: list[str]) -> Column:
@@ -147,7 +108,7 @@ def behavioral_segments(normalized: DataFrame, names: list[str], cfg: dict) -> S
     low, high = cfg["k_range"]
     ks = list(range(low, min(high, points.count() - 1) + 1))
     models = fit_best(points, ks, cfg.get("n_init", 10), cfg["seed"])
-    by_k = silhouettes(points, models, cfg["seed"])
+    by_k = silhouettes(points, models)
     k = max(by_k, key=by_k.get)
     clustered = models[k].transform(points)
     profiles = freeze(segment_profiles(clustered, names))

@@ -63,6 +63,8 @@ class Store:
     def write(self, df: DataFrame, name: str, mode: str = "append", partition_by: Sequence[str] = ()) -> int:
         """Write and return the row count, taken while writing.  ``mode`` is append or replace."""
         counted = Observation()
+        if partition_by:  # a few files per partition, however many tasks hold its rows
+            df = df.hint("rebalance", *[F.col(c) for c in partition_by])
         writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -83,7 +85,8 @@ class Store:
     def replace_partition(self, df: DataFrame, name: str, column: str) -> None:
         """Replace only the partitions present in ``df``; running twice leaves one copy."""
         (
-            df.write.mode("overwrite")
+            df.hint("rebalance", F.col(column))
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(column)
             .parquet(self.path(name))

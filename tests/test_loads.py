@@ -10,7 +10,7 @@ from acctiers.operators import monitor as M
 from acctiers.operators.latest import latest_record
 from acctiers.session import literal_rows
 from acctiers.sources import landing, loader
-from acctiers.sources.store import Store, after_watermark
+from acctiers.sources.store import Store, with_audit, after_watermark
 from acctiers.streaming import ingest as U
 
 HEADER = " ORDER_ID ,Customer_ID,order_date,status,channel,discount_pct,payment_terms_days,paid_date,updated_at"
@@ -224,3 +224,46 @@ def test_cluster_without_a_shared_folder_is_an_error(monkeypatch):
     fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
     with pytest.raises(ValueError, match="checkpoint"):
         shared_dir(fake)
+
+
+def test_stored_checks_and_snapshot(spark, tmp_path):
+    """A run of the checks stores the health mart; snapshots keep what a customer was."""
+    from acctiers.plans import runs
+    from acctiers.sources import testtables as T
+    from acctiers.sources.export import export_datasets
+
+    store, sf = Store(spark, str(tmp_path / "store")), "/root/testdata/sf0.001"
+    raw = {"customers": T.raw_customers, "products": T.raw_products, "orders": T.raw_orders, "order_items": T.raw_order_items}
+    for name, table in raw.items():
+        store.write(table(spark, sf).withColumn("_loaded_at", F.lit(datetime(2001, 7, 31))), f"raw/{name}", "replace")
+    health = runs.store_checks(store, datetime(2001, 8, 1))
+    assert health.count() == store.read("monitoring/check_results").select("check_type", "check_name", "target").distinct().count() > 0
+    runs.store_checks(store, datetime(2001, 8, 2))
+    assert store.read("marts/mart_data_health").agg(F.max("runs_30d")).first()[0] == 2
+    assert "data_health" in export_datasets(store, str(tmp_path / "export"))
+
+    n = runs.snapshot_customers(store)
+    assert runs.snapshot_customers(store) == n
+    moved = store.read("raw/customers").withColumns({"region": F.lit("MOVED"), "updated_at": F.lit(datetime(2002, 1, 1)).cast("timestamp_ntz")})
+    store.replace_from_itself(moved, "raw/customers")
+    assert runs.snapshot_customers(store) == 2 * n
+    assert store.read("history/customers_snapshot").filter("is_current and region = 'MOVED'").count() == n
+
+
+def test_stored_features_read_only_their_months(spark, tmp_path):
+    from acctiers.plans import features as FT
+    from acctiers.plans import runs
+    from acctiers.sources import testtables as T
+
+    store, sf = Store(spark, str(tmp_path / "store")), "/root/testdata/sf0.001"
+    raw = {"customers": T.raw_customers, "products": T.raw_products, "orders": T.raw_orders, "order_items": T.raw_order_items}
+    for name, table in raw.items():
+        store.write(table(spark, sf), f"raw/{name}", "replace")
+    runs.build_marts(store)
+    inputs = runs.load_inputs(store)
+    for frame in (FT.build_features(*inputs, "2001-08-01"), FT.build_features_multi(*inputs, ["2001-06-01", "2001-08-01"])):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("PartitionFilters: [isnotnull(order_month") >= 2
+    files = list((tmp_path / "store" / "marts" / "fct_orders").glob("order_month=*/*.parquet"))
+    months = list((tmp_path / "store" / "marts" / "fct_orders").glob("order_month=*"))
+    assert len(files) <= 2 * len(months)

@@ -59,5 +59,5 @@ def crc_mod(column: str, n: int):
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` written to the shared folder and read back: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -220,10 +220,10 @@ def duplicate_windows(docs: DataFrame, width: int = 13, anchor_words: int = ANCH
     segments = stored(segments.withColumn("key", F.xxhash64("words")), "segments")
     shard = F.pmod(F.xxhash64("anchor"), F.lit(shards))
     owners = (
-        segments.groupBy("anchor", "key", "words")
+        segments.groupBy("anchor", "words")
         .agg(F.min("doc_id").alias("owner"), F.count(F.lit(1)).alias("copies"))
         .where("owner is not null")
-        .withColumn("shard", shard)
+        .select("anchor", F.xxhash64("words").alias("key"), "words", "owner", "copies", shard.alias("shard"))
         .groupBy("shard")
         .applyInArrow(_search_shard(width), "anchor bigint, key bigint, owners array<bigint>")
     )

@@ -35,15 +35,18 @@ with np.errstate(over="ignore"):
     _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _STEP)
     _BYTE_LOWER = _BYTE[LOWER]
 _BASE = U(0xD6E8FEB86659FD93)
-_POWERS = [np.ones(1, np.uint64)]
+_INVERSE = U(pow(int(_BASE), -1, 1 << 64))
+_POWERS = {False: np.ones(1, np.uint64), True: np.ones(1, np.uint64)}
 
 
-def powers(n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n-1) modulo 2**64."""
-    if len(_POWERS[0]) < n:
+def powers(n: int, inverse: bool = False) -> np.ndarray:
+    """base ** 0 .. base ** (n-1) modulo 2**64, or of the inverse of the base."""
+    if len(_POWERS[inverse]) < n:
+        step = np.full(max(n, 1024), _INVERSE if inverse else _BASE)
+        step[0] = 1
         with np.errstate(over="ignore"):
-            _POWERS[0] = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(max(n, 1024) - 1, _BASE)]))
-    return _POWERS[0][:n]
+            _POWERS[inverse] = np.cumprod(step)
+    return _POWERS[inverse][:n]
 
 
 @dataclass
@@ -71,7 +74,7 @@ class Words:
         out = np.empty(len(self.starts), np.uint64)
         table = _BYTE_LOWER if lower else _BYTE
         lengths = self.ends - self.starts
-        edges = np.searchsorted(np.cumsum(lengths), np.arange(CHUNK_BYTES, lengths.sum() + CHUNK_BYTES, CHUNK_BYTES))
+        edges = np.searchsorted(self.starts, np.arange(CHUNK_BYTES, len(self.data) + CHUNK_BYTES, CHUNK_BYTES))
         low = 0
         for high in [*edges.tolist(), len(out)]:
             high = min(max(high, low), len(out))
@@ -81,12 +84,14 @@ class Words:
         return out
 
     def _hash(self, low: int, high: int, lengths: np.ndarray, table: np.ndarray) -> np.ndarray:
-        first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        inside = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
-        place = np.repeat(self.starts[low:high], lengths) + inside
+        """Polynomials of the bytes from prefix sums: one multiplication per byte, one per word."""
+        first = self.starts[low]
+        starts, ends = self.starts[low:high] - first, self.ends[low:high] - first
+        n = int(ends.max())
         with np.errstate(over="ignore"):
-            value = table[self.data[place]] * powers(int(lengths.max()))[inside]
-            return mix(np.add.reduceat(value, first) + lengths.astype(np.uint64) * _STEP)
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(table[self.data[first : first + n]] * powers(n), out=sums[1:])
+            return mix((sums[ends] - sums[starts]) * powers(n, inverse=True)[starts] + lengths.astype(np.uint64) * _STEP)
 
 
 def rolling(hashes: np.ndarray, k: int) -> np.ndarray:

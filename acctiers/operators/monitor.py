@@ -242,20 +242,30 @@ def check_table_volumes(
 _TEXT_KINDS = (("integer", 1), ("float", 2), ("boolean", 4), ("date", 8), ("timestamp", 16))
 
 
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def _type_mask(name: str) -> str:
     """Aggregate whose bits are the logical types all text values of a column could be; null without values.
 
     The branches go from common to rare and stop at the first match; an integer is also a float.
     """
-    v = f"regexp_replace(`{name}`, r'^\\s+|\\s+$', '')"
+    name = _ident(name)
+    v = f"regexp_replace({name}, r'^\\s+|\\s+$', '')"
     arms = ((X.INTEGER_TEXT, 3), (X.FLOAT_TEXT, 2), (X.DATE_TEXT, 8), (X.TIMESTAMP_TEXT, 16), (X.BOOLEAN_TEXT, 4))
     tests = " ".join(f"when {v} rlike r'{pattern}' then {bits}" for pattern, bits in arms)
-    return f"bit_and(case when `{name}` is null or {v} = '' then null {tests} else 0 end)"
+    return f"bit_and(case when {name} is null or {v} = '' then null {tests} else 0 end)"
 
 
 def _inferred(field: T.StructField) -> str:
     """SQL aggregate giving the logical type of a column from its values."""
-    name, kind = f"`{field.name}`", field.dataType
+    name, kind = _ident(field.name), field.dataType
     if isinstance(kind, T.StringType):
         mask = _type_mask(field.name)
         arms = " ".join(f"when ({mask}) & {bit} <> 0 then '{label}'" for label, bit in _TEXT_KINDS)
@@ -271,7 +281,7 @@ def _inferred(field: T.StructField) -> str:
 
 def infer_logical_types(df: DataFrame) -> DataFrame:
     """(column_name, logical_type) from every value of the table, in one aggregate."""
-    rows = [f"named_struct('column_name', '{f.name}', 'logical_type', {_inferred(f)})" for f in df.schema.fields]
+    rows = [f"named_struct('column_name', {_literal(f.name)}, 'logical_type', {_inferred(f)})" for f in df.schema.fields]
     return df.agg(F.expr(f"array({', '.join(rows)})").alias("r")).select(F.inline("r"))
 
 
@@ -485,9 +495,3 @@ def mart_data_health(check_results: DataFrame, now: datetime) -> DataFrame:
         F.when(seen, F.col("errors")).alias("errors_30d"),
         X.safe_divide(F.col("passes"), F.col("runs")).alias("pass_rate_30d"),
     )
-
-
-def union_checks(parts: Iterable[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [p.select(*CHECK_COLUMNS) for p in parts])
-
-

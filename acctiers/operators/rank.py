@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from acctiers.functions.exprs import linear_interpolation
 from acctiers.session import freeze, wide_partitions
 
 _STRIDE = 16
@@ -178,7 +179,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
         F.max(F.when(F.col("_low"), F.col("_v"))).alias("_lo"),
         F.max(F.when(F.col("_high"), F.col("_v"))).alias("_hi"),
     )
-    quantile = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_position") - F.floor("_position"))
+    quantile = linear_interpolation(F.col("_lo"), F.col("_hi"), F.col("_position") - F.floor("_position"))
     return found.select(
         *[F.col(n).alias(c) for n, c in zip(names, by, strict=True)], F.get(literals(probs), F.col("_i")).alias("p"), quantile.alias("quantile")
     )

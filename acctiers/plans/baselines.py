@@ -217,10 +217,6 @@ def best_model(metrics: DataFrame) -> DataFrame:
     return metrics.filter("model <> 'composite_score'").agg(F.max_by("model", "roc_auc").alias("best_model"))
 
 
-def label_summary(fitted: Fitted) -> DataFrame:
-    return fitted.predictions.agg(F.avg("label").alias("label_positive_rate"), F.count(F.lit(1)).alias("n"))
-
-
 def _auc_cells(pdf: pd.DataFrame):
     y = pdf["label"].to_numpy() == 1
     sides = [(pdf[c].to_numpy(), int(pdf[c].max()) + 1) for c in ("ba", "bb")]

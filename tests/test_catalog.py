@@ -2,6 +2,7 @@
 
 import glob
 import os
+import re
 
 import duckdb
 import pytest
@@ -53,6 +54,22 @@ def test_entry_points(spark):
     assert entry_points.entry(spark).count() > 0
 
 
-def test_no_plan_needs_a_cross_join_or_a_single_task_window(spark):
+def test_scores_need_no_cross_join(spark):
     plan = load()["O8_score_customers"].run(spark, FOLDER)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("by", [[], ["l_returnflag"]])
+def test_rank_windows_are_keyed_or_hold_one_row_per_partition(spark, by):
+    """The only windows without a key of the data run over the partitions' sums."""
+    from pyspark.sql import functions as F
+
+    from acctiers.operators import rank as R
+
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
+    order = [F.col("l_extendedprice"), F.col("l_orderkey"), F.col("l_linenumber")]
+    for df in (R.average_rank(lines, "l_extendedprice", by), R.ordinal_rank(lines, order, by=by), R.exact_quantiles(lines, "l_extendedprice", [0.5], by)):
+        plan = df._jdf.queryExecution().sparkPlan().toString().split("\n")
+        for i, line in enumerate(plan):
+            if re.search(r"[-+] Window \[", line) and "_part#" not in line:
+                assert any("Aggregate(keys=[_part#" in x for x in plan[i + 1 : i + 4])

@@ -178,3 +178,9 @@ def test_data_health_keeps_the_newest(spark):
     got = {r["target"]: r for r in M.mart_data_health(log, NOW).collect()}
     assert (got["t"]["last_message"], got["t"]["runs_30d"], got["t"]["pass_rate_30d"]) == ("new", 2, 0.5)
     assert got["u"]["runs_30d"] is None and got["u"]["pass_rate_30d"] is None
+
+
+def test_types_of_columns_with_quotes_in_their_names(spark):
+    df = spark.createDataFrame([("1", "x", 2)], ["it's", "a`b", "back\\slash"])
+    found = {r["column_name"]: r["logical_type"] for r in M.infer_logical_types(df).collect()}
+    assert found == {"it's": "integer", "a`b": "string", "back\\slash": "integer"}

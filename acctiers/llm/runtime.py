@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +29,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     for key, value in wanted.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    # Python workers of a session started elsewhere import this package, too
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     return spark
 
 

@@ -11,14 +11,16 @@ and of the band its larger partners may be in, with as many leading segments as
 
 *Allocation.*  ``allocate`` chooses per band how many segments to use, how many of them get deletion
 neighbourhoods, and the slack E: with weights of H + 1 + E at least E + 1 segments match, so a set with at
-most E empty segments need not index empty ones, which all small sets share.  A set with more indexes the
-(E+1)-subsets of its empty segments instead.  The cost is the number of index entries plus a price for sets
+most E empty segments need not index empty ones, which all small sets share.  A set with more indexes pairs
+of its empty segments (for large E each of them), which the partner then does too.  The cost is the number of index entries plus a price for sets
 beyond the slack.
 
 *No pairs inside a group.*  Equal sets are one class.  Classes that share an index entry are first compared
 with a random class of the entry (a hub), the few hubs they share most entries with; links make components.
-Only classes that share an entry and are still in different components are compared in full.  So copies
-cost a few comparisons each, while no link between components is missed.
+Then all pairs of classes that are still in different components and share an entry are compared in full,
+first by small sketches that bound the difference from below.  Linked sets share several entries of the
+larger one's scheme, so that set leaves its most frequent ones out.  So copies cost a
+few comparisons each, while no link between components is missed.
 
 Null, empty and wordless texts have empty sets, link with nothing and are their own components; texts of
 fewer than n words have one entry, the whole sequence.  doc_id names a text: rows that repeat an id repeat
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import combinations
-from math import comb
+from math import exp, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +47,12 @@ from acctiers.llm.runtime import keyed_text, stored
 
 U = np.uint64
 BAND_RATIO = 1.5
-OVERFLOW_PRICE = 2_000.0  # index entries that one set beyond the slack is worth
+OVERFLOW_PRICE = 1e5  # index entries that one set beyond the slack is worth: such sets are to be very rare
 HUBS = 3
-FULL_PAIRS = 3.0  # full comparison once the pairs left are at most so many per index row
+FULL_PAIRS = 500.0  # all pairs are compared by sketches once they are at most so many per index row
+ROUNDS = 3  # rounds of hubs after the first one
+SLOW = 0.005  # or once a round of hubs links at most this share of the classes left
+SKETCH = 16  # 64-bit words of a set's sketch
 BROADCAST_IDS = 500_000
 
 
@@ -58,29 +63,41 @@ class Scheme:
     paired: int  # leading segments with one-deletion neighbourhoods
     slack: int
 
+    @property
+    def together(self) -> int:
+        """How many empty segments make an index entry of a set beyond the slack."""
+        return 2 if 1 <= self.slack <= 40 else 1
+
     def used(self, errors: np.ndarray) -> np.ndarray:
         """Leading segments whose weights exceed the errors by 1 + slack."""
         need = errors + 1 + self.slack
         return np.maximum(-(-need // 2), need - self.paired)
 
 
-def tail(n: int, p: float, k: int) -> float:
-    """P(more than k of n)."""
-    return 1.0 - sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(min(k, n) + 1)) if p > 0 else 0.0
+def tail(mean: float, k: int) -> float:
+    """P(more than k) of a Poisson number."""
+    term = total = exp(-mean)
+    for i in range(1, k + 1):
+        term *= mean / i
+        total += term
+    return max(0.0, 1.0 - total)
 
 
 def allocate(low: int, high: int, num: int, den: int) -> Scheme:
     """The cheapest scheme for sets of ``low`` to ``high`` entries."""
-    errors = np.array([(den - num) * 2 * high // (den + num)])
+    errors = (den - num) * 2 * high // (den + num)
+    fewest = (den - num) * 2 * low // (den + num)
+    usual = (errors + 1) * exp(-low / (errors + 1))  # empty segments to expect
+    slacks = sorted({*range(9), *(int(usual * 1.5 + z * sqrt(usual)) for z in range(2, 12))})
     best, cheapest = None, float("inf")
-    for paired in range(min(4, int(errors[0]) + 1)):
-        for slack in range(0, 12):
-            segments = int(Scheme(high, 0, paired, slack).used(errors)[0])
+    for paired in range(min(4, errors + 1)):
+        for slack in slacks:
+            segments = int(Scheme(high, 0, paired, slack).used(np.array([errors]))[0])
             scheme = Scheme(high, segments, paired, slack)
-            own = int(scheme.used(np.array([(den - num) * 2 * low // (den + num)]))[0])
+            own = int(scheme.used(np.array([fewest]))[0])
             empty = (1 - 1 / segments) ** low
             deleted = min(paired, own)
-            cost = own + deleted * low / segments + OVERFLOW_PRICE * (tail(own - deleted, empty, slack) + deleted * empty)
+            cost = own + deleted * low / segments + OVERFLOW_PRICE * (tail((own - deleted) * empty, slack) + deleted * empty)
             if cost < cheapest - 1e-9:
                 best, cheapest = scheme, cost
     return best
@@ -127,41 +144,51 @@ def batch_sets(batch: pa.RecordBatch, n: int) -> Sets:
     if len(short):
         alone = np.array([W.rolling(hashes[firsts[i] : firsts[i + 1]], int(counts[i]))[0] for i in short], np.uint64)
         doc, entry = np.concatenate([doc, short]), np.concatenate([entry, alone])
-    order = np.lexsort((entry, doc))
-    doc, entry = doc[order], entry[order]
+        order = np.argsort(doc, kind="stable")
+        doc, entry = doc[order], entry[order]
+    edges = np.searchsorted(doc, np.arange(words.n_docs + 1)).tolist()
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        entry[a:b].sort()
     fresh = np.ones(len(doc), bool)
     fresh[1:] = (doc[1:] != doc[:-1]) | (entry[1:] != entry[:-1])
     doc, entry = doc[fresh], entry[fresh]
     return Sets(doc, entry, np.bincount(doc, minlength=words.n_docs))
 
 
-def index_entries(sets: Sets, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, index key) of every set in its schemes."""
+def index_entries(sets: Sets, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, index key, least) of every set in its schemes.
+
+    ``least``: how many keys of its own band's scheme a smaller set that links with it shares at least; 0 for
+    keys of the next band's scheme.
+    """
     table = schemes(num, den, int(sets.sizes.max(initial=1)) * den // num + 1)
     highs = np.array([s.high for s in table])
     largest = sets.sizes * den // num  # partners are at most so large
-    docs, keys = [], []
+    starts = sets.starts()
+    docs, keys, leasts = [], [], []
     for number, scheme in enumerate(table):
         low = highs[number - 1] + 1 if number else 1
         part = np.flatnonzero((sets.sizes > 0) & (sets.sizes <= scheme.high) & (largest >= low))
         if not len(part):
             continue
         with np.errstate(over="ignore"):
-            d, k = _entries_in(sets, part, scheme, U(number), np.minimum(largest[part], scheme.high), num, den)
+            d, k, hollow = _entries_in(sets, starts, part, scheme, U(number), np.minimum(largest[part], scheme.high), num, den)
         docs.append(d)
         keys.append(k)
+        shared = np.zeros(len(sets.sizes), np.int64)
+        shared[part] = np.maximum(1, -(-(scheme.slack + 1 - hollow) // (2 if scheme.paired else 1)))
+        leasts.append(np.where(sets.sizes[d] >= low, shared[d], 0))
     if not docs:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    return np.concatenate(docs), np.concatenate(keys)
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64)
+    return np.concatenate(docs), np.concatenate(keys), np.concatenate(leasts)
 
 
-def _entries_in(sets, part, scheme: Scheme, number, partner, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+def _entries_in(sets, starts, part, scheme: Scheme, number, partner, num: int, den: int):
     used = scheme.used((den - num) * (sets.sizes[part] + partner) // (den + num))
     used = np.minimum(used, scheme.segments)
-    local = np.full(len(sets.sizes), -1)
-    local[part] = np.arange(len(part))
-    chosen = local[sets.doc] >= 0
-    row, entry = local[sets.doc[chosen]], sets.entry[chosen]
+    sizes = sets.sizes[part]
+    row = np.repeat(np.arange(len(part)), sizes)
+    entry = sets.entry[np.arange(len(row)) + np.repeat(starts[part] - np.cumsum(sizes) + sizes, sizes)]
     spread = W.mix(entry ^ W.mix(number + U(77)))
     segment = ((spread >> U(32)) * U(scheme.segments) >> U(32)).astype(np.int64)
     value = W.mix(entry + number * U(0x9E3779B97F4A7C15))
@@ -178,13 +205,28 @@ def _entries_in(sets, part, scheme: Scheme, number, partner, num: int, den: int)
         drop = np.flatnonzero((segment < scheme.paired) & (segment < used[row]))
         docs.append(part[row[drop]])
         keys.append(W.mix(total[cell[drop]] - value[drop] + salt[segment[drop]]))
-    hollow = live & ~full & ~paired
-    for i in np.flatnonzero(hollow.sum(axis=1) > scheme.slack):
-        groups = list(combinations(np.flatnonzero(hollow[i]).tolist(), scheme.slack + 1))
-        place = np.array(groups, np.uint64)
-        keys.append(W.mix(W.rolling(W.mix(place.ravel() + number), scheme.slack + 1)[:: scheme.slack + 1] + U(13)))
+    empty = live & ~full & ~paired
+    hollow = empty.sum(axis=1)
+    for i in np.flatnonzero(hollow > scheme.slack):
+        # any such set that matches here shares more than slack empty segments with this one, so some pair
+        groups = list(combinations(np.flatnonzero(empty[i]).tolist(), scheme.together))
+        place = W.mix(np.array(groups, np.uint64) + (number << U(40)))
+        keys.append(W.mix((place * U(2_654_435_761)).sum(axis=1, dtype=np.uint64) + U(13)))
         docs.append(np.full(len(groups), part[i]))
-    return np.concatenate(docs), np.concatenate(keys)
+    return np.concatenate(docs), np.concatenate(keys), hollow
+
+
+def odd_sketch(sets: Sets) -> np.ndarray:
+    """One row of SKETCH 64-bit words per set: the parity of the entries in each of its bits.
+
+    An entry that only one of two sets holds changes one bit, so their sketches differ in at most as many
+    bits as the sets in entries.
+    """
+    mixed = W.mix(sets.entry ^ U(0xA0761D6478BD642F))
+    cell = sets.doc * SKETCH + (mixed & U(SKETCH - 1)).astype(np.int64)
+    out = np.zeros(len(sets.sizes) * SKETCH, np.uint64)
+    np.bitwise_xor.at(out, cell, U(1) << (mixed >> U(58)))
+    return out.reshape(-1, SKETCH)
 
 
 def _describe(n: int):
@@ -215,9 +257,10 @@ def _index(n: int, num: int, den: int):
                     new[i] = True
             keep = new[sets.doc]
             fresh = Sets(sets.doc[keep], sets.entry[keep], np.where(new, sets.sizes, 0))
-            doc, key = index_entries(fresh, num, den)
+            doc, key, least = index_entries(fresh, num, den)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(W.signed(key)), batch["doc_id"].take(pa.array(doc))], names=["key", "doc_id"]
+                [pa.array(W.signed(key)), batch["doc_id"].take(pa.array(doc)), pa.array(least.astype(np.int32))],
+                names=["key", "doc_id", "least"],
             )
 
     return run
@@ -229,7 +272,8 @@ def _entries(n: int):
             sets = batch_sets(batch, n)
             offsets = (sets.starts() * 8).astype(np.int32)
             blobs = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(sets.entry.tobytes())])
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], blobs], names=["id", "entries"])
+            bits = pa.FixedSizeListArray.from_arrays(pa.array(W.signed(odd_sketch(sets).ravel())), SKETCH).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], blobs, bits], names=["id", "entries", "sketch"])
 
     return run
 
@@ -262,32 +306,47 @@ class _Join:
             ),
             "members",
         )
-        rows = docs.mapInArrow(_index(n, num, den), "key bigint, doc_id bigint")
+        rows = docs.mapInArrow(_index(n, num, den), "key bigint, doc_id bigint, least int")
         shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("key")
-        named = rows.join(shared, "key").join(self.members.where("doc_id is not null"), "doc_id").select("key", "class", "size")
+        known = self.members.where("doc_id is not null").select("doc_id", "class", "size")
+        named = rows.join(shared, "key").join(known, "doc_id").select("key", "class", "size", "least")
         self.rows = stored(named.distinct(), "index")
         ids = self.rows.select(F.col("class").alias("doc_id")).distinct()
         small = ids.count() <= BROADCAST_IDS  # else both sides are shuffled by doc_id
         texts = docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-        self.sets = stored(texts.mapInArrow(_entries(n), "id bigint, entries binary").dropDuplicates(["id"]), "sets")
+        sets = texts.mapInArrow(_entries(n), "id bigint, entries binary, sketch array<bigint>")
+        self.sets = stored(sets.dropDuplicates(["id"]), "sets")
 
     def compare(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) that link."""
+        """Pairs (a, b) that link.  Sketches turn away pairs that differ too much before sets are fetched."""
+        size = F.octet_length("entries") / 8
+        light = self.sets.select("id", "sketch", size.alias("size"))
+        one, two = (light.select(F.col("id").alias(i), F.col("sketch").alias(k), F.col("size").alias(n)) for i, k, n in (("a", "x", "s"), ("b", "y", "t")))
+        apart = F.aggregate(
+            F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, bits: total + bits
+        )
+        close = pairs.join(one, "a").join(two, "b").where(apart * (self.den + self.num) <= (F.col("s") + F.col("t")) * (self.den - self.num))
+        close = close.select("a", "b")
         one, two = (self.sets.select(F.col("id").alias(i), F.col("entries").alias(e)) for i, e in (("a", "x"), ("b", "y")))
-        return pairs.join(one, "a").join(two, "b").mapInArrow(_verify(self.num, self.den), "a bigint, b bigint")
+        return close.join(one, "a").join(two, "b").mapInArrow(_verify(self.num, self.den), "a bigint, b bigint")
 
     def similar_sizes(self, one, two):
         return self.den * F.least(one, two) >= self.num * F.greatest(one, two)
 
     def hub_pairs(self, rows: DataFrame, salt: int) -> DataFrame:
-        """Each class with the hubs it shares most entries with."""
+        """Each class with the hubs it shares most entries with; with components known, hubs of other ones."""
         order = F.xxhash64(F.lit(salt), "class", "key")
+        known = [c for c in ("component",) if c in rows.columns]
         hubs = rows.groupBy("key").agg(
-            F.min_by("class", order).alias("hub"), F.min_by("size", order).alias("hub_size"), F.count(F.lit(1)).alias("classes")
+            F.min_by("class", order).alias("hub"),
+            F.min_by("size", order).alias("hub_size"),
+            F.count(F.lit(1)).alias("classes"),
+            *[F.min_by(c, order).alias(f"hub_{c}") for c in known],
         )
+        apart = [F.col(c) != F.col(f"hub_{c}") for c in known] or [F.col("class") != F.col("hub")]
         met = (
             rows.join(hubs.where("classes > 1"), "key")
-            .where((F.col("class") != F.col("hub")) & self.similar_sizes("size", "hub_size"))
+            .where(apart[0] & self.similar_sizes("size", "hub_size"))
             .groupBy("class", "hub")
             .agg(F.count(F.lit(1)).alias("entries"))
         )
@@ -295,42 +354,62 @@ class _Join:
         top = met.withColumn("place", F.row_number().over(best)).where(F.col("place") <= HUBS)
         return top.select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct()
 
-    def labelled(self, links: DataFrame) -> DataFrame:
-        """Index rows of the keys that still meet several components, with each class's component."""
-        found = components(links).withColumnRenamed("node", "class")
-        rows = self.rows.join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
-        divided = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        return rows.join(divided.select("key"), "key")
+    def divided(self, labels: DataFrame) -> DataFrame:
+        """Index rows of the keys that still meet several components, with each class's component and sketch."""
+        rows = self.rows.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+        several = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+        bits = [F.col("sketch")[i].alias(f"b{i}") for i in range(SKETCH)]
+        return rows.join(several.select("key"), "key").join(self.sets.select(F.col("id").alias("class"), *bits), "class")
 
-    def links(self) -> DataFrame:
+    def labels(self) -> DataFrame:
+        """(class, component) of the classes that link, but for the smallest of each component."""
         tested = stored(self.hub_pairs(self.rows, 0), "pairs")
-        links = stored(self.compare(tested), "links")
-        for salt in range(1, 1000):
-            rows = stored(self.labelled(links), "open")
+        labels = components(self.compare(tested)).withColumnRenamed("node", "class")
+        for salt in range(1, 100):
+            rows = stored(self.divided(labels), "divided")
             inside = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
                 F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("same")
             )
-            left, size = inside.agg(F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.lit(0.0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+            pairs_left = F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.lit(0.0))
+            left, size = inside.agg(pairs_left, F.coalesce(F.sum("n"), F.lit(0))).first()
             if not left:
-                return links
-            if left <= FULL_PAIRS * max(size, 1):
+                return labels
+            if salt > ROUNDS and left <= FULL_PAIRS * size:
                 break
             pairs = stored(self.hub_pairs(rows, salt).join(tested, ["a", "b"], "left_anti"), "pairs")
             more = stored(self.compare(pairs), "links")
             tested = tested.union(pairs)
-            if more.isEmpty():
+            few = more.count() <= SLOW * rows.select("class").distinct().count()
+            labels = self.merged(labels, more)
+            if few:
+                rows = stored(self.divided(labels), "divided")
                 break
-            links = links.union(more)
-        one = rows.select("key", F.col("class").alias("a"), F.col("size").alias("s"), F.col("component").alias("p"))
-        two = rows.select("key", F.col("class").alias("b"), F.col("size").alias("t"), F.col("component").alias("q"))
+        apart = sum(F.bit_count(F.col(f"b{i}1").bitwiseXOR(F.col(f"b{i}2"))) for i in range(SKETCH))
+        # the larger set of a pair looks with its own band's keys, all but the least - 1 most frequent ones
+        usual = rows.join(rows.groupBy("key").agg(F.count(F.lit(1)).alias("met")), "key").where("least > 0")
+        rarest = Window.partitionBy("class").orderBy("met", "key")
+        looking = (
+            usual.withColumn("place", F.row_number().over(rarest))
+            .withColumn("own", F.count(F.lit(1)).over(Window.partitionBy("class")))
+            .where(F.col("place") <= F.col("own") - F.col("least") + 1)
+        )
+        columns = ("class", "size", "component", *[f"b{i}" for i in range(SKETCH)])
+        large, small = (df.select("key", *[F.col(c).alias(c + i) for c in columns]) for df, i in ((looking, "1"), (rows, "2")))
+        ordered = (F.col("size1") > F.col("size2")) | ((F.col("size1") == F.col("size2")) & (F.col("class1") < F.col("class2")))
         pairs = (
-            one.join(two, "key")
-            .where((F.col("a") < F.col("b")) & (F.col("p") != F.col("q")) & self.similar_sizes("s", "t"))
-            .select("a", "b")
+            large.join(small, "key")
+            .where(ordered & (F.col("component1") != F.col("component2")) & self.similar_sizes("size1", "size2"))
+            .where(apart * (self.den + self.num) <= (F.col("size1") + F.col("size2")) * (self.den - self.num))
+            .select(F.least("class1", "class2").alias("a"), F.greatest("class1", "class2").alias("b"))
             .distinct()
             .join(tested, ["a", "b"], "left_anti")
         )
-        return links.union(stored(self.compare(pairs), "links"))
+        return self.merged(labels, self.compare(stored(pairs, "pairs")))
+
+    def merged(self, labels: DataFrame, links: DataFrame) -> DataFrame:
+        """Labels after more links."""
+        edges = labels.select(F.col("class").alias("a"), F.col("component").alias("b")).union(links)
+        return components(edges).withColumnRenamed("node", "class")
 
 
 def linked_components(
@@ -344,8 +423,7 @@ def linked_components(
     if not 0 < num <= den:
         raise ValueError("the threshold num/den must be in (0, 1]")
     run = _Join(keyed_text(docs, id_col, text_col), n, num, den)
-    found = components(run.links()).withColumnRenamed("node", "class")
-    return run.members.join(found, "class", "left").select(
+    return run.members.join(run.labels(), "class", "left").select(
         "doc_id",
         F.col("size").alias("n_shingles"),
         F.col("class").alias("class_id"),

@@ -52,8 +52,12 @@ def test_linked_sets_share_an_index_entry(num):
             continue
         linked += 1
         sets = jaccard.Sets(np.repeat([0, 1], [len(a), len(b)]), np.concatenate([a, b]), np.array([len(a), len(b)]))
-        doc, key = jaccard.index_entries(sets, num, 100)
-        assert set(key[doc == 0].tolist()) & set(key[doc == 1].tolist())
+        doc, key, least = jaccard.index_entries(sets, num, 100)
+        large = int(np.argmax(sets.sizes))
+        own = set(key[(doc == large) & (least > 0)].tolist())
+        assert len(own & set(key[doc != large].tolist())) >= least[doc == large].max() >= 1
+        one, two = jaccard.odd_sketch(sets)
+        assert np.bitwise_count(one ^ two).sum() <= len(a) + len(b) - 2 * both
     assert linked > 200
 
 

@@ -4,8 +4,8 @@ A sentence's score is a logistic function of the words and word beginnings in it
 noisy-or, 1 - prod(1 - p).  Only texts have labels; the gradient of the noisy-or shares a text's label out
 among its sentences, so training also tells which sentences offend, and ``offending`` lists them.
 
-The model is fitted on a bounded, hash-ordered sample of labelled rows (``FIT_ROWS`` rows of at most
-``FIT_BYTES`` each) and holds at most ``FEATURES`` weights, so what is collected and broadcast does not grow.
+The model is fitted, in one task, on a bounded, hash-ordered sample of labelled rows (``FIT_ROWS`` rows of at
+most ``FIT_BYTES`` each) and holds at most ``FEATURES`` weights, so what is collected and broadcast does not grow.
 Scoring reads every text whole.
 
 Null and empty texts, and texts without words, have score 0 and no sentences.  A label of null is no label;
@@ -177,10 +177,25 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, size: int) ->
     return docs.where(F.octet_length("text") <= size).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
 
 
+def _fit_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model of the whole sample as rows (key, weight); the row without a key is the bias."""
+    parts = [b for b in batches if b.num_rows]
+    model = Model()
+    if parts:
+        sample = pa.Table.from_batches(parts).sort_by("doc_id")
+        model = fit(sample["text"].combine_chunks(), sample["label"].to_numpy())
+    keys = pa.array([None, *W.signed(model.keys).tolist()], pa.int64())
+    yield pa.RecordBatch.from_arrays([keys, pa.array([model.bias, *model.weights.tolist()])], names=["key", "weight"])
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
+    """Fit in one task on the bounded sample; the driver gets the weights only."""
     known = labels.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("label"))
-    sample = labelled_sample(keyed_text(docs, id_col, text_col), known, FIT_ROWS, FIT_BYTES).toArrow().sort_by("doc_id")
-    return fit(sample["text"].combine_chunks(), sample["label"].to_numpy())
+    sample = labelled_sample(keyed_text(docs, id_col, text_col), known, FIT_ROWS, FIT_BYTES)
+    rows = sample.repartition(1).mapInArrow(_fit_sample, "key bigint, weight double").collect()  # FEATURES + 1 at most
+    weights = sorted((np.uint64(r["key"] & 0xFFFFFFFFFFFFFFFF), r["weight"]) for r in rows if r["key"] is not None)
+    bias = next((r["weight"] for r in rows if r["key"] is None), Model().bias)
+    return Model(np.array([k for k, _ in weights], np.uint64), np.array([w for _, w in weights]), bias)
 
 
 def score(

@@ -2,13 +2,15 @@
 
 1. ``build_index`` stores postings (term, doc_id, position) of every training word that occurs in a
    benchmark item, as a Parquet table in the shared folder.
-2. Each window of an item (``width`` consecutive words; a shorter item is one window) names its two rarest
-   terms, by the postings' counts.  Their postings, shifted by the term's place in the item, are lists of
-   possible item starts; where both lists agree the start is a candidate.
-3. For a candidate all words of the item are looked up in the index at their shifted places.  Runs of
-   ``width`` found words are exact phrase matches.  A candidate without such a run is a proximity match
-   when at least ``near_share`` times the window's width of its words are found in place (among them the
-   two rarest of some window).
+2. A window (``width`` consecutive words of an item; a shorter item is one window) may miss m words: its width
+   less ``near_share`` of it, rounded up.  Of its m+2 rarest terms, by the postings' counts, two at least then
+   stand in place, whichever words are replaced.  Their postings, shifted by the term's place in the item, are
+   possible item starts; a start is a seed where two places of the item meet within m starts, so m inserted or
+   deleted words between them do no harm.
+3. The index gives the document's words around a seed; those of the item within m starts of the seed are found.
+   Runs of ``width`` found words at one start are exact phrase matches.  A proximity match is a start from which, with up to m
+   words of shift, enough words of one window stand in the item's order (the longest common subsequence).
+   Of the starts within m of one another the best is kept, exact ones before others.
 
 Null, empty and too short texts have no words or no matches; an item without words matches nothing.
 Repeated items count once per item_id.  doc_id names a document: rows that repeat a doc_id with the same
@@ -18,7 +20,9 @@ text is never larger than its own row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from math import ceil
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acctiers.session import scratch_path
@@ -65,26 +69,51 @@ def build_index(docs: DataFrame, terms: DataFrame, n_terms: int, id_col: str, te
     return spark.read.parquet(path)
 
 
-def window_anchors(items: DataFrame, counts: DataFrame, width: int) -> DataFrame:
-    """(item, anchors, pairs): places of rare terms, and for each window its two rarest places."""
+def needed(span: Column, near_share: float) -> Column:
+    """Words of a window of ``span`` words that have to be found."""
+    return F.greatest(F.ceil(span * near_share), F.lit(1)).cast("int")
+
+
+def window_anchors(items: DataFrame, counts: DataFrame, width: int, near_share: float) -> DataFrame:
+    """(item, term, at, alone): in each window the two rarest places beyond those that may be missing; ``alone``
+    where a window has no two places that must be found."""
+    span = F.least(F.col("n"), F.lit(width))
     lists = (
         items.join(counts, "term", "left")
         .groupBy("item", "n")
-        .agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("freq", F.lit(0)).alias("freq")))).alias("places"))
+        .agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("freq", F.lit(0)).alias("freq"), "term"))).alias("places"))
     )
-    by_rarity = F.transform(
+    rarest = F.transform(
         F.sequence(F.lit(0), F.greatest(F.col("n") - width, F.lit(0))),
-        lambda s: F.array_sort(
-            F.transform(F.slice("places", s + 1, width), lambda p: F.struct(p["freq"].alias("freq"), p["at"].alias("at")))
+        lambda s: F.slice(
+            F.array_sort(
+                F.transform(
+                    F.slice("places", s + 1, width), lambda p: F.struct(p["freq"].alias("freq"), p["at"].alias("at"), p["term"].alias("term"))
+                )
+            ),
+            F.lit(1),
+            span - needed(span, near_share) + 2,
         ),
     )
-    pairs = F.array_distinct(
-        F.transform(by_rarity, lambda w: F.struct(w[0]["at"].alias("a"), F.coalesce(F.get(w, F.lit(1))["at"], w[0]["at"]).alias("b")))
+    return lists.select("item", (needed(span, near_share) < 2).alias("alone"), F.explode(F.array_distinct(F.flatten(rarest))).alias("p")).select(
+        "item", "p.term", "p.at", "alone"
     )
-    return (
-        lists.select("item", pairs.alias("pairs"))
-        .withColumn("anchors", F.array_distinct(F.concat(F.col("pairs.a"), F.col("pairs.b"))))
-        .select("item", "anchors", "pairs")
+
+
+def block(pos: Column) -> Column:
+    return F.shiftright(pos, 4)
+
+
+def in_order(pairs: Column, width: int) -> Column:
+    """Longest run of (at, back) pairs, sorted and with back = -pos, that rises in both places: patience sorting."""
+    return F.size(
+        F.aggregate(
+            F.transform(pairs, lambda p: -p["back"]),
+            F.array().cast("array<int>"),
+            lambda tails, pos: F.concat(
+                F.filter(tails, lambda t: t < pos), F.array(pos), F.slice(F.filter(tails, lambda t: t >= pos), 2, width)
+            ),
+        )
     )
 
 
@@ -99,7 +128,7 @@ def match_items(
     item_text_col: str = "text",
 ) -> DataFrame:
     """(item_id, doc_id, start, starts, width, found): ``starts`` are the first words of exact windows in the
-    document; with none the row is a proximity match of ``found`` words."""
+    document; with none the row is a proximity match of ``found`` words of one window."""
     words = item_words(items, item_col, item_text_col)
     vocabulary = words.select("word").distinct().withColumn("term", F.xxhash64("word"))
     n_terms = vocabulary.count()
@@ -107,36 +136,64 @@ def match_items(
     placed = words.select("item", "item_id", "n", "at", F.xxhash64("word").alias("term"))
 
     counts = index.groupBy("term").agg(F.count(F.lit(1)).alias("freq"))
-    anchors = window_anchors(placed, counts, width)
-    anchor_terms = placed.join(anchors.select("item", F.explode("anchors").alias("at")), ["item", "at"]).select("term", "item", "at")
+    anchors = window_anchors(placed, counts, width, near_share)
     n_places = placed.count()
-    start = (F.col("pos") - F.col("at")).alias("start")
-    agreed = (
-        index.join(sized(anchor_terms, n_places), "term")
-        .select("item", "doc_id", start, "at")
-        .groupBy("item", "doc_id", "start")
-        .agg(F.collect_set("at").alias("seen"))
-        .join(sized(anchors.select("item", "pairs"), n_places), "item")
-        .where(F.exists("pairs", lambda p: F.array_contains("seen", p["a"]) & F.array_contains("seen", p["b"])))
-        .select("item", "doc_id", "start")
+    shift = max(0, width - max(1, ceil(width * near_share)))  # of a whole window; shorter items allow no more
+    ahead = Window.partitionBy("item", "doc_id").orderBy("start").rangeBetween(0, shift)
+    seeds = (
+        index.join(sized(anchors, n_places), "term")
+        .select("item", "doc_id", (F.col("pos") - F.col("at")).alias("start"), "at", "alone")
+        .select("item", "doc_id", "start", "at", "alone", F.min("at").over(ahead).alias("low"), F.max("at").over(ahead).alias("high"))
+        .where("alone or low < high")
     )
-    wanted = agreed.join(sized(placed, n_places), "item").select(
-        "item", "item_id", "n", "doc_id", "start", "at", "term", (F.col("start") + F.col("at")).alias("pos")
+    # the places of the document that a window around the seed's word can take, in blocks: two or three rows a seed
+    reach = width - 1 + shift
+    wanted = seeds.withColumn("middle", F.col("start") + F.col("at")).select(
+        "item",
+        "doc_id",
+        F.col("start").alias("seed"),
+        "middle",
+        F.explode(F.sequence(block(F.greatest(F.col("middle") - reach, F.lit(0))), block(F.col("middle") + reach))).alias("block"),
     )
     span = F.least(F.col("n"), F.lit(width))
     runs = F.filter(
         F.transform(F.col("found"), lambda x, i: F.when(F.get("found", i + F.col("width") - 1) == x + F.col("width") - 1, x)),
         lambda x: x.isNotNull(),
     )
-    matched = (
-        wanted.join(index, ["doc_id", "pos", "term"])
-        .groupBy("item", "item_id", "n", "doc_id", "start")
-        .agg(F.array_sort(F.collect_set("at")).alias("found"))
+
+    def of_window(x: Column) -> Column:
+        pairs = F.filter("pairs", lambda p: (p["at"] >= x) & (p["at"] < x + width))
+        return F.when(F.size(F.array_distinct(pairs["at"])) >= F.col("need"), in_order(pairs, width)).otherwise(0)
+
+    best = F.array_max(F.transform(F.sequence(F.lit(0), F.col("n") - F.col("width")), of_window))
+    # a found word belongs to the starts up to m before it
+    bands = (
+        wanted.join(index.withColumn("block", block(F.col("pos"))), ["doc_id", "block"])
+        .where(F.abs(F.col("pos") - F.col("middle")) <= reach)
+        .join(sized(placed, n_places), ["item", "term"])
+        .withColumn("start", F.col("pos") - F.col("at"))
+        .where(F.abs(F.col("start") - F.col("seed")) <= shift)
+        .withColumn("first", F.explode(F.sequence(F.col("start") - (span - needed(span, near_share)), F.col("start"))))
+        .groupBy("item", "item_id", "n", "doc_id", "first")
+        .agg(
+            F.array_sort(F.collect_set(F.struct("at", (-F.col("pos")).alias("back")))).alias("pairs"),
+            F.array_sort(F.collect_set(F.when(F.col("first") == F.col("start"), F.col("at")))).alias("found"),
+        )
+        .withColumnRenamed("first", "start")
         .withColumn("width", span)
+        .withColumn("need", needed(span, near_share))
+        .where(F.size("pairs") >= F.col("need"))
         .withColumn("starts", F.transform(runs, lambda x: x + F.col("start")))
     )
-    return matched.where((F.size("starts") > 0) | (F.size("found") >= F.ceil(F.col("width") * near_share))).select(
-        "item_id", "doc_id", "start", "starts", "width", F.size("found").alias("found")
+    exact = F.size("starts") > 0
+    matched = bands.withColumn("near", F.when(~exact, best)).where(exact | (F.col("near") >= F.col("need")))
+    rank = F.struct(exact, F.coalesce("near", F.lit(0)), F.size("found"), -F.col("start"))
+    around = Window.partitionBy("item", "item_id", "doc_id").orderBy("start").rangeBetween(-shift, shift)
+    return (
+        matched.withColumn("rank", rank)
+        .withColumn("top", F.max("rank").over(around))
+        .where(exact | (F.col("rank") == F.col("top")))
+        .select("item_id", "doc_id", "start", "starts", "width", F.when(exact, F.size("found")).otherwise(F.col("near")).alias("found"))
     )
 
 

@@ -1,3 +1,5 @@
+import math
+
 import pytest
 
 from acctiers.llm import decontaminate, licenses, urls
@@ -54,6 +56,51 @@ def test_proximity_match(spark):
     assert [(r["item_id"], r["start"], r["starts"], r["found"]) for r in row] == [("9", 0, [], 9)]
 
 
+def brute_near(words, item, width=10, share=0.8):
+    """Starts and shifts tried one by one; words of a window in order by dynamic programming."""
+    span = min(len(item), width)
+    need = max(1, math.ceil(span * share))
+    m, best = span - need, 0
+    for b in range(-len(item), len(words) + 1):
+        for x in range(len(item) - span + 1):
+            row = {}
+            for at in range(x, x + span):
+                at_pos = [b + at + j for j in range(m + 1) if 0 <= b + at + j < len(words) and words[b + at + j] == item[at]]
+                for pos in sorted(at_pos, reverse=True):
+                    row[pos] = max(row.get(pos, 0), 1 + max((v for q, v in row.items() if q < pos), default=0))
+            best = max([best, *row.values()])
+    return best if best >= need else 0
+
+
+def test_proximity_edits(spark):
+    """Words without postings, inserted and deleted ones, in short and long items."""
+    ten, long = PASSAGE.split()[:10], PASSAGE.split()
+    texts = {
+        1: [*ten[:5], "across", *ten[6:]],
+        2: [*ten[:5], "new", *ten[5:]],
+        3: [*ten[:5], *ten[6:]],
+        4: ["some", *ten[:3], "x", "y", *ten[3:], "tail"],
+        5: [*ten[:3], "p", ten[4], "q", "r", *ten[7:]],
+        6: ten[::-1],
+        7: [*long[:4], "u", *long[5:9], "v", *long[10:]],
+        8: ["q", *long[:2], "r", "s", "t", *long[2:8], "x", "y", "z", *long[12:]],
+        9: ["the", "the", "the", "lazy", "dog"] * 4,
+        10: ten,
+    }
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in texts.items()], "doc_id bigint, text string")
+    for item in (ten, long, ten[:5], ten[:1], ["the", "the", "lazy", "lazy", "the"]):
+        items = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+        got = {}
+        for r in decontaminate.match_items(docs, items).collect():
+            got[r["doc_id"]] = max(got.get(r["doc_id"], 0), 99 if r["starts"] else r["found"])
+        exact = [d for d, w in texts.items() if brute_hits([(d, " ".join(w))], [(1, " ".join(item))])[0][4]]
+        want = {d: 99 if d in exact else brute_near(w, item) for d, w in texts.items()}
+        assert got == {d: n for d, n in want.items() if n}
+    near = decontaminate.contamination(docs, spark.createDataFrame([(1, " ".join(ten))], "item_id bigint, text string"))
+    assert sorted(r["doc_id"] for r in near.where("n_near = 1").collect()) == [1, 2, 3, 4, 7]
+    assert [r["doc_id"] for r in near.where("contaminated").collect()] == [10]
+
+
 def test_empty_tables(spark, documents):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     assert decontaminate.contamination(documents.limit(0), items).count() == 0

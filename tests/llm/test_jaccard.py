@@ -91,5 +91,12 @@ def test_components_of_paths_and_stars(spark):
     assert found == {i: 1 for i in range(2, 41)} | {i: 100 for i in range(101, 130)} | {500: 499}
 
 
+def test_null_id_before_its_copy(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, text), (1, text), (2, text + " tail")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    assert got(jaccard.linked_components(docs)) == brute(rows)
+
+
 def test_empty_table(spark, documents):
     assert jaccard.linked_components(documents.limit(0)).count() == 0

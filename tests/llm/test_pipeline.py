@@ -11,7 +11,7 @@ from .conftest import SMALL, plain, spaced
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline")
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
 
 
 def test_stages_on_planted_cases(spark, tmp_path):

@@ -117,3 +117,16 @@ def test_copies_ties_and_odd_vectors(spark, monkeypatch):
     few = found(ann.neighbours(df.where("vec_id in (10, 11)"), k=5, every=10))
     assert [i for i, _ in few[10]] == [11]
     assert ann.neighbours(df.limit(0)).count() == 0
+
+
+def test_extreme_magnitudes_and_repeated_ids(spark):
+    """Squares that overflow or vanish leave cosines as they are; a repeated row counts once."""
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal((40, 2))
+    size = [1.0, 1e200, 1e-200, 1e-300, 1e300]
+    rows = [(i, (v * size[i % 5]).tolist()) for i, v in enumerate(base)]
+    df = spark.createDataFrame([*rows, *rows[:7]], "vec_id bigint, embedding array<double>")
+    got = found(ann.neighbours(df, k=4, every=10, trees=2, depth=1, share=1.0))
+    want = exact([(i, v.tolist()) for i, v in enumerate(base)], 4, 10)
+    assert {q: [i for i, _ in g] for q, g in got.items()} == {q: [i for i, _ in w] for q, w in want.items()}
+    assert all(abs(a - b) < 1e-12 for q, g in got.items() for (_, a), (_, b) in zip(g, want[q], strict=True))

@@ -130,17 +130,97 @@ def test_license_base(spark, documents, small_docs):
     assert base_of(licenses.scan(odd_docs(spark))) == brute_base(ODD)
 
 
-def test_license_templates(spark):
-    whole = licenses.TEMPLATES["bsd"]
-    words = whole.split()
-    edited = " ".join([*words[:20], "inserted", "words", *words[20:40], *words[42:]])
-    half = " ".join(words[: len(words) // 3])
-    texts = {1: whole.upper(), 2: "some head " + edited + " tail", 3: half, 4: "nothing at all", 5: None}
-    rows = licenses.scan(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"))
-    found = {r["doc_id"]: (r["labels"], r["score"]) for r in rows.collect()}
-    assert found[1] == ("bsd", 1.0)
-    assert found[2][0] == "bsd" and 0.8 < found[2][1] <= 1
-    assert found[3] == found[4] == found[5] == ("", 0.0)
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], max(row[j], row[j - 1], before + 1 if x == y else 0)
+    return row[-1]
+
+
+def brute_labels(text, k=4, slack=8, min_share=0.6):
+    """(labels, score): votes by diagonal, neighbours merged, spans verified word by word."""
+    w, labels, best = plain(text), set(), 0.0
+    for phrase, label in licenses.PHRASES.items():
+        p = phrase.split()
+        if any(w[i : i + len(p)] == p for i in range(len(w))):
+            labels.add(label)
+            best = 1.0
+    places = {}
+    for i in range(len(w) - k + 1):
+        places.setdefault(tuple(w[i : i + k]), []).append(i)
+    for label, family, template in licenses.TEMPLATES:
+        t = template.split()
+        marks = set(licenses.MARKS.get(family, ()))
+        diagonals = sorted({i - at for at in range(len(t) - k + 1) for i in places.get(tuple(t[at : at + k]), ())})
+        islands = []
+        for d in diagonals:
+            if islands and d - islands[-1][-1] <= min(slack, len(t) // 3):
+                islands[-1].append(d)
+            else:
+                islands.append([d])
+        for island in islands:
+            low, high = island[0], island[-1] + len(t) - 1
+            span = w[max(0, low) : high + 1]
+            share = lcs(t, span) / max(len(t), high - low + 1)
+            if share >= min_share and marks & set(span) == marks & set(t):
+                labels.add(label)
+                best = max(best, share)
+    return ",".join(sorted(labels)), best
+
+
+def labels_of(df):
+    return sorted(((r["doc_id"], r["labels"], round(r["score"], 12)) for r in df.collect()), key=str)
+
+
+def brute_rows(rows):
+    return sorted(((d, (f := brute_labels(t))[0], round(f[1], 12)) for d, t in rows), key=str)
+
+
+NOTICE = next(" ".join(t.split()) for label, _, t in licenses.TEMPLATES if label == "gpl")
+BSD = next(t for label, _, t in licenses.TEMPLATES if label == "bsd")
+EDITED = [*BSD.split()[:20], "inserted", "words", *BSD.split()[20:40], *BSD.split()[42:]]
+LICENSED = {
+    1: (BSD.upper(), "bsd"),
+    2: (" ".join(["some", "head", *EDITED, "tail"]), "bsd"),
+    3: (" ".join(BSD.split()[: len(BSD.split()) // 3]), ""),
+    4: ("nothing at all", ""),
+    5: (None, ""),
+    6: ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", "cc-by-nc-sa"),
+    7: ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License", "cc-by-nd"),
+    8: ("This work is licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
+    9: (NOTICE.replace("gnu general", "gnu lesser general"), "lgpl"),
+    10: (NOTICE.replace("gnu general", "gnu lesser general", 1), "gpl,lgpl"),  # the base phrase stands in the rest
+    11: (NOTICE, "gpl"),
+    12: (NOTICE.replace("gnu general", "GNU Affero General"), "agpl"),
+    13: ("Licensed under CC BY-NC-SA 4.0", "cc-by,cc-by-nc-sa"),
+    14: ("Licensed under CC BY-NC 4.0. Other text follows here.", "cc-by,cc-by-nc"),
+    15: ("Licensed under CC BY 4.0; licensed under CC BY-ND 4.0", "cc-by,cc-by-nd"),
+    16: ("licensed under cc by nc", "cc-by,cc-by-nc"),
+    17: (BSD + " " + " ".join(f"w{i}" for i in range(50)) + " " + BSD, "bsd"),
+    None: ("licensed under a creative commons attribution sharealike 4 0 international license", "cc-by-sa"),
+}
+
+
+def test_license_families_and_edits(spark):
+    """A span must hold the words that tell its template from others of the family; insertions count."""
+    rows = [(d, t) for d, (t, _) in LICENSED.items()]
+    found = labels_of(licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    assert {d: labels for d, labels, _ in found} == {d: want for d, (_, want) in LICENSED.items()}
+    assert found == brute_rows(rows)
+
+
+def test_license_labels_against_brute_force(spark, small_docs):
+    rows = [*small_docs, *((None, t) for _, t in ODD)]
+    assert labels_of(licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string"))) == brute_rows(rows)
+
+
+def test_repeated_ids_keep_their_own_labels(spark, monkeypatch):
+    """Also where the spans are too many to broadcast."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_TERMS", 0)
+    rows = [(1, LICENSED[6][0]), (1, LICENSED[8][0]), (1, "plain"), (None, NOTICE), (None, "plain")]
+    assert labels_of(licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string"))) == brute_rows(rows)
 
 
 def test_license_empty_table(spark, documents):

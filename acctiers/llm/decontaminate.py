@@ -25,7 +25,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from acctiers.session import scratch_path
+from acctiers.llm.runtime import stored, temporary
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BROADCAST_TERMS = 200_000  # about 20 MB of terms; a larger vocabulary is joined by shuffle
@@ -56,17 +56,14 @@ def sized(df: DataFrame, rows: int) -> DataFrame:
 
 def build_index(docs: DataFrame, terms: DataFrame, n_terms: int, id_col: str, text_col: str) -> DataFrame:
     """Postings (term, doc_id, pos) of the given (word, term) pairs, stored and read back."""
-    spark = docs.sparkSession
-    path = scratch_path(spark, "postings")
     words = docs.select(F.col(f"`{id_col}`").alias("doc_id"), plain_words(F.col(f"`{text_col}`").cast("string")).alias("words"))
-    (
+    postings = (
         words.where("doc_id is not null")
         .select("doc_id", F.posexplode("words").alias("pos", "word"))
         .join(sized(terms, n_terms), "word")
         .select("term", "doc_id", "pos")
-        .write.parquet(path)
     )
-    return spark.read.parquet(path)
+    return stored(postings, "postings")
 
 
 def needed(span: Column, near_share: float) -> Column:
@@ -197,6 +194,11 @@ def match_items(
     )
 
 
+def exact_windows(docs: DataFrame, items: DataFrame, width: int = 10, **columns: str) -> DataFrame:
+    """The exact rows of ``match_items`` alone: no word may miss, so two anchors a window and no shifted starts do."""
+    return match_items(docs, items, width, near_share=1.0, **columns).where(F.size("starts") > 0)
+
+
 def contamination(
     docs: DataFrame,
     items: DataFrame,
@@ -207,8 +209,9 @@ def contamination(
     item_text_col: str = "text",
 ) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, item_ids, n_near, contaminated) of every row of ``docs``."""
-    matches = match_items(docs, items, width, id_col=id_col, text_col=text_col, item_col=item_col, item_text_col=item_text_col)
-    matches = matches.withColumn("exact", F.size("starts") > 0)
+    with temporary(docs.sparkSession) as outlive:
+        matches = match_items(docs, items, width, id_col=id_col, text_col=text_col, item_col=item_col, item_text_col=item_text_col)
+        matches = outlive(matches.withColumn("exact", F.size("starts") > 0), "matches")
     covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + F.col("width") - 1))))
     hits = (
         matches.where("exact")

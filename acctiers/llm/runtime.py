@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -64,8 +66,41 @@ def crc_mod(column: str, n: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(n)
 
 
+_OPEN: list[list[str]] = []  # paths of the stored tables of each open ``temporary`` block
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` written to the shared folder and read back: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
+    if _OPEN:
+        _OPEN[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a stored table, in whatever file system it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator:
+    """Tables stored inside the block go when it ends, but for what is stored with the function it hands out.
+
+    A DataFrame that reads them must not leave the block.
+    """
+    _OPEN.append([])
+
+    def outlive(df: DataFrame, name: str) -> DataFrame:
+        kept = stored(df, name)
+        path = _OPEN[-1].pop()
+        if len(_OPEN) > 1:
+            _OPEN[-2].append(path)
+        return kept
+
+    try:
+        yield outlive
+    finally:
+        for path in _OPEN.pop():
+            remove(spark, path)

@@ -13,7 +13,8 @@ have equal anchors, and consecutive windows with the same anchor travel as one s
    of suffixes, whose smallest doc_id is looked up.
 4. Windows with a smaller owner go back to their documents as spans; covered words are cut out.
 
-Comparison inside a shard is on the words themselves, so hash collisions cannot cause a cut.  Null and
+Comparison inside a shard is on the words themselves; the way back to the documents joins on the anchor and
+a 64-bit hash of a segment's words, which two different segments of one anchor would have to share.  Null and
 empty texts, and texts of fewer than ``width`` words, keep all their words.  Rows with a null id keep
 theirs and own nothing.  doc_id names a text: rows that repeat an id are one document, and copies under
 the same id are not each other's duplicates.  A long text is many segments; nothing depends on its length.
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from acctiers.llm import words as W
 from acctiers.llm.fmindex import FMIndex
-from acctiers.llm.runtime import extended, partitions, stored
+from acctiers.llm.runtime import extended, partitions, stored, temporary
 
 ANCHOR_WORDS = 4
 HOT_ANCHOR = 5_000  # occurrences above which an anchor's windows are sharded one by one
@@ -230,7 +231,7 @@ def duplicate_windows(docs: DataFrame, width: int = 13, anchor_words: int = ANCH
     flagged = F.filter(
         F.transform("owners", lambda o, i: F.when(o < F.col("doc_id"), i + F.col("first"))), lambda i: i.isNotNull()
     )
-    cuts = (
+    return (
         segments.select("anchor", "key", "doc_id", "first")
         .join(owners, ["anchor", "key"])
         .select("doc_id", flagged.alias("cuts"))
@@ -238,7 +239,6 @@ def duplicate_windows(docs: DataFrame, width: int = 13, anchor_words: int = ANCH
         .groupBy("doc_id")
         .agg(F.flatten(F.collect_list("cuts")).alias("cuts"))  # bounded by the text's length
     )
-    return stored(cuts, "cuts")
 
 
 def _remove(width: int, respace: bool, carried: bool):
@@ -288,6 +288,7 @@ def remove_repeats(
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
         *([F.struct(*[F.col(f"`{c}`") if isinstance(c, str) else c for c in carry]).alias("carried")] if carry else []),
     )
-    cuts = duplicate_windows(rows.select("doc_id", "text"), width)
+    with temporary(docs.sparkSession) as outlive:
+        cuts = outlive(duplicate_windows(rows.select("doc_id", "text"), width), "cuts")
     schema = extended("doc_id bigint, n_words bigint, n_removed bigint, kept string", *([rows.schema["carried"]] if carry else []))
     return rows.join(cuts, "doc_id", "left").mapInArrow(_remove(width, respace, bool(carry)), schema)

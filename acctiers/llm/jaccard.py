@@ -25,7 +25,8 @@ few comparisons each, while no link between components is missed.
 Null, empty and wordless texts have empty sets, link with nothing and are their own components; texts of
 fewer than n words have one entry, the whole sequence.  doc_id names a text: rows that repeat an id repeat
 its text.  Rows with a null id get a null component when nothing smaller is linked.  An n-gram is known by a
-64-bit hash: two different ones in one pair of sets of a million entries each agree with a chance of 1e-7.
+64-bit hash of random tables (``Words.keys``): two different ones in one pair of sets of a million entries each
+agree with a chance of 1e-7.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 
 from acctiers.llm import words as W
 from acctiers.llm.components import components
-from acctiers.llm.runtime import keyed_text, stored
+from acctiers.llm.runtime import keyed_text, stored, temporary
 
 U = np.uint64
 BAND_RATIO = 1.5
@@ -136,7 +137,7 @@ class Sets:
 
 def batch_sets(batch: pa.RecordBatch, n: int) -> Sets:
     words = W.batch_words(batch)
-    hashes, counts, firsts = words.hashes(lower=True), words.counts(), words.firsts()
+    hashes, counts, firsts = words.keys(lower=True), words.counts(), words.firsts()
     grams = W.rolling(hashes, n)
     whole = words.doc[: len(grams)] == words.doc[n - 1 : n - 1 + len(grams)]
     doc, entry = words.doc[: len(grams)][whole], grams[whole]
@@ -423,10 +424,12 @@ def linked_components(
     """
     if not 0 < num <= den:
         raise ValueError("the threshold num/den must be in (0, 1]")
-    run = _Join(keyed_text(docs, id_col, text_col), n, num, den)
-    return run.members.join(run.labels(), "class", "left").select(
-        "doc_id",
-        F.col("size").alias("n_shingles"),
-        F.col("class").alias("class_id"),
-        F.coalesce("component", "class").alias("component_id"),
-    )
+    with temporary(docs.sparkSession) as outlive:
+        run = _Join(keyed_text(docs, id_col, text_col), n, num, den)
+        found = run.members.join(run.labels(), "class", "left").select(
+            "doc_id",
+            F.col("size").alias("n_shingles"),
+            F.col("class").alias("class_id"),
+            F.coalesce("component", "class").alias("component_id"),
+        )
+        return outlive(found, "components")

@@ -36,6 +36,9 @@ with np.errstate(over="ignore"):
     _BYTE_LOWER = _BYTE[LOWER]
 _BASE = U(0xD6E8FEB86659FD93)
 _INVERSE = U(pow(int(_BASE), -1, 1 << 64))
+PLACES = 64  # bytes of a block of ``Words.keys``
+_PLACED = np.random.default_rng(20_240_229).integers(0, 1 << 64, PLACES * 256, np.uint64)
+_PLACED_LOWER = _PLACED.reshape(PLACES, 256)[:, LOWER].ravel()
 _POWERS = {False: np.ones(1, np.uint64), True: np.ones(1, np.uint64)}
 
 
@@ -83,6 +86,36 @@ class Words:
             low = high
         return out
 
+    def keys(self, lower: bool = False) -> np.ndarray:
+        """64-bit hashes that may stand for the words: a random table by place and byte, blocks mixed with their number.
+
+        Unlike the polynomials of ``hashes``, which words of some regular forms share, they have no structure.
+        """
+        lengths = self.ends - self.starts
+        out = np.empty(len(lengths), np.uint64)
+        edges = np.searchsorted(self.starts, np.arange(CHUNK_BYTES, len(self.data) + CHUNK_BYTES, CHUNK_BYTES))
+        low = 0
+        for high in [*edges.tolist(), len(out)]:
+            high = min(max(high, low), len(out))
+            if high > low:
+                out[low:high] = self._keys(low, high, lengths[low:high], _PLACED_LOWER if lower else _PLACED)
+            low = high
+        return out
+
+    def _keys(self, low: int, high: int, lengths: np.ndarray, table: np.ndarray) -> np.ndarray:
+        firsts = np.cumsum(lengths) - lengths
+        place = np.arange(int(lengths.sum())) - np.repeat(firsts, lengths)  # of each byte in its word
+        data = self.data[place + np.repeat(self.starts[low:high], lengths)]
+        begins = np.flatnonzero(place % PLACES == 0)
+        with np.errstate(over="ignore"):
+            sums = np.add.reduceat(table[(place % PLACES) * 256 + data], begins)
+            if len(begins) > len(lengths):
+                block = place[begins] // PLACES
+                sums = np.add.reduceat(mix(sums + block.astype(np.uint64) * _BASE), np.searchsorted(begins, firsts))
+            else:
+                sums = mix(sums)
+            return mix(sums + lengths.astype(np.uint64) * _STEP)
+
     def _hash(self, low: int, high: int, lengths: np.ndarray, table: np.ndarray) -> np.ndarray:
         """Polynomials of the bytes from prefix sums: one multiplication per byte, one per word."""
         first = self.starts[low]

@@ -1,9 +1,12 @@
+import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from acctiers.llm import jaccard
+from acctiers.llm import words as W
 from acctiers.llm.components import components
 
 from .conftest import ODD, odd_docs, spaced
@@ -100,3 +103,23 @@ def test_null_id_before_its_copy(spark):
 
 def test_empty_table(spark, documents):
     assert jaccard.linked_components(documents.limit(0)).count() == 0
+
+
+def test_words_of_regular_forms_have_their_own_keys(spark):
+    """Thue-Morse words and their complements share every polynomial hash modulo 2**64; their keys differ."""
+    pairs = []
+    for size in (1024, 4096):
+        word = "".join("ab"[bin(i).count("1") % 2] for i in range(size))
+        pairs += [word, word.translate(str.maketrans("ab", "ba"))]
+    rows = [(i, w) for i, w in enumerate(pairs)]
+    found = jaccard.linked_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: i for i in range(len(rows))}
+
+
+def test_keys_follow_the_word_alone():
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abAB") for _ in range(rnd.choice([1, 2, 63, 64, 65, 128, 200]))) for _ in range(400)]
+    texts = [" ".join(words), "x " + "  ".join(reversed(words))]
+    keys = [W.split(*W.buffers(pa.array([t]))).keys(lower=True) for t in texts]
+    assert keys[0].tolist() == keys[1][1:][::-1].tolist()
+    assert len(set(keys[0].tolist())) == len({w.lower() for w in words})

@@ -1,12 +1,14 @@
+import os
 import shutil
 
 import corpus_pipeline
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 from acctiers.llm.queries import QUERIES
 
-from .conftest import SMALL, plain, spaced
+from .conftest import SMALL, odd_docs, plain, spaced
 
 
 def test_every_operator_has_one_query():
@@ -17,7 +19,8 @@ def test_every_operator_has_one_query():
 def test_stages_on_planted_cases(spark, tmp_path):
     """Insult, near copy, shared passage and benchmark item are caught; clean, null and empty rows stay."""
     folder = tmp_path / "sf"
-    shutil.copytree(SMALL, folder)
+    folder.mkdir()
+    shutil.copyfile(f"{SMALL}/benchmark.parquet", folder / "benchmark.parquet")  # contents only: the tables are read-only
     names = pq.read_schema(f"{SMALL}/documents.parquet")
     item = plain(pq.read_table(f"{SMALL}/benchmark.parquet")["text"][0].as_py())
 
@@ -38,7 +41,6 @@ def test_stages_on_planted_cases(spark, tmp_path):
         10_008: None,
         10_009: "",
     }
-    old = pq.read_table(f"{SMALL}/documents.parquet")
     big = pq.read_table("/root/testdata/sf0.1/documents.parquet").slice(0, 3000)
     labels = pq.read_table("/root/testdata/sf0.1/labels.parquet")
     new = pa.table(
@@ -50,7 +52,6 @@ def test_stages_on_planted_cases(spark, tmp_path):
             "n_chars": pa.array([len(t or "") for t in planted.values()], pa.int64()),
         }
     ).cast(names.remove_metadata())
-    del old
     pq.write_table(pa.concat_tables([big.cast(names.remove_metadata()), new]), folder / "documents.parquet")
     pq.write_table(labels, folder / "labels.parquet")
 
@@ -72,3 +73,35 @@ def test_stages_on_planted_cases(spark, tmp_path):
         assert d in kept["decontamination"]
     rows = docs.collect()
     assert len(rows) == len(kept["decontamination"]) and all(r["round_trip"] for r in rows)
+
+
+def test_empty_table_and_clashing_columns(spark, tmp_path):
+    """No rows, or columns that stages use themselves: all stages run, columns stay."""
+    folder = tmp_path / "sf"
+    folder.mkdir()
+    for name in ("benchmark", "documents"):
+        shutil.copyfile(f"{SMALL}/{name}.parquet", folder / f"{name}.parquet")
+    labels = pq.read_table("/root/testdata/sf0.1/labels.parquet").slice(0, 3000)
+    pq.write_table(labels, folder / "labels.parquet")
+    wide = odd_docs(spark).withColumn("n_chars", F.length("text").cast("bigint"))
+    for rows in (wide, wide.limit(0)):
+        docs = rows
+        for name, stage in corpus_pipeline.STAGES:
+            path = str(tmp_path / f"{name}-{rows is wide}")
+            stage(spark, docs, str(folder)).write.parquet(path)
+            docs = spark.read.parquet(path)
+            if name != "byte_bpe":
+                assert docs.columns == rows.columns
+        assert (docs.count() > 5) == (rows is wide)
+
+
+def test_scratch_tables_go_when_their_stage_is_stored(spark, tmp_path):
+    """After a filtering stage only its small result is left in the shared folder."""
+    from acctiers.session import shared_dir
+
+    before = set(os.listdir(shared_dir(spark)))
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        stage(spark, docs, SMALL).write.parquet(str(tmp_path / name))
+    left = {n.split("-")[0] for n in set(os.listdir(shared_dir(spark))) - before}
+    assert left <= {"copies", "cuts", "leaks"}

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acctiers.llm import bpe, decontaminate, jaccard, substring, toxicity
-from acctiers.llm.runtime import crc_mod, prepare, stored, table
+from acctiers.llm.runtime import crc_mod, prepare, remove, table, temporary
+from acctiers.session import scratch_path
 
 TOXIC = 0.3  # score from which a document is rejected
 NEAR_WORDS, NEAR_NUM, NEAR_DEN = 5, 80, 100  # near duplicates: five-word shingles, similarity of 0.8 or more
@@ -41,8 +42,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of each group of linked documents."""
     prepare(spark)
-    groups = jaccard.linked_components(docs, n=NEAR_WORDS, num=NEAR_NUM, den=NEAR_DEN)
-    copies = groups.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("kept_id"))
+    with temporary(spark) as outlive:
+        groups = jaccard.linked_components(docs, n=NEAR_WORDS, num=NEAR_NUM, den=NEAR_DEN)
+        copies = groups.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("kept_id"))
+        copies = outlive(copies, "copies")
     return _keep(docs, copies, "left_anti")
 
 
@@ -68,8 +71,10 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item."""
     prepare(spark)
     items = table(spark, sf_dir, "benchmark", "item_id", "text")
-    found = decontaminate.match_items(docs, items, width=LEAK_WORDS).where(F.size("starts") > 0)
-    return _keep(docs, found.select(F.col("doc_id").alias("kept_id")).distinct(), "left_anti")
+    with temporary(spark) as outlive:
+        found = decontaminate.exact_windows(docs, items, width=LEAK_WORDS)
+        leaks = outlive(found.select(F.col("doc_id").alias("kept_id")).distinct(), "leaks")
+    return _keep(docs, leaks, "left_anti")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -95,7 +100,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole ``documents`` table."""
-    docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -242,19 +242,21 @@ def score_sql(normalized: str, cfg: dict | None = None) -> str:
     return f"select customer_id, as_of_date, {scores}, {score_expression(expert_weights(cfg))} as composite_score from {normalized}"
 
 
-def tiers_sql(scores: str, cfg: dict | None = None) -> str:
+def tier_case_sql(cfg: dict | None = None) -> str:
+    """Tier name from ``share``, the place from the top over the number of customers."""
     tiers = (cfg or TIERING)["tiers"]
-    whole = sum(s for _, s in tiers)
-    reached, arms, ranks = 0.0, [], []
-    for position, (name, share) in enumerate(tiers, start=1):
+    whole, reached, arms = sum(s for _, s in tiers), 0.0, []
+    for name, share in tiers[:-1]:
         reached += share / whole
-        if position < len(tiers):
-            arms.append(f"when share - 1e-12 <= cast({reached!r} as double) then '{name}'")
-        ranks.append(f"when '{name}' then {position}")
-    tier = f"case {' '.join(arms)} else '{tiers[-1][0]}' end"
+        arms.append(f"when share - 1e-12 <= cast({reached!r} as double) then '{name}'")
+    return f"case {' '.join(arms)} else '{tiers[-1][0]}' end"
+
+
+def tiers_sql(scores: str, cfg: dict | None = None) -> str:
+    ranks = [f"when '{name}' then {position}" for position, (name, _) in enumerate((cfg or TIERING)["tiers"], start=1)]
     return f"""
 select * exclude (share), cast(case tier {' '.join(ranks)} end as bigint) as tier_rank from (
-  select *, {tier} as tier from (
+  select *, {tier_case_sql(cfg)} as tier from (
     select *, row_number() over (order by composite_score desc, customer_id) / cast(count(*) over () as double) as share,
            round({average_rank_sql('composite_score')} / count(*) over (), 4) as score_percentile
     from {scores}))"""

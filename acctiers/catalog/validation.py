@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acctiers.catalog.registry import query
-from acctiers.catalog.sql import AS_OF, BACKTEST, PARTS, average_rank_sql
+from acctiers.catalog.sql import AS_OF, BACKTEST, PARTS, average_rank_sql, expert_weights, tier_case_sql
 from acctiers.catalog.tiering import Inputs
 from acctiers.plans import baselines as B
+from acctiers.plans import resampling as RS
 from acctiers.plans import runs as R
 from acctiers.plans import validation as V
 from acctiers.session import freeze
@@ -111,9 +112,44 @@ query(
           select {average_rank_sql('composite_score')} as a, {average_rank_sql('future_revenue')} as b from judged)""",
     "spearman_rho",
 )(lambda s, d: V.spearman(judged(s, d), "composite_score", "future_revenue").drop("p_value"))
-query("P8_bootstrap_spearman")(
-    lambda s, d: V.bootstrap_spearman(judged(s, d), "composite_score", "future_revenue", 1000, 42)
-)
+
+
+def add_resample(tag: str, source: str, iterations: int = 1000, seed: int = 42) -> None:
+    """Register ``resample_<tag>``: every row of ``source(key, ..)`` with its Poisson weight ``w`` under every replicate."""
+    whole, last = 1 << 64, RS.STEP
+    times = lambda x, c: f"(({x})::uhugeint * {c}::uhugeint % {whole}::uhugeint)::ubigint"
+    plus = lambda x, y: f"((({x})::uhugeint + ({y})::uhugeint) % {whole}::uhugeint)::ubigint"
+    start = f"((key::hugeint + {whole}::hugeint) % {whole}::hugeint)::ubigint"
+    PARTS[f"hash0_{tag}"] = f"select *, {plus(start, seed * last % whole)} as h from {source}"
+    PARTS[f"hash1_{tag}"] = f"select * replace ({times('xor(h, h >> 30)', RS.MIX1)} as h) from hash0_{tag}"
+    PARTS[f"hash2_{tag}"] = f"select * replace ({times('xor(h, h >> 27)', RS.MIX2)} as h) from hash1_{tag}"
+    PARTS[f"hash3_{tag}"] = (
+        f"select * replace ({plus('xor(h, h >> 31)', times('r', last))} as h) from hash2_{tag} join range({iterations}) replicates(r) on true"
+    )
+    PARTS[f"hash4_{tag}"] = f"select * replace ({times('xor(h, h >> 30)', RS.MIX1)} as h) from hash3_{tag}"
+    PARTS[f"hash5_{tag}"] = f"select * replace ({times('xor(h, h >> 27)', RS.MIX2)} as h) from hash4_{tag}"
+    weight = " + ".join(f"cast(xor(h, h >> 31) >= {c}::ubigint as int)" for c in RS.poisson_cuts())
+    PARTS[f"resample_{tag}"] = f"select * exclude (h), {weight} as w from hash5_{tag}"
+
+
+def weighted_place_sql(value: str, weight: str = "w") -> str:
+    """Weight below a value and half of its own, by replicate."""
+    return f"(sum({weight}) over (partition by r order by {value}) - sum({weight}) over (partition by r, {value}) / 2.0)"
+
+
+PARTS["bootstrap_rows"] = "select customer_id as key, composite_score as x, future_revenue as y from judged"
+add_resample("spearman", "bootstrap_rows")
+PARTS["bootstrap_ranks"] = f"select r, w, {weighted_place_sql('x')} as a, {weighted_place_sql('y')} as b from resample_spearman"
+PARTS["bootstrap_centred"] = """
+select r, w, a - sum(w * a) over (partition by r) / sum(w) over (partition by r) as a, b - sum(w * b) over (partition by r) / sum(w) over (partition by r) as b
+from bootstrap_ranks"""
+PARTS["bootstrap_rho"] = "select r, sum(w * a * b) / (sqrt(sum(w * a * a)) * sqrt(sum(w * b * b))) as rho from bootstrap_centred group by r"
+query(
+    "P8_bootstrap_spearman",
+    f"""select (select corr(a, b) from (select {average_rank_sql('composite_score')} as a, {average_rank_sql('future_revenue')} as b from judged)) as spearman_rho,
+               quantile_cont(rho, 0.025) as ci_low, quantile_cont(rho, 0.975) as ci_high from bootstrap_rho""",
+    "spearman_rho ci_low:8 ci_high:8",
+)(lambda s, d: V.bootstrap_spearman(judged(s, d), "composite_score", "future_revenue", 1000, 42).drop("p_value"))
 
 PARTS["psi_edges"] = """
 select distinct e from (select unnest(quantile_cont(composite_score, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) as e from scored_past)
@@ -158,10 +194,40 @@ query(
     f"""select f.t as from_tier, cast(f.i as bigint) as from_rank, g.t as to_tier, cast(g.i as bigint) as to_rank, coalesce(m.customers, 0) as customers
         from (values {_GRID}) f(t, i) join (values {_GRID}) g(t, i) on true left join moves m on m.from_tier = f.t and m.to_tier = g.t""",
 )(lambda s, d: V.transition_matrix(*_two_runs(s, d), TIERS))
-query("P11_weight_sensitivity")(
-    lambda s, d: (
-        lambda run: V.weight_sensitivity(run.normalized(), run.scored.weights, TIERING["tiers"], draws=200, seed=42)
-    )(Inputs(s, d).run(BACKTEST))
+_V = TIERING["validation"]
+_DRAWN = V.perturbed_weights(expert_weights(TIERING), _V["draws"], _V["perturbation"], _V["seed"])
+_NAMES = list(_DRAWN[0])
+PARTS["draw_weights"] = (
+    f"select * from (values {', '.join('(' + ', '.join([str(i), *(f'cast({w[n]!r} as double)' for n in _NAMES)]) + ')' for i, w in enumerate(_DRAWN))})"
+    f" t(draw, {', '.join(f'w_{n}' for n in _NAMES)})"
+)
+PARTS["draw_scores"] = f"""
+select draw, p.customer_id, composite_score as x, tier as base_tier,
+       round(least(greatest(({' + '.join(f'p.{n} * w_{n}' for n in _NAMES)}) * 100, 0.0), 100.0), 4) as y
+from percentile_past p join draw_weights on true join tiers_past t on t.customer_id = p.customer_id"""
+PARTS["draw_tau"] = """
+select a.draw, sum(sign(a.x - b.x) * sign(a.y - b.y)) / (sqrt(sum(abs(sign(a.x - b.x)))) * sqrt(sum(abs(sign(a.y - b.y))))) as tau
+from draw_scores a join draw_scores b on a.draw = b.draw and a.customer_id < b.customer_id group by a.draw"""
+PARTS["draw_agreement"] = f"""
+select draw, avg(cast({tier_case_sql()} = base_tier as int)) as agreement from (
+  select *, row_number() over (partition by draw order by y desc, customer_id) / cast(count(*) over (partition by draw) as double) as share from draw_scores)
+group by draw"""
+
+
+def _sensitivity(spark, sf, run=V.weight_sensitivity) -> DataFrame:
+    found = Inputs(spark, sf).run(BACKTEST)
+    return run(found.normalized(), found.scored.weights, TIERING["tiers"], draws=_V["draws"], perturbation=_V["perturbation"], seed=_V["seed"])
+
+
+query(
+    "P11_weight_sensitivity",
+    """select cast(count(*) as bigint) as iterations, avg(tau) as kendall_tau_mean, quantile_cont(tau, 0.05) as kendall_tau_p05,
+              avg(agreement) as tier_agreement_mean, quantile_cont(agreement, 0.05) as tier_agreement_p05
+       from draw_tau join draw_agreement using (draw)""",
+    "kendall_tau_mean:9 kendall_tau_p05:9 tier_agreement_mean:9 tier_agreement_p05:9",
+)(_sensitivity)
+query("P11_sensitivity_draws", "select cast(draw as bigint) as draw, tau, agreement from draw_tau join draw_agreement using (draw)", "tau:9 agreement:9")(
+    lambda s, d: _sensitivity(s, d, V.sensitivity_draws).withColumn("draw", F.col("draw").cast("bigint"))
 )
 
 
@@ -233,11 +299,27 @@ query("Q7_brier_score", "select avg((p - y) * (p - y)) as brier from probability
 )
 
 
-@query("Q8_paired_bootstrap_auc")
+PARTS["auc_rows"] = "select customer_id as key, composite_score / 100 as a, monetary_12m as b, high_value as y from judged"
+add_resample("auc", "auc_rows")
+PARTS["auc_places"] = f"""
+select r, w, y, {weighted_place_sql('a', 'w * (1 - y)')} as pa, {weighted_place_sql('b', 'w * (1 - y)')} as pb from resample_auc"""
+PARTS["auc_differences"] = """
+select r, sum(w * y * (pa - pb)) / nullif(sum(w * y) * sum(w * (1 - y)), 0) as diff from auc_places group by r"""
+PARTS["auc_both"] = f"select y, {average_rank_sql('a')} as ra, {average_rank_sql('b')} as rb from auc_rows"
+
+
+@query(
+    "Q8_paired_bootstrap_auc",
+    """select (select (sum(ra) filter (where y = 1) - sum(rb) filter (where y = 1)) / (count(*) filter (where y = 1) * count(*) filter (where y = 0)) from auc_both) as auc_difference,
+              quantile_cont(diff, 0.025) as ci_low, quantile_cont(diff, 0.975) as ci_high,
+              least(1.0, 2 * least(count(*) filter (where diff <= 0), count(*) filter (where diff >= 0)) / cast(count(diff) as double)) as p_value
+       from auc_differences""",
+    "auc_difference:8 ci_low:8 ci_high:8 p_value:8",
+)
 def _(spark, sf):
     """The composite score against last year's revenue alone."""
     rows = judged(spark, sf).select(
-        (F.col("composite_score") / 100).alias("a"), F.col("monetary_12m").alias("b"), F.col("high_value").cast("double").alias("label")
+        "customer_id", (F.col("composite_score") / 100).alias("a"), F.col("monetary_12m").alias("b"), F.col("high_value").cast("double").alias("label")
     )
     return B.paired_bootstrap_auc(freeze(rows), "a", "b")
 

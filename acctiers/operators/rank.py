@@ -190,22 +190,6 @@ def literals(values: Sequence[float]) -> Column:
     return F.expr(f"array({', '.join(f'double({float(v)!r})' if math.isfinite(v) else f'double({str(v)!r})' for v in values)})")
 
 
-def quantile_bins(df: DataFrame, columns: dict[str, str], bins: int = 1024) -> DataFrame:
-    """Add a bin number per column: the count of cut values at or below it, cuts being quantiles.
-
-    Up to ``bins`` distinct values every value gets a bin of its own, so nothing is lost; beyond that
-    a bin is a run of neighbouring values.  ``columns`` maps the value column to the bin column.
-    """
-    probs = literals([i / bins for i in range(1, bins + 1)])
-    cuts = df.agg(
-        *[
-            F.array_sort(F.array_distinct(F.percentile_approx(F.col(c).cast("double"), probs, 4 * bins))).alias(b)
-            for c, b in columns.items()
-        ]
-    ).first()  # at most ``bins`` numbers per column
-    return df.withColumns({b: bin_number(F.col(c).cast("double"), cuts[b]) for c, b in columns.items()})
-
-
 def bin_number(value: Column, cuts: Sequence[float]) -> Column:
     """How many of the sorted ``cuts`` are at or below ``value``, by a coarse then a fine search."""
     every = literals(cuts).cast("array<double>")

@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
@@ -16,8 +15,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from acctiers.operators.rank import average_rank, ordinal_rank, quantile_bins
-from acctiers.plans.validation import _resample
+from acctiers.operators.rank import average_rank, ordinal_rank
+from acctiers.plans.resampling import auc_difference_draws
 from acctiers.session import freeze, literal_rows, reload
 
 # --- fixed values: model settings --------------------------------------------------------------
@@ -217,29 +216,11 @@ def best_model(metrics: DataFrame) -> DataFrame:
     return metrics.filter("model <> 'composite_score'").agg(F.max_by("model", "roc_auc").alias("best_model"))
 
 
-def _auc_cells(pdf: pd.DataFrame):
-    y = pdf["label"].to_numpy() == 1
-    sides = [(pdf[c].to_numpy(), int(pdf[c].max()) + 1) for c in ("ba", "bb")]
-
-    def area(codes: np.ndarray, size: int, w: np.ndarray) -> float:
-        hits, rest = np.bincount(codes[y], w[y], size), np.bincount(codes[~y], w[~y], size)
-        return float((hits * (np.cumsum(rest) - rest / 2)).sum() / (hits.sum() * rest.sum()))
-
-    def statistic(w: np.ndarray) -> tuple[float | None]:
-        if w[y].sum() == 0 or w[~y].sum() == 0:
-            return (None,)
-        return (area(*sides[0], w) - area(*sides[1], w),)
-
-    return statistic
-
-
 def paired_bootstrap_auc(
-    df: DataFrame, a: str, b: str, label: str = "label", iterations: int = 1000, seed: int = 42, bins: int = 1024
+    df: DataFrame, a: str, b: str, label: str = "label", iterations: int = 1000, seed: int = 42, key: str = "customer_id"
 ) -> DataFrame:
-    """AUC(a) - AUC(b): exact difference, 95 % bootstrap interval and two-sided p-value."""
-    binned = quantile_bins(df, {a: "ba", b: "bb"}, bins)
-    cells = binned.groupBy("ba", "bb", F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    draws = _resample(cells, _auc_cells, iterations, seed, "replicate int, diff double")
+    """AUC(a) - AUC(b): exact difference, 95 % bootstrap interval over all rows and two-sided p-value."""
+    draws = auc_difference_draws(df, a, b, label, key, iterations, seed)
     side = lambda keep: F.count_if(keep) / F.count("diff")
     d = F.col("diff")
     ends = draws.agg(

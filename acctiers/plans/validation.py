@@ -12,16 +12,21 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acctiers.functions import tails
-from acctiers.operators.rank import average_rank, bin_in_columns, bin_number, every_stride, exact_quantiles, literals, ordinal_rank, quantile_bins
+from acctiers.operators.rank import average_rank, bin_in_columns, bin_number, every_stride, exact_quantiles, literals, ordinal_rank
+from acctiers.plans.resampling import spearman_draws
 from acctiers.plans.scoring import scale_to_one, weighted_score
 from acctiers.plans.tiers import tier_from_share
 from acctiers.session import freeze, literal_rows
 
 
+BUCKET_POINTS = 400_000  # points whose pairs one call settles
+
+
 def _all():
     """Window over a whole table; only for tables of a few rows per tier."""
     return Window.partitionBy(F.lit(0))
@@ -218,50 +223,6 @@ def monotonic_outcomes(judged: DataFrame) -> DataFrame:
 # --- resampling --------------------------------------------------------------------------------
 
 
-def _resample(cells: DataFrame, statistic, iterations: int, seed: int, schema: str, chunks: int = 40) -> DataFrame:
-    """Poisson bootstrap over a contingency table of at most bins x bins cells.
-
-    A cell of c rows gets weight Poisson(c), the sum of c independent Poisson(1) weights.  Replicates
-    are spread over ``chunks`` tasks; each task holds the bounded cell table, never the rows.
-    """
-    chunks = min(chunks, iterations)
-    copies = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("_chunk")
-    columns = [c for c in cells.columns if c != "n"]
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(columns, ignore_index=True)
-        counts = pdf["n"].to_numpy(dtype="float64")
-        make = statistic(pdf)
-        rows = []
-        for replicate in range(int(key[0]), iterations, chunks):
-            weights = np.random.default_rng([seed, replicate]).poisson(counts).astype("float64")
-            rows.append((replicate, *make(weights)))
-        return pd.DataFrame(rows, columns=[f.split()[0] for f in schema.split(", ")])
-
-    return cells.select("*", copies).groupBy("_chunk").applyInPandas(run, schema)
-
-
-def _weighted_ranks(codes: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
-    per_bin = np.bincount(codes, weights, size)
-    return (np.cumsum(per_bin) - per_bin / 2.0 + 0.5)[codes]
-
-
-def _spearman_cells(pdf: pd.DataFrame):
-    x, y = (pdf[c].to_numpy() for c in ("bx", "by"))
-    nx, ny = int(x.max()) + 1, int(y.max()) + 1
-
-    def statistic(w: np.ndarray) -> tuple[float | None]:
-        total = w.sum()
-        if total == 0:
-            return (None,)
-        rx, ry = _weighted_ranks(x, w, nx), _weighted_ranks(y, w, ny)
-        dx, dy = rx - (w @ rx) / total, ry - (w @ ry) / total
-        norm = np.sqrt((w @ (dx * dx)) * (w @ (dy * dy)))
-        return (float(w @ (dx * dy) / norm) if norm > 0 else None,)
-
-    return statistic
-
-
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """Rank correlation from exact average ranks, with its two-sided t test."""
     pairs = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
@@ -274,16 +235,10 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def bootstrap_spearman(
-    df: DataFrame, x: str, y: str, iterations: int = 1000, seed: int = 42, bins: int = 1024
+    df: DataFrame, x: str, y: str, iterations: int = 1000, seed: int = 42, key: str = "customer_id"
 ) -> DataFrame:
-    """Exact rank correlation with a 95 % bootstrap interval.
-
-    The interval resamples a table of quantile bins: exact up to ``bins`` distinct values per side,
-    beyond that neighbouring values share a bin (an effect of order 1/bins^2 on rho).
-    """
-    binned = quantile_bins(df, {x: "bx", y: "by"}, bins)
-    cells = binned.groupBy("bx", "by").agg(F.count(F.lit(1)).alias("n"))
-    draws = _resample(cells, _spearman_cells, iterations, seed, "replicate int, rho double")
+    """Exact rank correlation with a 95 % bootstrap interval over all rows, known by ``key``."""
+    draws = spearman_draws(df, x, y, key, iterations, seed)
     ends = draws.agg(F.percentile("rho", F.array(F.lit(0.025), F.lit(0.975))).alias("q"))
     point = spearman(df, x, y)
     return point.withColumn("_q", ends.scalar()).select(
@@ -364,22 +319,89 @@ def perturbed_weights(base: dict[str, float], draws: int, perturbation: float, s
     return [scale_to_one({n: w * rng.uniform(low, high) for n, w in base.items()}) for _ in range(draws)]
 
 
-def _kendall_cells(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    """tau-b of one draw from its bin-by-bin counts (at most bins x bins cells)."""
-    table = np.zeros((int(pdf["bx"].max()) + 1, int(pdf["by"].max()) + 1))
+def signed_pairs(block: np.ndarray, x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """By block: concordant less discordant pairs of its points (x, y), each standing for n rows.
+
+    A pair is settled at the highest bit in which the codes of its y differ: among points that agree above that
+    bit, in the order of x, every point meets the running counts of the other side with a smaller x.  The cost is
+    one sort for each bit of the largest block.
+    """
+    _, block = np.unique(block, return_inverse=True)
+    order = np.lexsort((y, block))
+    block, x, y, n = block[order], x[order], y[order], n[order].astype(np.int64)
+    fresh = np.concatenate([[True], block[1:] != block[:-1]]) if len(block) else np.empty(0, bool)
+    steps = np.cumsum(np.concatenate([[False], y[1:] != y[:-1]])[: len(y)] & ~fresh)
+    code = steps - np.maximum.accumulate(np.where(fresh, steps, 0)) if len(block) else steps
+    total = np.zeros(int(block[-1]) + 1 if len(block) else 0, np.int64)
+    for bit in range(int(code.max(initial=0)).bit_length()):
+        part = block * (int(code.max()) + 1) + (code >> (bit + 1))
+        order = np.lexsort((x, part))
+        p, v, k, upper = part[order], x[order], n[order], (code[order] >> bit & 1).astype(bool)
+        new = np.concatenate([[True], p[1:] != p[:-1]])
+        run = new | np.concatenate([[True], v[1:] != v[:-1]])
+        met = []
+        for side in (upper, ~upper):  # rows of the side before this run of equal x, in the same part
+            before = np.cumsum(k * side) - k * side
+            at_run, at_part = (np.maximum.accumulate(np.where(f, np.arange(len(p)), 0)) for f in (run, new))
+            met.append(before[at_run] - before[at_part])
+        np.add.at(total, block[order], k * np.where(upper, met[1], -met[0]))
+    return total
+
+
+def _settle(key: tuple, rows: pa.Table) -> pa.Table:
+    """(draw, pairs): signed pairs inside the blocks of one bucket."""
+    draw, block, x, y, n = (rows[c].to_numpy() for c in ("draw", "block", "x", "y", "n"))
+    both = draw.astype(np.int64) << 32 | block
+    names = np.unique(both)
+    found = signed_pairs(both, x, y, n)
+    return pa.table({"draw": pa.array((names >> 32).astype(np.int32)), "pairs": pa.array(found, pa.int64())})
+
+
+def _inside_blocks(points: DataFrame, total: int) -> DataFrame:
+    """(draw, pairs) of points(draw, block, x, y, n): pairs of one block, blocks gathered in buckets of bounded size."""
+    wide = points.groupBy("draw", "block").agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
+    # a block of one x or one y has no pair that counts; so a value that fills a third of the rows is never gathered
+    open_blocks = wide.where("x0 < x1 and y0 < y1").select("draw", "block")
+    bucket = F.pmod(F.xxhash64("draw", "block"), F.lit(max(1, total // BUCKET_POINTS)))
+    kept = points.join(open_blocks, ["draw", "block"]).withColumn("bucket", bucket)
+    return kept.groupBy("bucket").applyInArrow(_settle, "draw int, pairs bigint")
+
+
+def _across_blocks(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """Signed pairs of one draw whose blocks differ on both sides, from its block-by-block counts."""
+    table = np.zeros((int(pdf["bx"].max()) + 1, int(pdf["by"].max()) + 1), np.int64)
     table[pdf["bx"], pdf["by"]] = pdf["n"]
-    n = table.sum()
-    above = table.cumsum(0).cumsum(1)
-    lower_left = np.zeros_like(table)
-    lower_left[1:, 1:] = above[:-1, :-1]
-    concordant = float((table * lower_left).sum())
-    rows, cols = table.sum(1), table.sum(0)
-    pairs = n * (n - 1) / 2
-    tied_x, tied_y = (rows * (rows - 1)).sum() / 2, (cols * (cols - 1)).sum() / 2
-    tied_both = (table * (table - 1)).sum() / 2
-    discordant = pairs - concordant - tied_x - tied_y + tied_both
-    norm = np.sqrt((pairs - tied_x) * (pairs - tied_y))
-    return pd.DataFrame({"draw": [int(key[0])], "tau": [(concordant - discordant) / norm if norm > 0 else None]})
+    upto = table.cumsum(0).cumsum(1)
+    before = np.zeros_like(table)
+    before[1:, 1:] = upto[:-1, :-1]
+    right = np.zeros_like(table)  # smaller x block, larger y block
+    right[1:] = (upto[:, -1:] - upto)[:-1]
+    return pd.DataFrame({"draw": [int(key[0])], "pairs": [int((table * before).sum() - (table * right).sum())]})
+
+
+def kendall_tau(points: DataFrame, total: int) -> DataFrame:
+    """(draw, tau): exact tau-b of points(draw, bx, by, x, y), whose blocks bx and by are any cuts of x and y.
+
+    Pairs in different blocks on both sides come from the block-by-block counts, pairs of one x block from the
+    points of that block, pairs of one y block and different x blocks from the points of that one.
+    """
+    folded = freeze(points.groupBy("draw", "bx", "by", "x", "y").agg(F.count(F.lit(1)).alias("n")))
+    cells = folded.groupBy("draw", "bx", "by").agg(F.sum("n").alias("n"))
+    grid = cells.groupBy("draw").applyInPandas(_across_blocks, "draw int, pairs bigint")  # at most bins x bins cells
+    draws = folded.agg(F.count_distinct("draw")).first()[0]
+    same_x = _inside_blocks(folded.select("draw", F.col("bx").alias("block"), "x", "y", "n"), total * draws)
+    by_y = folded.groupBy("draw", "by", "bx", "y").agg(F.sum("n").alias("n"))
+    same_y = _inside_blocks(by_y.select("draw", F.col("by").alias("block"), F.col("bx").cast("double").alias("x"), "y", "n"), total * draws)
+    pairs = grid.unionByName(same_x).unionByName(same_y).groupBy("draw").agg(F.sum("pairs").alias("pairs"))
+
+    def ties(value: str, name: str) -> DataFrame:
+        counts = folded.groupBy("draw", value).agg(F.sum("n").alias("t"))
+        return counts.groupBy("draw").agg(F.sum(F.col("t") * (F.col("t") - 1) / 2).alias(name), F.sum("t").alias("n"))
+
+    both = pairs.join(ties("x", "tx"), "draw").join(ties("y", "ty").drop("n"), "draw")
+    every = F.col("n") * (F.col("n") - 1) / 2
+    norm = F.sqrt(every - F.col("tx")) * F.sqrt(every - F.col("ty"))
+    return both.select("draw", F.when(norm > 0, F.col("pairs") / norm).alias("tau"))
 
 
 def _scores_by_draw(normalized: DataFrame, weights: list[dict[str, float]], keep: Sequence[str]) -> DataFrame:
@@ -406,7 +428,7 @@ def sensitivity_draws(
     ``normalized`` holds customer_id and the normalised features, which do not depend on weights.
     A score has at most 1,000,001 values, so each draw folds to a score histogram before its tiers
     are read off; only customers whose score straddles a tier bound are ranked one by one.  tau-b is exact
-    up to ``bins`` customers; beyond that, scores sharing a quantile bin count as tied.
+    (``kendall_tau``); ``bins`` is the number of blocks a side that it counts with.
     """
     names = list(base_weights)
     base = normalized.withColumn("base_score", weighted_score(base_weights))
@@ -419,10 +441,10 @@ def sensitivity_draws(
             F.array_distinct(F.percentile_approx("base_score", literals([i / bins for i in range(1, bins + 1)]), 4 * bins))
         )
     ).first()[0]  # at most ``bins`` numbers
-    tiered = freeze(tiered.select("customer_id", *names, "base_tier", bin_number(F.col("base_score"), cuts).alias("bx")))
+    tiered = freeze(tiered.select("customer_id", *names, "base_tier", "base_score", bin_number(F.col("base_score"), cuts).alias("bx")))
 
     weights = perturbed_weights(base_weights, draws, perturbation, seed)
-    scored = _scores_by_draw(tiered, weights, ["customer_id", "base_tier", "bx"])
+    scored = _scores_by_draw(tiered, weights, ["customer_id", "base_tier", "base_score", "bx"])
 
     ladder = scored.groupBy("draw", "score", "base_tier").agg(F.count(F.lit(1)).alias("n"))
     per_score = ladder.groupBy("draw", "score").agg(F.sum("n").alias("n"), F.collect_list(F.struct("base_tier", "n")).alias("mix"))
@@ -434,10 +456,9 @@ def sensitivity_draws(
     edges = placed.groupBy("draw", "_bin").agg(F.min("score").alias("edge"))
     edges = edges.groupBy("draw").agg(F.array_sort(F.collect_list("edge")).alias("_edges"))
     edges = edges.withColumn("_coarse", every_stride("_edges"))
-    # one row per draw of at most ``bins`` numbers; every score its own bin up to ``bins`` customers
+    # one row per draw of at most ``bins`` numbers
     binned = scored.join(F.broadcast(edges), "draw").withColumn("by", bin_in_columns("score", "_edges", "_coarse"))
-    cells = binned.groupBy("draw", "bx", "by").agg(F.count(F.lit(1)).alias("n"))
-    tau = cells.groupBy("draw").applyInPandas(_kendall_cells, "draw int, tau double")
+    tau = kendall_tau(binned.select("draw", "bx", "by", F.col("base_score").alias("x"), F.col("score").alias("y")), total)
     settled = placed.filter("best = worst")
     same = F.aggregate(
         F.filter("mix", lambda m: m["base_tier"] == F.col("best")), F.lit(0).cast("bigint"), lambda acc, m: acc + m["n"]

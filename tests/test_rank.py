@@ -79,9 +79,3 @@ def test_quantiles_of_a_whole_table(skewed):
     got = R.exact_quantiles(df, "v", [0.31, 0.77]).collect()
     assert sorted(r["quantile"] for r in got) == pytest.approx(sorted(frame["v"].quantile([0.31, 0.77])))
     assert R.exact_quantiles(df.where("v is null"), "v", [0.5]).count() == 0
-
-
-def test_quantile_bins_keep_few_values_apart(spark):
-    df = spark.createDataFrame([(float(x % 20),) for x in range(500)], "v double")
-    pairs = R.quantile_bins(df, {"v": "b"}, 64).distinct().collect()
-    assert len({r["b"] for r in pairs}) == 20

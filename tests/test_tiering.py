@@ -254,12 +254,13 @@ def test_separation_tests_find_a_clear_order(spark):
     assert boot["ci_low"] - 0.01 <= boot["spearman_rho"] <= boot["ci_high"] + 0.01
 
 
-def test_sensitivity_counts_agree_with_pandas(run):
+@pytest.mark.parametrize("bins", [4, 1024])
+def test_sensitivity_counts_agree_with_pandas(run, bins):
     """Tier agreement of each draw, redone row by row in pandas."""
     weights = run.scored.weights
     got = {
         r["draw"]: (r["tau"], r["agreement"])
-        for r in V.sensitivity_draws(run.normalized(), weights, TIERING["tiers"], draws=4).collect()
+        for r in V.sensitivity_draws(run.normalized(), weights, TIERING["tiers"], draws=4, bins=bins).collect()
     }
     frame = run.normalized().toPandas().sort_values("customer_id").set_index("customer_id")
 

@@ -357,35 +357,38 @@ class _Join:
         return top.select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct()
 
     def divided(self, labels: DataFrame) -> DataFrame:
-        """Index rows of the keys that still meet several components, with each class's component and sketch."""
+        """Index rows of the keys that still meet several components, with each class's component."""
         rows = self.rows.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
         several = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        bits = [F.col("sketch")[i].alias(f"b{i}") for i in range(SKETCH)]
-        return rows.join(several.select("key"), "key").join(self.sets.select(F.col("id").alias("class"), *bits), "class")
+        return rows.join(several.select("key"), "key")
 
     def labels(self) -> DataFrame:
         """(class, component) of the classes that link, but for the smallest of each component."""
+        spark = self.docs.sparkSession
         tested = stored(self.hub_pairs(self.rows, 0), "pairs")
         labels = components(self.compare(tested)).withColumnRenamed("node", "class")
         for salt in range(1, 100):
-            rows = stored(self.divided(labels), "divided")
-            inside = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
-                F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("same")
-            )
-            pairs_left = F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.lit(0.0))
-            left, size = inside.agg(pairs_left, F.coalesce(F.sum("n"), F.lit(0))).first()
-            if not left:
-                return labels
-            if salt > ROUNDS and left <= FULL_PAIRS * size:
-                break
-            pairs = stored(self.hub_pairs(rows, salt).join(tested, ["a", "b"], "left_anti"), "pairs")
-            more = stored(self.compare(pairs), "links")
-            tested = tested.union(pairs)
-            few = more.count() <= SLOW * rows.select("class").distinct().count()
-            labels = self.merged(labels, more)
-            if few:
+            with temporary(spark) as outlive:  # a round leaves the pairs it tested and the labels
                 rows = stored(self.divided(labels), "divided")
+                inside = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
+                    F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("same")
+                )
+                pairs_left = F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.lit(0.0))
+                left, size = inside.agg(pairs_left, F.coalesce(F.sum("n"), F.lit(0))).first()
+                if not left:
+                    return labels
+                if salt > ROUNDS and left <= FULL_PAIRS * size:
+                    break
+                pairs = outlive(self.hub_pairs(rows, salt).join(tested, ["a", "b"], "left_anti"), "pairs")
+                more = stored(self.compare(pairs), "links")
+                tested = tested.union(pairs)
+                few = more.count() <= SLOW * rows.select("class").distinct().count()
+                labels = outlive(self.merged(labels, more), "labels")
+            if few:
                 break
+        # sketches come in once, for the rows that are left
+        bits = [F.col("sketch")[i].alias(f"b{i}") for i in range(SKETCH)]
+        rows = stored(self.divided(labels).join(self.sets.select(F.col("id").alias("class"), *bits), "class"), "divided")
         apart = sum(F.bit_count(F.col(f"b{i}1").bitwiseXOR(F.col(f"b{i}2"))) for i in range(SKETCH))
         # the larger set of a pair looks with its own band's keys, all but the least - 1 most frequent ones
         usual = rows.join(rows.groupBy("key").agg(F.count(F.lit(1)).alias("met")), "key").where("least > 0")

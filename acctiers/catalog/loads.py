@@ -52,11 +52,21 @@ def _(spark, sf):
     return landing.extract_csv(spark, path)
 
 
-@query("A2_file_checksums")
+@query(
+    "A2_file_checksums",
+    """select strftime(order_date, '%Y-%m') as month, sum(length(order_id || ',' || status) + 1)::bigint as length,
+              md5(string_agg(order_id || ',' || status, chr(10) order by order_id) || chr(10)) as checksum
+       from raw_orders group by 1""",
+)
 def _(spark, sf):
-    """MD5 and length of every landed part file of the orders table."""
-    path = land(spark, T.raw_orders(spark, sf), "orders")
-    return landing.file_checksums(spark, path).filter(F.col("path").endswith(".csv")).select("length", "checksum")
+    """MD5 and length of one landed file per month, lines in the order of their ids, read in small byte ranges."""
+    path = scratch_path(spark, "landing-months")
+    month = F.date_format("order_date", "yyyy-MM").alias("month")
+    orders = T.raw_orders(spark, sf).select(month, "order_id", F.concat_ws(",", F.col("order_id").cast("string"), "status").alias("line"))
+    sorted_lines = orders.repartition("month").sortWithinPartitions("month", "order_id").select("month", "line")
+    sorted_lines.write.partitionBy("month").text(path)
+    found = landing.file_checksums(spark, path)
+    return found.select(F.regexp_extract("path", r"month=([^/]+)", 1).alias("month"), "length", "checksum")
 
 
 @query("A2_content_digest", "select count(*) as rows from lineitem")
@@ -320,6 +330,19 @@ def _(spark, sf):
     return spark.read.parquet(target).select("event_id", "user_id", "event_type")
 
 
+@query(
+    "U2_stream_newest_version",
+    "select event_id % 1000 as key, max(event_id) as event_id, arg_max(event_type, event_id) as event_type from events group by 1",
+)
+def _(spark, sf):
+    """Events as versions of a thousand keys, later ids newer: the first run sees the odd events, the second all of them."""
+    target, check = scratch_path(spark, "newest"), scratch_path(spark, "newest-state")
+    versions = _events(spark, sf).withColumn("key", F.col("event_id") % 1000)
+    for state, seen in (("a", versions.where("event_id % 2 = 1")), ("b", versions)):
+        U.keep_newest(seen, ["key"], ["event_id"], target, f"{check}-{state}").awaitTermination()
+    return U.newest(spark, target).select("key", "event_id", "event_type")
+
+
 @query(
     "U3_stream_daily_counts",
     "select date_trunc('day', ts) as batch_start, event_type as source, count(*) as rows_loaded from events group by all",

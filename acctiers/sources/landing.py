@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import hashlib
+from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from acctiers import settings as S
+from acctiers.sources.records import records
 
 SPARK_TYPES = {
     "string": T.StringType(),
@@ -44,14 +47,20 @@ def empty_to_null(df: DataFrame) -> DataFrame:
 def extract_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """All columns as text, only the empty string is null; a record that does not fit the header is an error.
 
-    ``multi_line`` reads line breaks inside quotes right, at the price of files that cannot be split.  Turn
-    it off for sources that hold none; a quoted line break then breaks its record, which is an error, too.
+    Line breaks inside quotes are part of their field, and a large file is still read by many tasks (see
+    ``records``).  ``multi_line=False`` saves the look at quotes for sources that hold no quoted line break; one
+    that does then breaks its record, which is an error, too.
     """
     options = {"header": True, "inferSchema": False, "escape": '"', "multiLine": multi_line}
     names = spark.read.options(**options).csv(path).columns
     broken = "_broken_record"
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, broken]])
-    raw = spark.read.schema(schema).options(**options, columnNameOfCorruptRecord=broken).csv(path)
+    if multi_line:
+        read = {"escape": '"', "columnNameOfCorruptRecord": broken, "mode": "PERMISSIVE", "multiLine": "true"}
+        rows = records(spark, path).where("not first and record <> ''")
+        raw = _parsed(rows, schema, read)
+    else:
+        raw = spark.read.schema(schema).options(**options, columnNameOfCorruptRecord=broken).csv(path)
     message = F.concat(F.lit("record does not fit the header: "), F.col(broken))
     checked = F.when(F.col(broken).isNotNull(), F.raise_error(message)).otherwise(F.nullif(F.col(f"`{names[0]}`"), F.lit("")))
     first = checked.alias(names[0].strip().lower())
@@ -59,10 +68,49 @@ def extract_csv(spark: SparkSession, path: str, multi_line: bool = True) -> Data
     return raw.select(first, *rest)
 
 
+def _parsed(rows: DataFrame, schema: T.StructType, options: Mapping[str, str]) -> DataFrame:
+    ddl = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema)
+    return rows.select(F.from_csv("record", F.lit(ddl), dict(options)).alias("r")).select("r.*")
+
+
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """MD5 and length of the files whose lines come in order, one file after the other."""
+    at, whole, size, left = None, None, 0, False
+
+    def out():
+        return pa.RecordBatch.from_pydict({"path": [at], "length": [size], "checksum": [whole.hexdigest()]})
+
+    for batch in batches:
+        for file, total, line in zip(*(batch[c].to_pylist() for c in ("file", "total", "line")), strict=True):
+            if file != at:
+                if at is not None:
+                    yield out()
+                at, whole, size = file, hashlib.md5(), 0
+            whole.update(line)
+            size += len(line)
+            if size < total:  # the last line may have no line break
+                whole.update(b"\n")
+                size += 1
+    if at is not None:
+        yield out()
+
+
 def file_checksums(spark: SparkSession, path: str) -> DataFrame:
-    """MD5 per file; each file is one row read by one task, so it suits files up to 2 GB."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", "length", F.md5("content").alias("checksum"))
+    """(path, length, checksum): MD5 of each file, of any size.
+
+    MD5 needs the bytes in order, so the lines of a file are sorted by byte range into one task, which streams
+    them; a task holds one line, not the file.  Empty files have no line and no row.
+    """
+    text = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text(path)
+    lines = text.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_size").alias("total"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        F.col("value").cast("binary").alias("line"),
+    )
+    ordered = lines.repartition("file").sortWithinPartitions("file", "block", "row")
+    return ordered.select("file", "total", "line").mapInArrow(_digest, "path string, length bigint, checksum string")
 
 
 def content_digest(df: DataFrame) -> DataFrame:

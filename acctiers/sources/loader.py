@@ -63,8 +63,10 @@ def load_source(
     lookback: str | None = None,
     gated: bool = False,
 ) -> Loaded:
-    """One pass over the file writes the table and counts the rows read and kept.
+    """One pass over the file writes the table and notes the rows read and kept and the newest one.
 
+    The stored table is read for its watermark alone, one column; what it holds afterwards follows from that, the
+    pass and the footers.  The checksum comes before the write, so that no load ends without its audit row.
     ``gated`` says the contract gate has just passed (and stored) this file's drift check, so it is
     not scanned for drift again.
     """
@@ -81,15 +83,18 @@ def load_source(
     table, column = f"raw/{source}", spec["watermark"]
     strategy = "full_refresh" if full_refresh else spec["strategy"]
     before = store.max_value(table, column) if strategy == "incremental" else None
-    seen = Observation()
+    checksum = _checksum(spark, path)
+    seen, kept = Observation(), Observation()
     typed, dropped = conform(source, landed.observe(seen, F.count(F.lit(1)).alias("rows")))
     fresh = with_audit(after_watermark(typed, column, before, lookback), batch_id, started, path.rsplit("/", 1)[-1])
+    fresh = fresh.observe(kept, F.max(column).alias("newest"))
     if strategy == "full_refresh":
         rows = store.write(fresh, table, "replace")
     else:
         rows = store.append_evolving(fresh, table)
     extracted = seen.get["rows"]
-    table_rows, after = store.read(table).agg(F.count(F.lit(1)), F.max(column)).first()
+    newest = [m for m in (before, kept.get["newest"]) if m is not None]
+    table_rows, after = rows if strategy == "full_refresh" else store.rows(table), max(newest, default=None)
 
     # history is read before this batch's own audit row is written
     history = store.read_or_none(AUDIT)
@@ -104,7 +109,7 @@ def load_source(
         source,
         strategy,
         path,
-        _checksum(spark, path),
+        checksum,
         extracted,
         rows,
         table_rows,

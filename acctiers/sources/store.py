@@ -98,12 +98,17 @@ class Store:
         return self.write(freeze(df), name, "replace")
 
     def max_value(self, name: str, column: str):
-        """Largest value of a column, or None without the table; Parquet footers answer most of it."""
+        """Largest value of a column, or None without the table; a scan of that column alone."""
         if not self.exists(name):
             return None
         return self.read(name, [column]).agg(F.max(column)).first()[0]
 
 
+    def rows(self, name: str) -> int:
+        """Row count of a table; without columns the files' footers answer it."""
+        return self.read(name).count()
+
+
 def after_watermark(df: DataFrame, column: str, watermark, lookback: str | None = None) -> DataFrame:
     """Rows newer than the watermark (strictly).  ``lookback`` ("2 days") re-reads late rows as well;
     the newest-version step then drops the repeats."""

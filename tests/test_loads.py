@@ -215,6 +215,62 @@ def test_late_rows_are_kept_and_repeats_are_not(spark, tmp_path):
     assert run((3, "2026-01-01"), (2, "2026-03-02")) == [1, 2, 3]
 
 
+def feed(spark, folder, *rows):
+    spark.createDataFrame(rows, "id bigint, v bigint, name string").coalesce(1).write.mode("append").parquet(str(folder))
+
+
+def test_stream_keeps_the_newest_version(spark, tmp_path):
+    """Late newer versions replace older ones, late older ones and repeats vanish, a replay changes nothing."""
+    folder, target, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+
+    def run(*rows, again=""):
+        if rows:
+            feed(spark, folder, *rows)
+        stream = U.stream_parquet(spark, str(folder), spark.read.parquet(str(folder)).schema)
+        U.keep_newest(stream, ["id"], ["v", "name"], target, check + again, buckets=4).awaitTermination()
+        return sorted(tuple(r) for r in U.newest(spark, target).select("id", "v", "name").collect())
+
+    assert run((1, 5, "a"), (1, 7, "b"), (2, 1, "c"), (2, 1, "c")) == [(1, 7, "b"), (2, 1, "c")]
+    assert run((1, 6, "late"), (2, 3, "newer"), (3, 1, "x")) == [(1, 7, "b"), (2, 3, "newer"), (3, 1, "x")]
+    want = run(*[(i, 1, "n") for i in range(4, 40)])
+    assert len(want) == 39 and run() == want
+    assert run(again="-replayed") == want  # every file once more, under another checkpoint
+
+
+def test_stream_batch_reads_the_buckets_of_its_keys(spark, tmp_path, monkeypatch):
+    folder, target, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+    feed(spark, folder, *[(i, 1, "n") for i in range(500)])
+    schema = spark.read.parquet(str(folder)).schema
+    start = lambda: U.keep_newest(U.stream_parquet(spark, str(folder), schema), ["id"], ["v"], target, check, buckets=16).awaitTermination()
+    start()
+    read, seen = U.newest, []
+    monkeypatch.setattr(U, "newest", lambda *a: (df := read(*a), seen.extend(df.inputFiles() if df is not None else []))[0])
+    feed(spark, folder, (7, 2, "m"), (7, 3, "m"))
+    start()
+    bucket = spark.createDataFrame([(7,)], "id bigint").select(U.key_bucket(["id"], 16)).first()[0]
+    assert seen and all(f"_bucket={bucket}/" in f for f in seen)
+    monkeypatch.undo()
+    assert U.newest(spark, target).count() == 500 and U.newest(spark, target).where("id = 7").first()["v"] == 3
+    held = U._versions(spark, target)
+    assert len(held) == 16 and max(map(len, held.values())) <= 2
+
+
+def test_a_failed_batch_leaves_the_store_as_it_was(spark, tmp_path):
+    """A version folder without its commit mark is not read, and the batch writes it again."""
+    folder, target, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+    feed(spark, folder, (1, 1, "a"))
+    schema = spark.read.parquet(str(folder)).schema
+    start = lambda: U.keep_newest(U.stream_parquet(spark, str(folder), schema), ["id"], ["v"], target, check, buckets=2).awaitTermination()
+    start()
+    half = tmp_path / "out" / "version=000000000002.check-1" / "_bucket=0"
+    half.mkdir(parents=True)
+    (half / "part-0.parquet").write_bytes(b"half a file")
+    assert U.newest(spark, target).count() == 1
+    feed(spark, folder, (1, 2, "b"), (2, 1, "c"))
+    start()
+    assert sorted((r["id"], r["v"]) for r in U.newest(spark, target).collect()) == [(1, 2), (2, 1)]
+
+
 def test_cluster_without_a_shared_folder_is_an_error(monkeypatch):
     from types import SimpleNamespace
 

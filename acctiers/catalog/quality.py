@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,11 +11,14 @@ from pyspark.sql import functions as F
 from acctiers import settings as S
 from acctiers.catalog.registry import query
 from acctiers.catalog.sql import PARTS
-from acctiers.catalog.tiering import Scored
+from acctiers.catalog import monitoring as MO
+from acctiers.catalog.tiering import Inputs, Scored
 from acctiers.operators import dqtests as D
 from acctiers.operators import expect as K
+from acctiers.operators import monitor as M
 from acctiers.plans import published as P
 from acctiers.plans.warehouse import Warehouse
+from acctiers.session import freeze
 from acctiers.sources import testtables as T
 
 NOW = datetime(2001, 7, 15)
@@ -156,19 +160,37 @@ def _(spark, sf):
     return D.count_failures(_WAREHOUSE_TESTS, lambda name: w.raw[name[4:]] if name.startswith("raw_") else w.model(name))
 
 
-_SEGMENT_FREE = [t for t in D.TIERING_TESTS if t.column != "segment"]
+# segments come from clusters, which SQL does not make again: the checks ask that every customer has one
+PARTS["segmented_mart"] = "select *, 'named' as segment from mart_customer_tiers"
+PARTS["segmented_tiers"] = "select *, 'named' as segment from scored_now"
 
 
-@query("J_tiering_tests", " union all ".join(_count_sql(t) for t in _SEGMENT_FREE))
+def _tiering_test_sql(test: D.DataTest) -> str:
+    sql = _count_sql(test)
+    return sql.replace("from mart_customer_tiers ", "from segmented_mart ") if test.column == "segment" else sql
+
+
+def segmented(spark, sf) -> DataFrame:
+    """The current tiers with the segment of each customer."""
+    return Inputs(spark, sf).run(segment=True).tiers
+
+
+@query("J_tiering_tests", " union all ".join(_tiering_test_sql(t) for t in D.TIERING_TESTS))
 def _(spark, sf):
     scored = Scored(spark, sf)
+    mart = freeze(P.mart_customer_tiers(segmented(spark, sf), scored.warehouse.dim_customers, scored.history))
     models = {
-        "mart_customer_tiers": scored.mart,
-        "mart_tier_summary": P.mart_tier_summary(scored.mart),
+        "mart_customer_tiers": mart,
+        "mart_tier_summary": P.mart_tier_summary(mart),
         "mart_tier_movement": P.mart_tier_movement(scored.history),
         "dim_customers": scored.warehouse.stg_customers,
     }
-    return D.count_failures(_SEGMENT_FREE, models.__getitem__)
+    return D.count_failures(D.TIERING_TESTS, models.__getitem__)
+
+
+query("J_health_tests", " union all ".join(_count_sql(t) for t in D.HEALTH_TESTS))(
+    lambda s, d: D.count_failures(D.HEALTH_TESTS, lambda name: M.mart_data_health(MO.check_log(s, d), MO.NOW))
+)
 
 
 # --- K: expectation suites ---------------------------------------------------------------------------
@@ -181,7 +203,7 @@ _RELATIONS = {
     "marts.fct_orders": "fct_orders",
     "marts.dim_customers": "dim_customers",
     "marts.fct_customer_monthly": "fct_customer_monthly",
-    "tiering.customer_tiers": "scored_now",
+    "tiering.customer_tiers": "segmented_tiers",
 }
 _NULLS = "cast(null as bigint) as element_count, cast(null as bigint) as unexpected_count"
 
@@ -225,9 +247,10 @@ def _expectation_sql(suite: K.Suite, position: int, e: K.Expectation, columns: d
 
 
 _COLUMN_COUNTS = {"raw.customers": 8, "raw.orders": 9}
+_EVERY = [suite for layer in K.LAYERS.values() for suite in layer]
 PARTS["expectations"] = " union all ".join(
     f"select * from ({_expectation_sql(suite, i, e, _COLUMN_COUNTS)})"
-    for suite in [*K.RAW, *K.MARTS]
+    for suite in _EVERY
     for i, e in enumerate(suite.expectations, 1)
 )
 
@@ -237,6 +260,8 @@ def _relation(spark, sf):
 
     def find(name: str) -> DataFrame:
         layer, table = name.split(".")
+        if layer == "tiering":
+            return segmented(spark, sf)
         return w.raw[table] if layer == "raw" else w.model(table)
 
     return find
@@ -244,11 +269,7 @@ def _relation(spark, sf):
 
 def _suite_results(spark, sf) -> DataFrame:
     find = _relation(spark, sf)
-    parts = [K.run_suite(find(s.relation), s) for s in [*K.RAW, *K.MARTS]]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, [K.run_suite(find(s.relation), s) for s in _EVERY])
 
 
 query("K_all_expectations", "select * from expectations", "observed_value")(_suite_results)
@@ -292,19 +313,13 @@ for _name, _kind in _KINDS.items():
     _sql, _run = _only(_kind)
     query(_name, _sql, "observed_value")(_run)
 
-_TIER_SUITE = K.Suite(
-    "tiering_customer_tiers",
-    "tiering.customer_tiers",
-    "error",
-    tuple(e for e in K.TIERING[0].expectations if e.column != "segment"),
-)
 query(
     "K11_distinct_equal",
     " union all ".join(
-        f"select * from ({_expectation_sql(_TIER_SUITE, i, e, _COLUMN_COUNTS)})" for i, e in enumerate(_TIER_SUITE.expectations, 1)
+        f"select * from ({_expectation_sql(suite, i, e, _COLUMN_COUNTS)})" for suite in K.TIERING for i, e in enumerate(suite.expectations, 1)
     ),
     "observed_value",
-)(lambda s, d: K.run_suite(Scored(s, d).tiers, _TIER_SUITE))
+)(lambda s, d: reduce(DataFrame.unionByName, [K.run_suite(segmented(s, d), suite) for suite in K.TIERING]))
 
 _SUMMARY = """
 select 'data_quality' as check_type, suite as check_name, relation as target,
@@ -317,9 +332,12 @@ from expectations group by suite, relation, severity"""
 query("K12_suite_summary", _SUMMARY, "observed_value")(lambda s, d: K.summarize(_suite_results(s, d)).drop("details"))
 
 
-@query("K13_run_layer", f"select * from ({_SUMMARY}) where target like 'raw.%'", "observed_value")
+@query("K13_run_layer", f"select split_part(target, '.', 1) as layer, * from ({_SUMMARY})", "observed_value")
 def _(spark, sf):
-    return K.run_layer(spark, K.RAW, _relation(spark, sf)).drop("details")
+    """All three layers."""
+    find = _relation(spark, sf)
+    done = [K.run_layer(spark, suites, find).withColumn("layer", F.lit(layer)) for layer, suites in K.LAYERS.items()]
+    return reduce(DataFrame.unionByName, done).drop("details")
 
 
 @query(

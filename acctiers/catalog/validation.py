@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acctiers.catalog.registry import query
-from acctiers.catalog.sql import AS_OF, BACKTEST, PARTS, average_rank_sql, expert_weights, tier_case_sql
+from acctiers.catalog.sql import AS_OF, BACKTEST, PARTS, RUN_DATES, average_rank_sql, expert_weights, tier_case_sql
 from acctiers.catalog.tiering import Inputs
 from acctiers.plans import baselines as B
 from acctiers.plans import resampling as RS
@@ -343,3 +345,56 @@ def _(spark, sf):
 
     fit = final_fit(spark, sf, "random_forest")
     return B.weights_vs_importance(B.importances(fit), expert_weights(TIERING), "random_forest")
+
+
+# --- R: whole runs ------------------------------------------------------------------------------------
+
+_STORED = {
+    "customer_tiers": "select concat(customer_id, ' ', tier) as item, composite_score as value from scored_now",
+    "customer_tier_history": "select concat(customer_id, ' ', as_of_date), composite_score from history",
+    "tier_weights": " union all ".join(f"select '{n}', cast({w!r} as double)" for n, w in expert_weights(TIERING).items()),
+    "segment_profiles": "select 'customers', count(*) from scored_now",
+    "backtest_lift": "select tier, round(mean_future_revenue, 2) from lift",
+    "mart_customer_tiers": "select concat(customer_id, ' ', tier_movement), composite_score from mart_customer_tiers",
+    "mart_tier_summary": "select tier, customers from mart_tier_summary",
+    "mart_tier_movement": "select concat(as_of_date, ' ', from_tier, ' ', to_tier), customers from mart_tier_movement",
+    "validation_metrics": "select 'kruskal_wallis_h', h_statistic from kw",
+}
+
+
+@query(
+    "R4_run_tiering",
+    " union all ".join(f"select '{name}' as stored, item, cast(value as double) as value from ({sql}) t(item, value)" for name, sql in _STORED.items()),
+    "value:4",
+)
+def _(spark, sf):
+    """Marts built and stored, history back-filled, one tiering run stored and published; all tables read back."""
+    from acctiers.session import scratch_path
+    from acctiers.sources import testtables as T
+    from acctiers.sources.store import Store
+
+    store = Store(spark, scratch_path(spark, "tiering-run"))
+    for name, table in T.raw_tables(spark, sf).items():
+        store.write(table, f"raw/{name}", "replace")
+    R.build_marts(store)
+    R.backfill_history(store, list(RUN_DATES[:-1]), "earlier")
+    R.run_tiering(store, AS_OF, "now", models={"logistic_regression": B.MODELS["logistic_regression"]})
+
+    def rows(name: str, folder: str, item, value) -> DataFrame:
+        return store.read(f"{folder}/{name}").select(F.lit(name).alias("stored"), item.alias("item"), value.cast("double").alias("value"))
+
+    word = lambda *columns: F.concat_ws(" ", *[F.col(c).cast("string") for c in columns])
+    profiles = store.read("tiering/segment_profiles").agg(F.sum("customers").alias("customers"))
+    metrics = store.read("tiering/validation_metrics").where("metric = 'kruskal_wallis_h'")
+    parts = [
+        rows("customer_tiers", "tiering", word("customer_id", "tier"), F.col("composite_score")),
+        rows("customer_tier_history", "tiering", word("customer_id", "as_of_date"), F.col("composite_score")),
+        rows("tier_weights", "tiering", F.col("feature"), F.col("applied_weight")),
+        profiles.select(F.lit("segment_profiles").alias("stored"), F.lit("customers").alias("item"), F.col("customers").cast("double").alias("value")),
+        rows("backtest_lift", "tiering", F.col("tier"), F.round("mean_future_revenue", 2)),
+        rows("mart_customer_tiers", "marts", word("customer_id", "tier_movement"), F.col("composite_score")),
+        rows("mart_tier_summary", "marts", F.col("tier"), F.col("customers")),
+        rows("mart_tier_movement", "marts", word("as_of_date", "from_tier", "to_tier"), F.col("customers")),
+        metrics.select(F.lit("validation_metrics").alias("stored"), F.col("metric").alias("item"), F.col("value")),
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -309,7 +309,8 @@ class _Join:
         )
         # a null id names no class; as the first row of a set it would keep its copies out of the index
         rows = docs.where("doc_id is not null").mapInArrow(_index(n, num, den), "key bigint, doc_id bigint, least int")
-        shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("key")
+        # a job of its own: its shuffle files are gone when the index is joined
+        shared = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("key"), "shared")
         known = self.members.where("doc_id is not null").select("doc_id", "class", "size")
         named = rows.join(shared, "key").join(known, "doc_id").select("key", "class", "size", "least")
         self.rows = stored(named.distinct(), "index")

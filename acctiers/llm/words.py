@@ -104,8 +104,9 @@ class Words:
 
     def _keys(self, low: int, high: int, lengths: np.ndarray, table: np.ndarray) -> np.ndarray:
         firsts = np.cumsum(lengths) - lengths
-        place = np.arange(int(lengths.sum())) - np.repeat(firsts, lengths)  # of each byte in its word
-        data = self.data[place + np.repeat(self.starts[low:high], lengths)]
+        place = np.arange(int(lengths.sum()), dtype=np.int32) - np.repeat(firsts.astype(np.int32), lengths)  # of each byte in its word
+        base = self.starts[low]
+        data = self.data[base:][place + np.repeat((self.starts[low:high] - base).astype(np.int32), lengths)]
         begins = np.flatnonzero(place % PLACES == 0)
         with np.errstate(over="ignore"):
             sums = np.add.reduceat(table[(place % PLACES) * 256 + data], begins)

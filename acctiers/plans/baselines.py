@@ -9,13 +9,14 @@ from functools import reduce
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from acctiers.operators.rank import average_rank, ordinal_rank
+from acctiers.plans import boosting
 from acctiers.plans.resampling import auc_difference_draws
 from acctiers.session import freeze, literal_rows, reload
 
@@ -23,13 +24,7 @@ from acctiers.session import freeze, literal_rows, reload
 MODELS = {
     "logistic_regression": {"maxIter": 2000},
     "random_forest": {"numTrees": 300, "minInstancesPerNode": 5, "maxDepth": 30},
-    "gradient_boosting": {
-        "maxIter": 300,
-        "maxDepth": 4,
-        "stepSize": 0.05,
-        "subsamplingRate": 0.8,
-        "featureSubsetStrategy": "0.8",
-    },
+    "gradient_boosting": {"rounds": 300, "depth": 4, "step": 0.05, "rows": 0.8, "features": 0.8},
 }
 
 
@@ -58,10 +53,8 @@ def _pipeline(model: str, inputs: Sequence[str], seed: int, rows: int, settings:
                 **{**common, "featuresCol": "_scaled"}, weightCol="weight", regParam=1.0 / rows, standardization=False, **settings
             )
         )
-    elif model == "random_forest":
-        stages.append(RandomForestClassifier(**common, weightCol="weight", seed=seed, **settings))
     else:
-        stages.append(GBTClassifier(labelCol="label", featuresCol="_raw", seed=seed, **settings))
+        stages.append(RandomForestClassifier(**common, weightCol="weight", seed=seed, **settings))
     return Pipeline(stages=stages)
 
 
@@ -76,8 +69,8 @@ def _balanced(train: DataFrame, counts: dict[int, int]) -> DataFrame:
 
 
 def _detached(model: PipelineModel) -> PipelineModel:
-    """The pipeline without its training summary (see ``reload``): a copied forest has none, boosted
-    trees never do, and a linear model is small enough to save and read back."""
+    """The pipeline without its training summary (see ``reload``): a copied forest has none,
+    and a linear model is small enough to save and read back."""
     last = model.stages[-1]
     return reload(SparkSession.active(), model) if hasattr(last, "coefficients") else model.copy()
 
@@ -85,7 +78,7 @@ def _detached(model: PipelineModel) -> PipelineModel:
 @dataclass
 class Fitted:
     predictions: DataFrame  # customer_id, label, composite_score, one out-of-fold probability per model
-    models: dict[str, PipelineModel]
+    models: dict[str, PipelineModel | boosting.Boosted]
     inputs: list[str]
 
 
@@ -98,7 +91,11 @@ def out_of_fold(
     models: dict | None = None,
     parallel: int = 6,
 ) -> Fitted:
-    """Out-of-fold probability of every customer under every model, and a final fit on all rows."""
+    """Out-of-fold probability of every customer under every model, and a final fit on all rows.
+
+    The linear model and the forest take one fit per fold; boosted trees grow for all folds and the final fit in
+    the same passes.
+    """
     models = models or MODELS
     base = judged.select(
         "customer_id",
@@ -118,19 +115,24 @@ def out_of_fold(
 
     def fit(task: tuple[str, int | None]):
         name, fold = task
+        if name == "gradient_boosting":
+            settings = boosting.Settings(**models[name])
+            model, margins = boosting.fit(data, inputs, [*range(folds), None], "customer_id", settings, seed)
+            return [(name, None, model), (name, 0, boosting.held_out(margins, "customer_id", name))]
         per_class = counts(fold)
         train = data if fold is None else data.filter(F.col("fold") != fold)
         pipeline = _pipeline(name, inputs, seed, sum(per_class.values()), models[name])
         model = pipeline.fit(_balanced(train, per_class))
         if fold is None:
-            return name, fold, model
+            return [(name, fold, model)]
         model = _detached(model)
         held = model.transform(data.filter(F.col("fold") == fold))
-        return name, fold, held.select("customer_id", F.get(vector_to_array("probability"), 1).alias(name))
+        return [(name, fold, held.select("customer_id", F.get(vector_to_array("probability"), 1).alias(name)))]
 
-    tasks = [(name, fold) for name in models for fold in [*range(folds), None]]
+    tasks = [(name, fold) for name in models for fold in ([None] if name == "gradient_boosting" else [*range(folds), None])]
+    tasks.sort(key=lambda task: task[0] != "gradient_boosting")  # the longest first
     with ThreadPoolExecutor(parallel) as pool:
-        done = list(pool.map(fit, tasks))
+        done = [one for several in pool.map(fit, tasks) for one in several]
     final = {name: result for name, fold, result in done if fold is None}
     out = data.select("customer_id", "label", "composite_score")
     for name in models:
@@ -139,30 +141,6 @@ def out_of_fold(
     return Fitted(freeze(out), final, list(inputs))
 
 
-def fit_all_rows(
-    judged: DataFrame, inputs: Sequence[str], label: str = "high_value", seed: int = 42, models: dict | None = None
-) -> Fitted:
-    """Only the final fits, for importances and in-sample probabilities."""
-    models = models or MODELS
-    data = freeze(
-        judged.select(
-            "customer_id",
-            F.col(label).cast("double").alias("label"),
-            "composite_score",
-            *[F.col(c).cast("double").alias(c) for c in inputs],
-        )
-    )
-    counts = {r["label"]: r["count"] for r in data.groupBy("label").count().collect()}  # one row per class
-    train = _balanced(data, counts)
-    final = {n: _pipeline(n, inputs, seed, sum(counts.values()), s).fit(train) for n, s in models.items()}
-    out = data
-    for name, model in final.items():
-        scored = _detached(model).transform(data)
-        probability = F.get(vector_to_array("probability"), 1).alias(name)
-        out = out.join(scored.select("customer_id", probability), "customer_id")
-    return Fitted(out.select("customer_id", "label", "composite_score", *final), final, list(inputs))
-
-
 # --- ranking quality ----------------------------------------------------------------------------
 
 
@@ -240,9 +218,12 @@ def importances(fitted: Fitted) -> DataFrame:
     """Normalised importance (or absolute coefficient) per feature and model: inputs x models rows."""
     rows = []
     for name, model in fitted.models.items():
-        last = model.stages[-1]
-        raw = last.featureImportances if hasattr(last, "featureImportances") else last.coefficients
-        values = np.abs(raw.toArray())
+        if isinstance(model, boosting.Boosted):
+            values = model.importances()
+        else:
+            last = model.stages[-1]
+            raw = last.featureImportances if hasattr(last, "featureImportances") else last.coefficients
+            values = np.abs(raw.toArray())
         values = values / values.sum() if values.sum() else values
         rows += [(name, f, float(v)) for f, v in zip(fitted.inputs, values, strict=True)]
     return literal_rows(fitted.predictions.sparkSession, rows, "model string, feature string, importance double")

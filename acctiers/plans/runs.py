@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import UTC, date, datetime, timedelta
 from functools import reduce
@@ -130,10 +131,12 @@ def backtest(
     cfg: dict | None = None,
     current: TierRun | None = None,
     models: dict | None = None,
+    fit: Callable[..., B.Fitted] = B.out_of_fold,
 ) -> Backtest:
     """Score at ``as_of - horizon`` and compare with what happened in the horizon.
 
-    ``current`` hands over an existing scoring at ``as_of``, so the date is not scored twice.
+    ``current`` hands over an existing scoring at ``as_of``, so the date is not scored twice; ``fit`` may read
+    stored predictions in place of fitting.
     """
     cfg = cfg or TIERING
     v = cfg["validation"]
@@ -144,7 +147,7 @@ def backtest(
     else:
         past = score_customers(orders, lines, customers, start, cfg)
     judged = judge(orders, past, cfg)
-    fitted = B.out_of_fold(judged, MODEL_FEATURES, folds=v["folds"], seed=v["seed"], models=models)
+    fitted = fit(judged, MODEL_FEATURES, folds=v["folds"], seed=v["seed"], models=models)
     metrics = B.model_metrics(fitted)
     best = B.best_model(metrics).first()[0]
     scored = fitted.predictions.withColumn("_composite", F.col("composite_score") / 100)

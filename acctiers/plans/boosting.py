@@ -9,12 +9,15 @@ rounds x depth however many fits there are.
 * Derivatives are whole numbers of 1 / SCALE, so sums do not depend on partitions, order or retried tasks.
 * The row draw of a tree is a hash of (seed, round, fit, row id), the feature draw a seeded generator.
 * Margins are stored every ``keep`` rounds; in between a pass applies the few newest trees itself.
+* A table of at most ROWS_IN_ONE_TASK rows is one task, which takes all passes itself: a job per level would be
+  nearly all waiting there.  Sums are exact, so the trees do not depend on the way.
 * An empty table, or one class only, gives trees without splits and the class share as probability.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -28,6 +31,7 @@ from acctiers.session import freeze
 
 SCALE = float(1 << 30)
 ROWS_PER_TASK = 500_000
+ROWS_IN_ONE_TASK = 50_000  # up to here one task grows all rounds; the trees are the same either way
 HIST = "cell int, g bigint, h bigint"
 
 
@@ -136,28 +140,47 @@ def _moved(margins: np.ndarray, bins: np.ndarray, trees: list[Trees], settings:
     return margins
 
 
-def _histograms(
-    recent: list[Trees], partial: Trees, level: int, turn: int, seed: int, left_out: list[int], width: int, settings: Settings
-) -> Callable:
-    """Task: derivatives per (fit, node, feature, bin) as one row per cell that holds rows."""
-    nodes, bins_per, fits = 1 << level, settings.bins, len(left_out)
-    per_fit = nodes * width * bins_per
+@dataclass(frozen=True)
+class Plan:
+    """What a task has to know to sum one level of one round."""
+
+    left_out: list[int]
+    width: int
+    seed: int
+    settings: Settings
+
+    def shape(self, level: int) -> tuple[int, ...]:
+        return 2, len(self.left_out), 1 << level, self.width, self.settings.bins
+
+    def sums(self, rows: dict[str, np.ndarray], trees: Trees, turn: int, level: int) -> np.ndarray:
+        """Derivatives of some rows per (kind, fit, node, feature, bin), in whole numbers of 1 / SCALE."""
+        settings, total = self.settings, np.zeros(self.shape(level), np.int64)
+        for fit, left_out in enumerate(self.left_out):
+            drawn = np.flatnonzero((rows["fold"] != left_out) & _drawn(rows["key"], self.seed, turn, fit, settings.rows))
+            bins, columns = rows["bins"][drawn], _chosen(self.width, self.seed, turn, fit, settings.features)
+            p = 1.0 / (1.0 + np.exp(-rows["margins"][drawn, fit]))
+            node = trees.place(fit, bins, level)
+            cell = ((node[:, None] * self.width + columns) * settings.bins + bins[:, columns]).ravel()
+            for kind, slope in enumerate((p - rows["label"][drawn], p * (1.0 - p))):
+                whole = np.repeat(np.rint(slope * SCALE), len(columns))  # sums below 2^53 are exact
+                total[kind, fit] += np.bincount(cell, whole, total[kind, fit].size).astype(np.int64).reshape(total[kind, fit].shape)
+        return total
+
+
+def _read(batch: pa.RecordBatch | pa.Table, width: int, fits: int) -> dict[str, np.ndarray]:
+    rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("label", "fold", "key")}
+    return rows | {"bins": _square(batch.column("bins"), width).astype(np.int64), "margins": _square(batch.column("margins"), fits)}
+
+
+def _histograms(plan: Plan, recent: list[Trees], trees: Trees, turn: int, level: int) -> Callable:
+    """Task: one row per cell that holds rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, fits, per_fit), np.int64)
+        total = np.zeros(plan.shape(level), np.int64)
         for batch in batches:
-            bins = _square(batch.column("bins"), width).astype(np.int64)
-            margins = _moved(_square(batch.column("margins"), fits), bins, recent, settings)
-            label, fold, key = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("label", "fold", "key"))
-            for fit in range(fits):
-                rows = np.flatnonzero((fold != left_out[fit]) & _drawn(key, seed, turn, fit, settings.rows))
-                p = 1.0 / (1.0 + np.exp(-margins[rows, fit]))
-                slopes = np.rint((p - label[rows]) * SCALE), np.rint(p * (1.0 - p) * SCALE)
-                columns = _chosen(width, seed, turn, fit, settings.features)
-                node = partial.place(fit, bins[rows], level)
-                cell = (node[:, None] * width + columns) * bins_per + bins[rows][:, columns]
-                for which, slope in enumerate(slopes):  # whole numbers below 2^53: the sums are exact
-                    total[which, fit] += np.bincount(cell.ravel(), np.repeat(slope, len(columns)), per_fit).astype(np.int64)
+            rows = _read(batch, plan.width, len(plan.left_out))
+            rows["margins"] = _moved(rows["margins"], rows["bins"], recent, plan.settings)
+            total += plan.sums(rows, trees, turn, level)
         g, h = total.reshape(2, -1)
         some = np.flatnonzero((g != 0) | (h != 0))
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(g[some]), pa.array(h[some])], ["cell", "g", "h"])
@@ -165,6 +188,24 @@ def _histograms(
     return run
 
 
+def _all_rounds(plan: Plan) -> Callable:
+    """Task: all rounds over a small table, which is one task; the same sums and splits without a job per level."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [_read(batch, plan.width, len(plan.left_out)) for batch in batches]
+        if not parts:
+            return
+        rows = {c: np.concatenate([part[c] for part in parts]) for c in parts[0]}
+        grown = []
+        for turn in range(plan.settings.rounds):
+            found = _grow(plan, turn, lambda trees, level, turn=turn: plan.sums(rows, trees, turn, level))
+            rows["margins"] = _moved(rows["margins"], rows["bins"], [found[0]], plan.settings)
+            grown.append((vars(found[0]), *found[1:]))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(grown)], pa.binary())], ["grown"])
+
+    return run
+
+
 @dataclass
 class Boosted:
     """Bin edges, starting margins and all trees of every fit."""
@@ -177,6 +218,10 @@ class Boosted:
     gain: np.ndarray | None = None  # fits x inputs: gain of all splits on a feature
     splits: np.ndarray | None = None  # fits x inputs: number of splits
 
+    def add(self, trees: Trees, gain: np.ndarray, splits: np.ndarray) -> None:
+        self.trees.append(trees)
+        self.gain, self.splits = self.gain + gain, self.splits + splits
+
     def importances(self, fit: int = -1) -> np.ndarray:
         """Mean gain of a feature's splits in one fit (the last is the fit on all rows)."""
         return self.gain[fit] / np.maximum(self.splits[fit], 1)
@@ -249,44 +294,58 @@ def fit(
     rows = rows.repartition(tasks)
     state = freeze(rows.mapInArrow(_to_bins(model.edges, 4, starts), schema))
 
-    recent: list[Trees] = []
-    for turn in range(settings.rounds):
-        trees = _grow(state, recent, model, turn, seed, out, tasks)
-        model.trees.append(trees)
-        recent.append(trees)
-        if len(recent) == settings.keep or turn == settings.rounds - 1:
-            state, recent = freeze(state.mapInArrow(_advance(recent, settings, width, len(out)), schema)), []
+    plan = Plan(out, width, seed, settings)
+    if sum(r["n"] for r in sizes) <= ROWS_IN_ONE_TASK:
+        done = state.coalesce(1).mapInArrow(_all_rounds(plan), "grown binary").collect()  # one row, or none
+        grown = pickle.loads(done[0]["grown"]) if done else []
+        for trees, *counts in grown:
+            model.add(Trees(**trees), *counts)
+        state = freeze(state.mapInArrow(_advance(model.trees, settings, width, len(out)), schema))
+    else:
+        recent: list[Trees] = []
+        for turn in range(settings.rounds):
+            found = _grow(plan, turn, lambda trees, level, turn=turn: _job(state, plan, list(recent), trees, turn, level, tasks))
+            model.add(*found)
+            recent.append(found[0])
+            if len(recent) == settings.keep or turn == settings.rounds - 1:
+                state, recent = freeze(state.mapInArrow(_advance(recent, settings, width, len(out)), schema)), []
     return model, state.select(key, "fold", "margins")
 
 
-def _grow(state: DataFrame, recent: list[Trees], model: Boosted, turn: int, seed: int, left_out: list[int], tasks: int) -> Trees:
-    settings, width, fits = model.settings, len(model.inputs), len(left_out)
+def _job(state: DataFrame, plan: Plan, recent: list[Trees], trees: Trees, turn: int, level: int, tasks: int) -> np.ndarray:
+    """Sums of one level over the whole table: a table of fixed size comes to the driver."""
+    # a task sends a cell once, so nothing is left to combine before the shuffle
+    cells = state.mapInArrow(_histograms(plan, recent, trees, turn, level), HIST).repartition(min(tasks, 64), "cell")
+    found = cells.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()
+    total = np.zeros(plan.shape(level), np.int64)
+    for kind, name in enumerate(("g", "h")):
+        total[kind].reshape(-1)[found["cell"].to_numpy()] = found[name].to_numpy()
+    return total
+
+
+def _grow(plan: Plan, turn: int, sums: Callable[[Trees, int], np.ndarray]) -> tuple[Trees, np.ndarray, np.ndarray]:
+    """The trees of one round, level by level, with the gain and number of splits per fit and feature."""
+    settings, fits = plan.settings, len(plan.left_out)
     trees = _empty(fits, settings)
+    gain, splits = np.zeros((fits, plan.width)), np.zeros((fits, plan.width), np.int64)
     for level in range(settings.depth):
-        nodes = 1 << level
-        task = _histograms(list(recent), trees, level, turn, seed, left_out, width, settings)
-        # a task sends a cell once, so nothing is left to combine before the shuffle; one task needs none
-        parts = state.coalesce(1).mapInArrow(task, HIST) if tasks == 1 else state.mapInArrow(task, HIST).repartition(min(tasks, 64), "cell")
-        summed = parts.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()
-        cells, sums = summed["cell"].to_numpy(), np.zeros((2, fits * nodes * width * settings.bins))
-        sums[0, cells], sums[1, cells] = summed["g"].to_numpy() / SCALE, summed["h"].to_numpy() / SCALE
-        g, h = sums.reshape(2, fits, nodes, width, settings.bins)
+        total, nodes = sums(trees, level) / SCALE, 1 << level
         for fit_at in range(fits):
-            chosen = _chosen(width, seed, turn, fit_at, settings.features)
+            chosen = _chosen(plan.width, plan.seed, turn, fit_at, settings.features)
             for node in range(nodes):
-                here = g[fit_at, node], h[fit_at, node]
+                here = total[:, fit_at, node]
                 found = _best(*here, chosen, settings)
-                left = all_ = np.array([x[chosen[0]].sum() for x in here])
+                left = all_ = here[:, chosen[0]].sum(1)
                 if found:
                     at = nodes - 1 + node
                     trees.feature[fit_at, at], trees.upto[fit_at, at], trees.missing[fit_at, at] = found[1:4]
                     left = np.array(found[4:])
-                    model.gain[fit_at, found[1]] += found[0]
-                    model.splits[fit_at, found[1]] += 1
+                    gain[fit_at, found[1]] += found[0]
+                    splits[fit_at, found[1]] += 1
                 if level == settings.depth - 1:
                     for side, (a, b) in enumerate((left, all_ - left)):
                         trees.leaf[fit_at, 2 * node + side] = -settings.step * a / (b + settings.ridge)
-    return trees
+    return trees, gain, splits
 
 
 def held_out(margins: DataFrame, key: str, name: str) -> DataFrame:

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,11 @@ def apply_runtime(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    # Python workers of a session started elsewhere import this package, too
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[1])
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
     return spark
 
 

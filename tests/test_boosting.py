@@ -70,12 +70,14 @@ def test_same_as_trees_grown_row_by_row(spark):
 
 def test_same_trees_however_rows_are_cut(spark, monkeypatch):
     df, settings = frame(spark, rows(300)), X.Settings(rounds=4, keep=3)
-    one, _ = X.fit(df, INPUTS, [0, 1, 2, None], "id", settings)
+    one, kept = X.fit(df, INPUTS, [0, 1, 2, None], "id", settings)
+    monkeypatch.setattr(X, "ROWS_IN_ONE_TASK", 10)  # a job per level, several tasks
     monkeypatch.setattr(X, "ROWS_PER_TASK", 70)
-    two, _ = X.fit(df.orderBy("a"), INPUTS, [0, 1, 2, None], "id", settings)
+    two, again = X.fit(df.orderBy("a"), INPUTS, [0, 1, 2, None], "id", settings)
     for a, b in zip(one.trees, two.trees, strict=True):
         for field in ("feature", "upto", "missing", "leaf"):
             assert np.array_equal(getattr(a, field), getattr(b, field))
+    assert sorted(kept.toPandas().margins.map(tuple)) == sorted(again.toPandas().margins.map(tuple))
 
 
 def test_model_scores_rows_like_its_margins(spark):

@@ -17,8 +17,10 @@ from acctiers.plans.warehouse import Warehouse
 from acctiers.session import scratch_path
 from acctiers.sources import export, landing, loader
 from acctiers.sources import testtables as T
+from acctiers.sources.intervals import IntervalStore
 from acctiers.sources.store import Store, after_watermark, with_audit
 from acctiers.streaming import ingest as U
+from acctiers.streaming.landing import ingest_files, stream_files
 
 LOADED_AT = datetime(2001, 8, 2, 6)
 MIDDLE = datetime(2000, 1, 1)
@@ -261,6 +263,40 @@ def _(spark, sf):
     return history.select("customer_id", "region", "updated_at", "valid_from", "valid_to", "is_current")
 
 
+def _moves(spark, sf, day: int) -> DataFrame:
+    """The customers as of a snapshot: those of the day's number modulo 10 and below have moved, on days of their own."""
+    current = Warehouse.from_test_tables(spark, sf).stg_customers.select(*H.CUSTOMER_ATTRIBUTES)
+    turn = F.col("customer_id") % 10
+    moved = turn < day
+    at = F.lit(LATER).cast("timestamp_ntz") + F.make_dt_interval(turn.cast("int"))
+    return current.withColumns(
+        {
+            "region": F.when(moved, "MOVED").otherwise(F.col("region")),
+            "updated_at": F.when(moved, at).otherwise(F.col("updated_at")),
+        }
+    ).filter((F.col("customer_id") % 7 != 0) | (F.lit(day) > 1))
+
+
+@query(
+    "I1_stored_history",
+    f"""with moved as (
+            select *, timestamp '{LATER}' + interval 1 day * (customer_id % 10)::int as moved_at, customer_id % 10 < 3 as gone from stg_customers
+        ), seen as (  -- who moves on day 1 and is first seen on day 2 was never seen before the move
+            select *, not (customer_id % 7 = 0 and customer_id % 10 < 2) as before from moved
+        )
+        select customer_id, region, updated_at, updated_at as valid_from, case when gone then moved_at end as valid_to, not gone as is_current
+        from seen where before
+        union all
+        select customer_id, 'MOVED', moved_at, moved_at, null, true from seen where gone""",
+)
+def _(spark, sf):
+    """Four snapshots, one of them twice: a run writes the tenth of the customers that moved."""
+    history = IntervalStore(_store(spark), "history/customers")
+    for day in (0, 1, 2, 2, 3):
+        history.apply(_moves(spark, sf, day))
+    return history.read().select("customer_id", "region", "updated_at", "valid_from", "valid_to", "is_current")
+
+
 @query(
     "I2_scd2_from_log",
     """select order_item_id, updated_at, updated_at as valid_from,
@@ -301,6 +337,20 @@ def _(spark, sf):
     return spark.read.parquet(target).drop("_batch_id", "_loaded_at", "_source_file")
 
 
+@query("U1_stream_mixed_headers", _CONFORMED, "discount_pct")
+def _(spark, sf):
+    """Files of one folder name their columns in two orders, some with a column more; every row lands once."""
+    rows, folder = _as_text(T.raw_orders(spark, sf)), scratch_path(spark, "landing-mixed")
+    even = F.col("order_id").cast("bigint") % 2 == 0
+    turned = rows.select(*[F.col(c).alias(c.upper()) for c in reversed(rows.columns)], F.lit("x").alias("note"))
+    for part in (rows.where(even), turned.where(~even)):
+        part.write.mode("append").option("header", True).option("escape", '"').csv(folder)
+    store, check = _store(spark), scratch_path(spark, "stream-state")
+    for _again in range(2):
+        ingest_files(store, "orders", stream_files(spark, folder), check).awaitTermination()
+    return store.read("streamed/orders").drop("_batch_id", "_loaded_at", "_source_file")
+
+
 def _events(spark, sf) -> DataFrame:
     schema = T.table(spark, sf, "events").schema
     stream = U.stream_parquet(spark, sf, schema, "events.parquet")

@@ -50,6 +50,21 @@ def scd2_apply(history: DataFrame, incoming: DataFrame, key: str = "customer_id"
     return history.filter("not is_current").unionByName(touched)
 
 
+def changed_rows(current: DataFrame, fresh: DataFrame, key: str = "customer_id", updated_at: str = "updated_at") -> DataFrame:
+    """Rows that a snapshot adds to a history: new open rows, and closed forms of the rows they replace.
+
+    ``current`` holds the open rows, ``fresh`` the snapshot as open intervals in the same columns.  Rows that
+    did not advance leave no row here; null keys meet each other.
+    """
+    old = current.select(F.col(key).alias("_old_key"), F.struct(*fresh.columns).alias("_old"))
+    new = fresh.select(F.col(key).alias("_key"), F.struct(*fresh.columns).alias("_new"))
+    both = new.join(old, F.col("_key").eqNullSafe(F.col("_old_key")), "left")
+    advanced = F.col(f"_new.{updated_at}") > F.col(f"_old.{updated_at}")
+    closed = F.col("_old").withField("valid_to", F.col(f"_new.{updated_at}")).withField("is_current", F.lit(False))
+    rows = F.when(F.col("_old").isNull(), F.array("_new")).when(advanced, F.array(closed, "_new"))
+    return both.select(F.inline(rows))  # a null array has no rows
+
+
 def scd2_from_log(
     log: DataFrame, key: str, updated_at: str = "updated_at", order_by: Sequence[str] = (), chunk: str = "month"
 ) -> DataFrame:

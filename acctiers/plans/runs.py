@@ -20,6 +20,7 @@ from acctiers.plans.tiers import TierRun, score_customers
 from acctiers.plans.warehouse import Warehouse
 from acctiers.session import freeze, literal_rows
 from acctiers.settings import MODEL_FEATURES, SOURCES, TIERING, tier_names
+from acctiers.sources.intervals import IntervalStore
 from acctiers.sources.loader import AUDIT, CHECKS, empty_audit, persist_checks
 from acctiers.sources.store import Store
 
@@ -52,14 +53,18 @@ def build_marts(store: Store) -> None:
         store.write(wh.model(name), f"marts/{name}", "replace")
 
 
+def customer_history(store: Store) -> IntervalStore:
+    return IntervalStore(store, "history/customers_snapshot")
+
+
 def snapshot_customers(store: Store) -> int:
-    """History of the customer attributes: the first run opens it, later runs apply what has changed."""
-    name = "history/customers_snapshot"
+    """History of the customer attributes: the first run opens it, later runs write what has changed alone.
+
+    Returns the rows of the history."""
     wh = Warehouse({s: store.read(f"raw/{s}") for s in ("customers", "products", "orders", "order_items")})
-    current = wh.stg_customers.select(*H.CUSTOMER_ATTRIBUTES)
-    if not store.exists(name):
-        return store.write(H.open_interval(current), name, "replace")
-    return store.replace_from_itself(H.scd2_apply(store.read(name), current), name)
+    history = customer_history(store)
+    history.apply(wh.stg_customers.select(*H.CUSTOMER_ATTRIBUTES))
+    return history.rows()
 
 
 def store_checks(store: Store, now: datetime | None = None, run_id: str | None = None) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,13 +44,17 @@ def empty_to_null(df: DataFrame) -> DataFrame:
     return df.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
 
 
-def extract_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def extract_csv(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True, file_column: str | None = None) -> DataFrame:
     """All columns as text, only the empty string is null; a record that does not fit the header is an error.
 
     Line breaks inside quotes are part of their field, and a large file is still read by many tasks (see
     ``records``).  ``multi_line=False`` saves the look at quotes for sources that hold no quoted line break; one
-    that does then breaks its record, which is an error, too.
+    that does then breaks its record, which is an error, too.  ``file_column`` names a column for the name of the
+    file a record is from.
     """
+    if file_column and not multi_line:
+        raise ValueError("file_column needs multi_line")
+    path = path if isinstance(path, str) else list(path)
     options = {"header": True, "inferSchema": False, "escape": '"', "multiLine": multi_line}
     names = spark.read.options(**options).csv(path).columns
     broken = "_broken_record"
@@ -58,19 +62,21 @@ def extract_csv(spark: SparkSession, path: str, multi_line: bool = True) -> Data
     if multi_line:
         read = {"escape": '"', "columnNameOfCorruptRecord": broken, "mode": "PERMISSIVE", "multiLine": "true"}
         rows = records(spark, path).where("not first and record <> ''")
-        raw = _parsed(rows, schema, read)
+        file = [F.url_decode(F.replace(F.element_at(F.split("file", "/"), -1), F.lit("+"), F.lit("%2B"))).alias(file_column)] if file_column else []
+        raw = _parsed(rows, schema, read, file)
     else:
         raw = spark.read.schema(schema).options(**options, columnNameOfCorruptRecord=broken).csv(path)
     message = F.concat(F.lit("record does not fit the header: "), F.col(broken))
     checked = F.when(F.col(broken).isNotNull(), F.raise_error(message)).otherwise(F.nullif(F.col(f"`{names[0]}`"), F.lit("")))
     first = checked.alias(names[0].strip().lower())
     rest = [F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c.strip().lower()) for c in names[1:]]
-    return raw.select(first, *rest)
+    return raw.select(first, *rest, *([file_column] if file_column else []))
 
 
-def _parsed(rows: DataFrame, schema: T.StructType, options: Mapping[str, str]) -> DataFrame:
+def _parsed(rows: DataFrame, schema: T.StructType, options: Mapping[str, str], more: Sequence[Column] = ()) -> DataFrame:
     ddl = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema)
-    return rows.select(F.from_csv("record", F.lit(ddl), dict(options)).alias("r")).select("r.*")
+    parsed = rows.select(F.from_csv("record", F.lit(ddl), dict(options)).alias("_record"), *more)
+    return parsed.select("_record.*", *parsed.columns[1:])
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +101,7 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def file_checksums(spark: SparkSession, path: str) -> DataFrame:
+def file_checksums(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(path, length, checksum): MD5 of each file, of any size.
 
     MD5 needs the bytes in order, so the lines of a file are sorted by byte range into one task, which streams
@@ -145,12 +151,14 @@ def _conform_column(text: Column, name: str, kind: str) -> Column:
     return _checked(text, text.try_cast(spark_type), name, kind)
 
 
-def conform(source: str, df: DataFrame, contracts: Mapping | None = None) -> tuple[DataFrame, list[str]]:
-    """Cast to the contract in one projection; also the names of the columns left out."""
+def conform(
+    source: str, df: DataFrame, contracts: Mapping | None = None, keep: Sequence[str] = ()
+) -> tuple[DataFrame, list[str]]:
+    """Cast to the contract in one projection; also the names of the columns left out.  ``keep`` stays as it is."""
     contract = (contracts or S.CONTRACTS)[source]
-    dropped = [c for c in df.columns if c not in contract]
+    dropped = [c for c in df.columns if c not in contract and c not in keep]
     columns = [
         (_conform_column(F.col(n), n, kind) if n in df.columns else F.lit(None).cast(SPARK_TYPES[kind])).alias(n)
         for n, (kind, _) in contract.items()
     ]
-    return df.select(*columns), dropped
+    return df.select(*columns, *keep), dropped

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from acctiers import settings as S
@@ -44,7 +45,7 @@ def persist_checks(store: Store, checks: DataFrame, run_id: str | None, at: date
     return store.append_evolving(stamp(checks, run_id, at), CHECKS)
 
 
-def _checksum(spark: SparkSession, path: str) -> str | None:
+def checksum_of(spark: SparkSession, path: str | Sequence[str]) -> str | None:
     """One digest for the landed path: file digests in path order, folded again when there are several."""
     files = file_checksums(spark, path).agg(F.sort_array(F.collect_list(F.struct("path", "checksum"))).alias("f"))
     sums = F.transform("f", lambda x: x["checksum"])
@@ -52,6 +53,15 @@ def _checksum(spark: SparkSession, path: str) -> str | None:
     return files.select(folded).first()[0]
 
 
+def check_volume(store: Store, source: str, strategy: str, rows: int, table_rows: int) -> list[Row]:
+    """The volume check of a batch, one row; call it before the batch has its own audit row."""
+    history = store.read_or_none(AUDIT)
+    batch = store.spark.createDataFrame(
+        [(source, strategy, rows, table_rows)], "source string, strategy string, rows_loaded bigint, table_rows bigint"
+    )
+    return M.check_batch_volume(batch, empty_audit(store.spark) if history is None else history).collect()
+
+
 def load_source(
     store: Store,
     source: str,
@@ -83,7 +93,7 @@ def load_source(
     table, column = f"raw/{source}", spec["watermark"]
     strategy = "full_refresh" if full_refresh else spec["strategy"]
     before = store.max_value(table, column) if strategy == "incremental" else None
-    checksum = _checksum(spark, path)
+    checksum = checksum_of(spark, path)
     seen, kept = Observation(), Observation()
     typed, dropped = conform(source, landed.observe(seen, F.count(F.lit(1)).alias("rows")))
     fresh = with_audit(after_watermark(typed, column, before, lookback), batch_id, started, path.rsplit("/", 1)[-1])
@@ -96,12 +106,7 @@ def load_source(
     newest = [m for m in (before, kept.get["newest"]) if m is not None]
     table_rows, after = rows if strategy == "full_refresh" else store.rows(table), max(newest, default=None)
 
-    # history is read before this batch's own audit row is written
-    history = store.read_or_none(AUDIT)
-    batch = spark.createDataFrame(
-        [(source, strategy, rows, table_rows)], "source string, strategy string, rows_loaded bigint, table_rows bigint"
-    )
-    volume = M.check_batch_volume(batch, empty_audit(spark) if history is None else history).collect()  # one row
+    volume = check_volume(store, source, strategy, rows, table_rows)
     finished = datetime.now(UTC)
     record = (
         batch_id,
@@ -126,7 +131,6 @@ def load_source(
     return Loaded(source, batch_id, strategy, extracted, rows, table_rows, dropped)
 
 
-
 def load_all(
     store: Store, paths: dict[str, str], run_id: str | None = None, full_refresh: bool = False
 ) -> list[Loaded]:

@@ -42,7 +42,7 @@ def line_end(state: int, line: str) -> int:
     return INSIDE if _NEVER_CLOSED.match(line) or _OPEN_AGAIN.match(line) else OUTSIDE
 
 
-def file_lines(spark: SparkSession, path: str) -> DataFrame:
+def file_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(line, file, block): lines in file order inside each byte range ``block``."""
     text = spark.read.option("lineSep", "\n").option("recursiveFileLookup", True).text(path)
     return text.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
@@ -117,7 +117,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _PIECES.types, strict=True)], schema=_PIECES)
 
 
-def records(spark: SparkSession, path: str) -> DataFrame:
+def records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, first, record): every CSV record of the files, ``first`` for the first one of each file."""
     lines = file_lines(spark, path)
     # ranges with quotes know their state; one without takes it from the last one before it

@@ -30,6 +30,15 @@ class Store:
         marker, files = self._file(self.path(name))
         return files.exists(marker)
 
+    def listed(self, name: str) -> list[str]:
+        """Names in a folder of the store, in order; none where there is no folder."""
+        marker, files = self._file(self.path(name))
+        return sorted(str(s.getPath().getName()) for s in files.listStatus(marker)) if files.exists(marker) else []
+
+    def remove(self, name: str) -> None:
+        marker, files = self._file(self.path(name))
+        files.delete(marker, True)
+
     def _schema_path(self, name: str) -> str:
         return f"{self.root}/_schemas/{name}.json"
 
@@ -43,7 +52,7 @@ class Store:
         stream.close()
         return T.StructType.fromJson(json.loads(text))
 
-    def _note_schema(self, name: str, schema: T.StructType) -> None:
+    def note_schema(self, name: str, schema: T.StructType) -> None:
         marker, files = self._file(self._schema_path(name))
         stream = files.create(marker, True)
         stream.write(bytearray(schema.json().encode()))
@@ -69,7 +78,7 @@ class Store:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.mode({"append": "append", "replace": "overwrite"}[mode]).parquet(self.path(name))
-        self._note_schema(name, df.schema)
+        self.note_schema(name, df.schema)
         return counted.get["rows"]
 
     def append_evolving(self, df: DataFrame, name: str) -> int:
@@ -91,7 +100,7 @@ class Store:
             .partitionBy(column)
             .parquet(self.path(name))
         )
-        self._note_schema(name, df.schema)
+        self.note_schema(name, df.schema)
 
     def replace_from_itself(self, df: DataFrame, name: str) -> int:
         """Replace a table by a result computed from it: the result is checkpointed first."""
@@ -103,7 +112,6 @@ class Store:
             return None
         return self.read(name, [column]).agg(F.max(column)).first()[0]
 
-
     def rows(self, name: str) -> int:
         """Row count of a table; without columns the files' footers answer it."""
         return self.read(name).count()
@@ -120,9 +128,9 @@ def after_watermark(df: DataFrame, column: str, watermark, lookback: str | None
     return df.filter(F.col(column) > start)
 
 
-def with_audit(df: DataFrame, batch_id: str, loaded_at, source_file: str | None = None) -> DataFrame:
+def with_audit(df: DataFrame, batch_id: str, loaded_at, source_file: str | Column | None = None) -> DataFrame:
     """Audit columns; without a name the file each row came from is used."""
-    file = F.lit(source_file) if source_file else F.element_at(F.split(F.input_file_name(), "/"), -1)
+    file = F.lit(source_file) if source_file is not None else F.element_at(F.split(F.input_file_name(), "/"), -1)
     return df.withColumns(
         {"_batch_id": F.lit(batch_id), "_loaded_at": F.lit(loaded_at).cast("timestamp"), "_source_file": file}
     )

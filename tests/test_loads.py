@@ -303,7 +303,7 @@ def test_stored_checks_and_snapshot(spark, tmp_path):
     moved = store.read("raw/customers").withColumns({"region": F.lit("MOVED"), "updated_at": F.lit(datetime(2002, 1, 1)).cast("timestamp_ntz")})
     store.replace_from_itself(moved, "raw/customers")
     assert runs.snapshot_customers(store) == 2 * n
-    assert store.read("history/customers_snapshot").filter("is_current and region = 'MOVED'").count() == n
+    assert runs.customer_history(store).read().filter("is_current and region = 'MOVED'").count() == n
 
 
 def test_stored_features_read_only_their_months(spark, tmp_path):

@@ -69,9 +69,10 @@ class BytePairs:
 
     def _neighbours(self, left: int, right: int) -> bool:
         """Undo merges at the border, latest first; a merge across it that came earlier breaks the pair."""
-        limit, merged, halves = len(self.tokens), self.merged, self.halves
+        limit, find, halves = len(self.tokens), self.merged.get, self.halves
         while True:
-            if merged.get((left, right), limit) < limit:
+            made = find((left, right))
+            if made is not None and made < limit:
                 return False
             # the side made by the later merge is undone; at equal ranks the left one was made first
             inner_left, inner_right = halves[left][1], halves[right][0]
@@ -93,15 +94,14 @@ class BytePairs:
 
     def last_token(self, data: bytes, end: int, lasts: list[int]) -> int:
         """Last token of the encoding of data[:end], given those of all shorter prefixes."""
-        ids, valid = self.ids, self._valid
+        find, known = self.ids.get, self._valid.get
         for start in range(max(0, end - self.longest), end):
-            part = data[start:end]
-            if part in ids:
-                token = ids[part]
+            token = find(data[start:end])
+            if token is not None:
                 if not start:
                     return token
-                known = valid.get(lasts[start] << 24 | token)
-                if known or known is None and self.valid_pair(lasts[start], token):
+                fits = known(lasts[start] << 24 | token)
+                if fits or fits is None and self.valid_pair(lasts[start], token):
                     return token
         raise ValueError(f"no token of the vocabulary ends the bytes before {end}")
 

@@ -108,3 +108,27 @@ def test_query_digests(spark, documents, small_docs, library):
         assert rows[d]["n_tokens"] == len(ids)
         assert rows[d]["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert rows[d]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest()
+
+
+def test_a_prefix_asks_for_each_part_once():
+    """The last token of a prefix costs one look-up per part, also where the part is a token."""
+
+    class Counted(dict):
+        asked = 0
+
+        def __contains__(self, key):
+            Counted.asked += 1
+            return super().__contains__(key)
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return super().__getitem__(key)
+
+        def get(self, key, default=None):
+            Counted.asked += 1
+            return super().get(key, default)
+
+    pairs = bpe.BytePairs([b"a", b"b", b"c", b"ab", b"abc"])
+    pairs.ids = Counted(pairs.ids)
+    assert pairs.last_token(b"abc", 3, [-1, 0, 3]) == 4
+    assert Counted.asked == 1

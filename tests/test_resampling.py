@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from acctiers.plans import resampling as RS
 from acctiers.plans import validation as V
+from acctiers.plans.scoring import weighted_score
 
 
 def tau_b(x, y):
@@ -50,6 +51,50 @@ def test_tau_without_spread_is_null(spark):
     assert V.kendall_tau(points, 5).first()["tau"] is None
 
 
+def test_scores_of_draws_round_as_spark_does(spark):
+    """Halves of the last place, nulls, not-a-numbers and totals beyond 0..100."""
+    rng = np.random.default_rng(5)
+    rows = [(float(a), float(b)) for a, b in zip(rng.integers(0, 2_000_001, 3000) / 2e6, rng.integers(-20, 30, 3000) / 16, strict=True)]
+    rows += [(None, 0.5), (0.5, None), (float("nan"), 0.1), (0.0, 0.0), (0.1234565, 0.0), (0.5, 9.0)]
+    frame = spark.createDataFrame(rows, "a double, b double")
+    weights = [{"a": 1.0, "b": 0.0}, {"a": 0.7, "b": 0.3}, {"a": 0.3, "b": 0.1}]
+    found = V._Draws(weights, [])
+    features, null = found.features(frame.toArrow())
+    for draw, w in enumerate(weights):
+        want = [r[0] for r in frame.select(weighted_score(w)).collect()]
+        total = [None if a is None or b is None else a for a, b in rows]
+        want = [v if t is not None else 0.0 for v, t in zip(want, total, strict=True)]
+        assert (found.scores(features, null, draw) / 10_000).tolist() == want
+
+
+@pytest.mark.parametrize("bins", [1, 6, 200])
+def test_draws_over_many_buckets(spark, monkeypatch, bins):
+    """Equal scores across tier bounds, a third of the customers alike, points moved a few customers at a time: as counted pair by pair;
+    no row but the customers is copied to every draw."""
+    monkeypatch.setattr(V, "BUCKET_CUSTOMERS", 40)
+    monkeypatch.setattr(V, "BUCKET_POINTS", 300)
+    monkeypatch.setattr(V, "SPAN_CUSTOMERS", 50)
+    monkeypatch.setattr(V.F, "explode", None)  # draws are worked out inside tasks
+    rng = np.random.default_rng(8)
+    n, names, tiers = 400, ["a", "b", "c"], [("Gold", 0.25), ("Silver", 0.35), ("Bronze", 0.4)]
+    frame = pd.DataFrame({"customer_id": rng.permutation(n) + 10**12, **{c: (rng.integers(0, 11, n) / 10) for c in names}})
+    frame.loc[rng.random(n) < 0.3, names] = 0.5
+    weights = {"a": 0.5, "b": 0.3, "c": 0.2}
+    got = {r["draw"]: (r["tau"], r["agreement"]) for r in V.sensitivity_draws(spark.createDataFrame(frame), weights, tiers, 5, 0.9, 3, bins).collect()}
+
+    def judged(w):
+        score = (sum(frame[c] * v for c, v in w.items()) * 100).clip(0, 100).round(4).to_numpy()
+        place = np.empty(n, int)
+        place[np.lexsort((frame["customer_id"], -score))] = np.arange(1, n + 1)
+        return score, np.where(place / n - 1e-12 <= 0.25, "Gold", np.where(place / n - 1e-12 <= 0.6, "Silver", "Bronze"))
+
+    x, base = judged(weights)
+    assert len(got) == 5
+    for draw, w in enumerate(V.perturbed_weights(weights, 5, 0.9, 3)):
+        y, tier = judged(w)
+        assert got[draw] == (pytest.approx(tau_b(x, y), abs=1e-12), pytest.approx((tier == base).mean(), abs=1e-12))
+
+
 def table(n=700, seed=3):
     rng = np.random.default_rng(seed)
     x = np.where(rng.random(n) < 0.35, 0.0, rng.integers(0, 40, n)).astype(float)  # a hot value over many partitions

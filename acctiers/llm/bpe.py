@@ -29,6 +29,8 @@ from acctiers.llm.runtime import keyed_text
 
 CACHED_PIECES = 700_000
 CACHED_PAIRS = 1_000_000
+CACHED_HEADS = 200_000
+HEAD, LEVELS = 2, 6  # bytes by which the heads shared between pieces grow, and how often they do
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -52,9 +54,14 @@ class BytePairs:
         self.tokens = tokens
         self.ids = {t: i for i, t in enumerate(tokens)}
         self.longest = max(map(len, tokens), default=0)
+        self.reach: dict[bytes, int] = {}  # length of the longest token by its last three bytes
+        for token in tokens:
+            if len(token) > self.reach.get(token[-3:], 2):
+                self.reach[token[-3:]] = len(token)
         self.halves: list[tuple[int, int]] = []
         self.merged: dict[tuple[int, int], int] = {}
         self._valid: dict[int, bool] = {}
+        self._heads: dict[bytes, list[int]] = {}
         for token_id, token in enumerate(tokens):
             self.halves.append(self._halves_of(token_id, token))
 
@@ -95,7 +102,8 @@ class BytePairs:
     def last_token(self, data: bytes, end: int, lasts: list[int]) -> int:
         """Last token of the encoding of data[:end], given those of all shorter prefixes."""
         find, known = self.ids.get, self._valid.get
-        for start in range(max(0, end - self.longest), end):
+        reach = self.reach.get(data[end - 3 : end], 2) if end > 2 else end
+        for start in range(end - reach if end > reach else 0, end):
             token = find(data[start:end])
             if token is not None:
                 if not start:
@@ -105,17 +113,29 @@ class BytePairs:
                     return token
         raise ValueError(f"no token of the vocabulary ends the bytes before {end}")
 
+    def lasts_of(self, head: bytes) -> list[int]:
+        """Last tokens of all prefixes of the head of a piece; many pieces begin alike."""
+        lasts = self._heads.get(head)
+        if lasts is None:
+            lasts = list(self.lasts_of(head[:-HEAD])) if head else [-1]
+            for end in range(len(lasts), len(head) + 1):
+                lasts.append(self.last_token(head, end, lasts))
+            if len(self._heads) >= CACHED_HEADS:
+                self._heads.clear()
+            self._heads[head] = lasts
+        return lasts
+
     def encode(self, data: bytes) -> tuple[int, ...]:
         whole = self.ids.get(data)
-        return (whole,) if whole is not None else PrefixEncoder(self, data).ids()
+        return (whole,) if whole is not None else PrefixEncoder(self, data, min((len(data) - 1) // HEAD, LEVELS) * HEAD).ids()
 
 
 class PrefixEncoder:
-    """A byte string with the last token of each of its prefixes."""
+    """A byte string with the last token of each of its prefixes; those of its first ``head`` bytes are looked up."""
 
-    def __init__(self, vocabulary: BytePairs, data: bytes = b""):
-        self.vocabulary, self.data, self.lasts = vocabulary, b"", [-1]
-        self.append(data)
+    def __init__(self, vocabulary: BytePairs, data: bytes = b"", head: int = 0):
+        self.vocabulary, self.data, self.lasts = vocabulary, data[:head], list(vocabulary.lasts_of(data[:head]))
+        self.append(data[head:])
 
     def append(self, more: bytes) -> None:
         begin, self.data = len(self.data), self.data + more

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import itertools
 import random
 
 import public_tokenizers
@@ -132,3 +133,17 @@ def test_a_prefix_asks_for_each_part_once():
     pairs.ids = Counted(pairs.ids)
     assert pairs.last_token(b"abc", 3, [-1, 0, 3]) == 4
     assert Counted.asked == 1
+
+
+def test_pieces_that_begin_alike_share_their_prefixes(monkeypatch):
+    """Same ids as without shared heads, with fewer prefixes worked out; tokens of every length, heads thrown away in between."""
+    tokens = [bytes([c]) for c in b"abc"] + [b"ab", b"bc", b"ca", b"abc", b"cab", b"abcab", b"bcabca", b"abcabcab"]
+    monkeypatch.setattr(bpe, "CACHED_HEADS", 50)
+    pieces = [bytes(p) for n in range(1, 10) for p in itertools.product(b"abc", repeat=n) if n < 7 or p[:6] == tuple(b"abcabc")]
+    want = [bpe.PrefixEncoder(bpe.BytePairs(tokens), p).ids() for p in pieces]
+    pairs, calls = bpe.BytePairs(tokens), []
+    plain = pairs.last_token
+    monkeypatch.setattr(pairs, "last_token", lambda *a: calls.append(1) or plain(*a))
+    ids = [pairs.ids.get(p) for p in pieces]
+    assert [pairs.encode(p) for p in pieces] == [(i,) if i is not None else w for i, w in zip(ids, want, strict=True)]
+    assert len(calls) < sum(map(len, pieces)) / 2 and len(pairs._heads) <= 50

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from acctiers.operators import expect as K
 from acctiers.operators import monitor as M
 from acctiers.plans import published as P
 from acctiers.plans.warehouse import Warehouse
-from acctiers.session import freeze
+from acctiers.session import freeze, kept
 from acctiers.sources import testtables as T
 
 NOW = datetime(2001, 7, 15)
@@ -157,6 +157,8 @@ _WAREHOUSE_TESTS = [*D.RAW_TESTS, *D.STAGING_TESTS, *D.MART_TESTS]
 @query("J_warehouse_tests", " union all ".join(_count_sql(t) for t in _WAREHOUSE_TESTS))
 def _(spark, sf):
     w = Warehouse.from_test_tables(spark, sf)
+    for name in ("stg_orders", "stg_order_items", "int_order_lines", "fct_orders"):  # the nodes that fan out
+        setattr(w, name, kept(w.model(name), name))
     return D.count_failures(_WAREHOUSE_TESTS, lambda name: w.raw[name[4:]] if name.startswith("raw_") else w.model(name))
 
 
@@ -170,15 +172,10 @@ def _tiering_test_sql(test: D.DataTest) -> str:
     return sql.replace("from mart_customer_tiers ", "from segmented_mart ") if test.column == "segment" else sql
 
 
-def segmented(spark, sf) -> DataFrame:
-    """The current tiers with the segment of each customer."""
-    return Inputs(spark, sf).run(segment=True).tiers
-
-
 @query("J_tiering_tests", " union all ".join(_tiering_test_sql(t) for t in D.TIERING_TESTS))
 def _(spark, sf):
     scored = Scored(spark, sf)
-    mart = freeze(P.mart_customer_tiers(segmented(spark, sf), scored.warehouse.dim_customers, scored.history))
+    mart = freeze(P.mart_customer_tiers(scored.segmented(), scored.warehouse.dim_customers, scored.history))
     models = {
         "mart_customer_tiers": mart,
         "mart_tier_summary": P.mart_tier_summary(mart),
@@ -256,13 +253,14 @@ PARTS["expectations"] = " union all ".join(
 
 
 def _relation(spark, sf):
-    w = Warehouse.from_test_tables(spark, sf)
+    raw = T.raw_tables(spark, sf)
+    inputs = cache(lambda: Inputs(spark, sf))  # marts and tiers share the stored orders
 
     def find(name: str) -> DataFrame:
         layer, table = name.split(".")
         if layer == "tiering":
-            return segmented(spark, sf)
-        return w.raw[table] if layer == "raw" else w.model(table)
+            return inputs().run(segment=True).tiers
+        return raw[table] if layer == "raw" else inputs().warehouse.model(table)
 
     return find
 
@@ -319,7 +317,7 @@ query(
         f"select * from ({_expectation_sql(suite, i, e, _COLUMN_COUNTS)})" for suite in K.TIERING for i, e in enumerate(suite.expectations, 1)
     ),
     "observed_value",
-)(lambda s, d: reduce(DataFrame.unionByName, [K.run_suite(segmented(s, d), suite) for suite in K.TIERING]))
+)(lambda s, d: reduce(DataFrame.unionByName, [K.run_suite(find(suite.relation), suite) for find in [_relation(s, d)] for suite in K.TIERING]))
 
 _SUMMARY = """
 select 'data_quality' as check_type, suite as check_name, relation as target,

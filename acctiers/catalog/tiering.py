@@ -16,7 +16,7 @@ from acctiers.plans import tiers as TR
 from acctiers.plans.runs import CUSTOMER_INPUTS, ORDER_INPUTS, frames_from_sources
 from acctiers.plans.segments import behavioral_segments
 from acctiers.plans.warehouse import Warehouse
-from acctiers.session import freeze
+from acctiers.session import freeze, kept
 from acctiers.settings import SCORE_FEATURES, TIERING, merge
 from acctiers.sources import testtables as T
 
@@ -33,12 +33,14 @@ MART_ROUNDS = (
 
 
 class Inputs:
-    """The three tiering inputs.  Orders carry their categories, so lines are read once, and are
-    frozen in place of the stored table a production run reads."""
+    """The three tiering inputs.  Orders carry their categories, so lines are read once, and are stored as in a
+    production run: the features, the marts and the dashboards' tables all read them there."""
 
     def __init__(self, spark, sf):
         self.warehouse = Warehouse.from_test_tables(spark, sf)
-        self.orders = freeze(self.warehouse.fct_orders_with_categories.select(*ORDER_INPUTS, "categories"))
+        self.warehouse.fct_orders = kept(self.warehouse.fct_orders_with_categories, "fct_orders")
+        carried = [c for c in ("categories", "category_bits") if c in self.warehouse.fct_orders.columns]
+        self.orders = self.warehouse.fct_orders.select(*ORDER_INPUTS, *carried)
         self.lines = FT.lines_from_orders(self.orders)
         self.customers = self.warehouse.stg_customers.select(*CUSTOMER_INPUTS)
 
@@ -291,9 +293,15 @@ class Scored(Inputs):
         kept = ["customer_id", "as_of_date", "composite_score", "tier", "tier_rank"]
         run = self.run(RUN_DATES)
         self.history = run.tiers.select(*kept)
-        self.tiers = run.at(RUN_DATES[-1]).tiers
+        self.current = run.at(RUN_DATES[-1])
+        self.tiers = self.current.tiers
         self.mart = P.mart_customer_tiers(self.tiers, self.warehouse.dim_customers, self.history)
 
+    def segmented(self) -> DataFrame:
+        """The current tiers with the segment of each customer."""
+        found = behavioral_segments(self.current.normalized(), list(TIERING["features"]), TIERING["segments"])
+        return self.tiers.join(found.labels, "customer_id")
+
 
 query("F3_previous_tier", "select customer_id, as_of_date, tier, previous_tier, previous_tier_rank from previous")(
     lambda s, d: P.previous_runs(Scored(s, d).history).select(

@@ -17,8 +17,11 @@ beyond the slack.
 
 *No pairs inside a group.*  Equal sets are one class.  Classes that share an index entry are first compared
 with a random class of the entry (a hub), the few hubs they share most entries with; links make components.
+In further rounds classes meet hubs of other components, and the few with the nearest sketches (small, and
+bounding the difference from below) are compared.  Hubs are drawn evenly, so the close ones also tell how many
+pairs have close sketches; rounds go on while these are many and enough of the compared ones link.
 Then all pairs of classes that are still in different components and share an entry are compared in full,
-first by small sketches that bound the difference from below.  Linked sets share several entries of the
+sketches first.  Linked sets share several entries of the
 larger one's scheme, so that set leaves its most frequent ones out.  So copies cost a
 few comparisons each, while no link between components is missed.
 
@@ -50,9 +53,8 @@ U = np.uint64
 BAND_RATIO = 1.5
 OVERFLOW_PRICE = 1e5  # index entries that one set beyond the slack is worth: such sets are to be very rare
 HUBS = 3
-FULL_PAIRS = 500.0  # all pairs are compared by sketches once they are at most so many per index row
-ROUNDS = 3  # rounds of hubs after the first one
-SLOW = 0.005  # or once a round of hubs links at most this share of the classes left
+FULL_PAIRS = 0.25  # all pairs are compared once about so many per index row have close sketches
+SLOW = 0.05  # or once at most this share of the pairs of a round of hubs link
 SKETCH = 16  # 64-bit words of a set's sketch
 BROADCAST_IDS = 500_000
 
@@ -320,24 +322,28 @@ class _Join:
         sets = texts.mapInArrow(_entries(n), "id bigint, entries binary, sketch array<bigint>")
         self.sets = stored(sets.dropDuplicates(["id"]), "sets")
 
-    def compare(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) that link.  Sketches turn away pairs that differ too much before sets are fetched."""
+    def close(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) whose sketches leave a link possible, and in how many bits these differ (``apart``)."""
         size = F.octet_length("entries") / 8
         light = self.sets.select("id", "sketch", size.alias("size"))
         one, two = (light.select(F.col("id").alias(i), F.col("sketch").alias(k), F.col("size").alias(n)) for i, k, n in (("a", "x", "s"), ("b", "y", "t")))
-        apart = F.aggregate(
-            F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, bits: total + bits
-        )
-        close = pairs.join(one, "a").join(two, "b").where(apart * (self.den + self.num) <= (F.col("s") + F.col("t")) * (self.den - self.num))
-        close = close.select("a", "b")
+        apart = sum(F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])) for i in range(SKETCH))
+        met = pairs.join(one, "a").join(two, "b").withColumn("apart", apart)
+        return met.where(F.col("apart") * (self.den + self.num) <= (F.col("s") + F.col("t")) * (self.den - self.num)).drop("x", "y", "s", "t")
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) that link."""
         one, two = (self.sets.select(F.col("id").alias(i), F.col("entries").alias(e)) for i, e in (("a", "x"), ("b", "y")))
-        return close.join(one, "a").join(two, "b").mapInArrow(_verify(self.num, self.den), "a bigint, b bigint")
+        return pairs.select("a", "b").join(one, "a").join(two, "b").mapInArrow(_verify(self.num, self.den), "a bigint, b bigint")
 
     def similar_sizes(self, one, two):
         return self.den * F.least(one, two) >= self.num * F.greatest(one, two)
 
-    def hub_pairs(self, rows: DataFrame, salt: int) -> DataFrame:
-        """Each class with the hubs it shares most entries with; with components known, hubs of other ones."""
+    def met(self, rows: DataFrame, salt: int) -> DataFrame:
+        """Each class with the hubs of its keys, as pairs (a, b); with components known, hubs of other ones.
+
+        ``entries`` counts the keys where they meet, ``classes`` the classes of these keys.
+        """
         order = F.xxhash64(F.lit(salt), "class", "key")
         known = [c for c in ("component",) if c in rows.columns]
         hubs = rows.groupBy("key").agg(
@@ -347,15 +353,19 @@ class _Join:
             *[F.min_by(c, order).alias(f"hub_{c}") for c in known],
         )
         apart = [F.col(c) != F.col(f"hub_{c}") for c in known] or [F.col("class") != F.col("hub")]
-        met = (
+        return (
             rows.join(hubs.where("classes > 1"), "key")
             .where(apart[0] & self.similar_sizes("size", "hub_size"))
             .groupBy("class", "hub")
-            .agg(F.count(F.lit(1)).alias("entries"))
+            .agg(F.count(F.lit(1)).alias("entries"), F.sum("classes").alias("classes"))
+            .select("*", F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b"))
         )
-        best = Window.partitionBy("class").orderBy(F.desc("entries"), "hub")
+
+    def best(self, met: DataFrame, *order) -> DataFrame:
+        """Pairs of each class with its first few hubs."""
+        best = Window.partitionBy("class").orderBy(*order, "hub")
         top = met.withColumn("place", F.row_number().over(best)).where(F.col("place") <= HUBS)
-        return top.select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct()
+        return top.select("a", "b").distinct()
 
     def divided(self, labels: DataFrame) -> DataFrame:
         """Index rows of the keys that still meet several components, with each class's component."""
@@ -366,24 +376,22 @@ class _Join:
     def labels(self) -> DataFrame:
         """(class, component) of the classes that link, but for the smallest of each component."""
         spark = self.docs.sparkSession
-        tested = stored(self.hub_pairs(self.rows, 0), "pairs")
-        labels = components(self.compare(tested)).withColumnRenamed("node", "class")
+        tested = stored(self.best(self.met(self.rows, 0), F.desc("entries")), "pairs")
+        labels = components(self.linked(self.close(tested))).withColumnRenamed("node", "class")
         for salt in range(1, 100):
             with temporary(spark) as outlive:  # a round leaves the pairs it tested and the labels
                 rows = stored(self.divided(labels), "divided")
-                inside = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
-                    F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("same")
-                )
-                pairs_left = F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.lit(0.0))
-                left, size = inside.agg(pairs_left, F.coalesce(F.sum("n"), F.lit(0))).first()
-                if not left:
+                size = rows.count()
+                if not size:
                     return labels
-                if salt > ROUNDS and left <= FULL_PAIRS * size:
+                close = stored(self.close(self.met(rows, salt)).select("class", "hub", "a", "b", "classes", "apart"), "close")
+                # a hub stands for all classes of its key: about twice the rows that the join of all pairs would make
+                if close.agg(F.coalesce(F.sum("classes"), F.lit(0))).first()[0] <= 2 * FULL_PAIRS * size:
                     break
-                pairs = outlive(self.hub_pairs(rows, salt).join(tested, ["a", "b"], "left_anti"), "pairs")
-                more = stored(self.compare(pairs), "links")
+                pairs = outlive(self.best(close.join(tested, ["a", "b"], "left_anti"), "apart"), "pairs")
+                more = stored(self.linked(pairs), "links")
                 tested = tested.union(pairs)
-                few = more.count() <= SLOW * rows.select("class").distinct().count()
+                few = more.count() <= SLOW * pairs.count()
                 labels = outlive(self.merged(labels, more), "labels")
             if few:
                 break
@@ -410,7 +418,7 @@ class _Join:
             .distinct()
             .join(tested, ["a", "b"], "left_anti")
         )
-        return self.merged(labels, self.compare(stored(pairs, "pairs")))
+        return self.merged(labels, self.linked(stored(pairs, "pairs")))
 
     def merged(self, labels: DataFrame, links: DataFrame) -> DataFrame:
         """Labels after more links."""

@@ -123,3 +123,25 @@ def test_keys_follow_the_word_alone():
     keys = [W.split(*W.buffers(pa.array([t]))).keys(lower=True) for t in texts]
     assert keys[0].tolist() == keys[1][1:][::-1].tolist()
     assert len(set(keys[0].tolist())) == len({w.lower() for w in words})
+
+
+def test_large_group_of_near_copies_leaves_few_pairs(spark, monkeypatch):
+    """One pair in twenty of a group links: rounds of hubs join it, so few pairs are left for the join of all."""
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(147)]
+    rows = []
+    for number in range(200):
+        at = set(rng.choice(145, 2, replace=False).tolist())
+        rows.append((number, " ".join(f"x{rng.integers(10**9)}" if i in at else w for i, w in enumerate(words))))
+    pairs, store = [], jaccard.stored
+
+    def counted(df, name):
+        out = store(df, name)
+        if name == "pairs":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert got(jaccard.linked_components(df)) == brute(rows)
+    assert sum(pairs[1:]) <= len(rows) // 10, pairs  # after the first hubs; 173 by the pairs of random hubs and all that were left

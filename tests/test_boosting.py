@@ -80,6 +80,22 @@ def test_same_trees_however_rows_are_cut(spark, monkeypatch):
     assert sorted(kept.toPandas().margins.map(tuple)) == sorted(again.toPandas().margins.map(tuple))
 
 
+def test_a_task_per_fit_also_beyond_100_000_rows(spark, monkeypatch):
+    """No job per level at that size, and each fit has the trees of the passes over partitions."""
+    df = spark.range(101_000).selectExpr(
+        "id", "cast(id % 7 < 2 as double) label", "cast(id % 3 as int) fold", "id % 7 + id % 11 / 4.0 a", "cast(id % 13 as double) b", "cast(null as double) c"
+    )
+    jobs, real = [], X._job
+    monkeypatch.setattr(X, "_job", lambda *rest: jobs.append(1) or real(*rest))
+    one, _ = X.fit(df, INPUTS, [0, 1, None], "id", X.Settings(rounds=2))
+    assert not jobs and len(one.trees) == 2 and one.splits.min(1).tolist() == [0, 0, 0] and one.splits.max() > 0
+    monkeypatch.setattr(X, "ROWS_IN_ONE_TASK", 100_000)
+    two, _ = X.fit(df, INPUTS, [0, 1, None], "id", X.Settings(rounds=2))
+    assert len(jobs) == 8 and np.array_equal(one.gain, two.gain)
+    for a, b in zip(one.trees, two.trees, strict=True):
+        assert all(np.array_equal(getattr(a, name), getattr(b, name)) for name in ("feature", "upto", "missing", "leaf"))
+
+
 def test_model_scores_rows_like_its_margins(spark):
     df = frame(spark, rows(200))
     model, margins = X.fit(df, INPUTS, [0, 1, 2, None], "id", X.Settings(rounds=12, keep=5))

@@ -55,6 +55,42 @@ def test_trees_do_not_depend_on_the_way(data, grown, monkeypatch):
     assert len(both[0]) == 1500 and both[0] == pytest.approx(both[1], abs=1e-12)
 
 
+def test_scores_leave_a_task_summed(spark, data, grown, monkeypatch):
+    """One packed row per fit and piece of its trees, not one row per tree and customer."""
+    monkeypatch.setattr(forest, "TREES_PER_TASK", 5)
+    model, scores = forest.fit(data, INPUTS, [0, 1, 2, None], "customer_id", SMALL)
+    stored = spark.read.parquet(model.path.removesuffix("/kind=nodes"))
+    kinds = {r["kind"]: r["count"] for r in stored.groupBy("kind").count().collect()}
+    assert kinds["sums"] == 4 * 3 and kinds["nodes"] == 12 and "score" not in kinds
+    assert _scores(scores) == pytest.approx(grown[1], abs=1e-12)
+
+
+@pytest.mark.parametrize("width", [3, 9])
+def test_cells_with_rows_give_the_cuts_of_all_cells(width):
+    """A tree grown from the cells that hold rows is the one grown from dense counts, level by level."""
+    rng = np.random.default_rng(5)
+    settings = forest.Settings(maxDepth=7, minInstancesPerNode=3, bins=16)
+    plan = forest.Plan([-1], np.zeros((1, width), np.uint8), np.array([[0.7, 1.9]]), width, 42, settings)
+    bins = rng.integers(1, 16, (900, width)).astype(np.uint8)
+    label = ((bins[:, 0] > 9) ^ (rng.random(900) < 0.2)).astype(np.uint8)
+    n = plan.drawn(rng.integers(0, 1 << 62, 900), 4)
+    nodes, gains = forest._grow(plan, 4, 0, bins, label, n)
+    share, gained, ends = np.full(900, np.nan), np.zeros(width), [(0, np.arange(900), 0)]
+    while ends:
+        heap, rows, depth = ends.pop()
+        chosen = plan.chosen(np.array([heap]), 4)
+        counts = forest._counts(bins[rows], label[rows], n[rows], np.zeros(len(rows), int), chosen, 16)
+        gain, feature, upto, part = forest._cut(counts, chosen, plan.weights[0], 3)
+        if gain[0] and depth < 7:
+            gained[feature[0]] += gain[0]
+            left = bins[rows, feature[0]] <= upto[0]
+            ends += [(2 * heap + 1, rows[left], depth + 1), (2 * heap + 2, rows[~left], depth + 1)]
+        else:
+            share[rows] = part[0]
+    assert np.array_equal(nodes.share[nodes.place(bins)], share)
+    assert gains == pytest.approx(gained, rel=1e-9)
+
+
 def test_one_class_and_leaves_of_too_few_rows(spark):
     schema = "customer_id long, label double, fold int, x double"
     one = spark.createDataFrame([(i, 0.0, i % 2, float(i)) for i in range(30)], schema)

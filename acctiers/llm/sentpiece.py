@@ -289,8 +289,18 @@ class Vocabulary:
         data, offsets = _flat_bytes(pa.array(surface, pa.large_binary()).take(pa.array(flat)))
         ends = offsets[np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(lists)))])]
         raw = data.tobytes()
+        # bytes on both sides of a control id are never of one character
+        one, two = shown[:-1], shown[1:]
+        apart = (row[one] == row[two]) & (two - one > 1) & (kinds[flat[one]] == BYTE) & (kinds[flat[two]] == BYTE)
+        cuts: dict[int, list[int]] = {}
+        for at in two[apart].tolist():
+            cuts.setdefault(int(row[at]), []).append(int(offsets[at]))
         texts = []
         for i, skip in enumerate(strip.tolist()):
+            if i in cuts:
+                bounds = [ends[i] + skip, *cuts[i], ends[i + 1]]
+                texts.append("".join(_mended(raw[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)))
+                continue
             part = raw[ends[i] + skip : ends[i + 1]]
             try:
                 texts.append(part.decode())

@@ -38,6 +38,12 @@ def test_any_ids_decode_as_in_the_library(lists):
     assert OWN.decode(pa.array(lists, pa.list_(pa.int32()))).to_pylist() == [LIBRARY.decode(i) for i in lists]
 
 
+def test_a_control_id_parts_the_bytes_of_a_character():
+    """Bytes 0xC2 and 0x80 are one character side by side, none with a control id between them."""
+    lists = [[197, 131], [197, 1, 131], [5, 197, 1, 2, 131, 1, 300], [197, 1], [1, 131], [], [300, 1, 301]]
+    assert OWN.decode(pa.array(lists, pa.list_(pa.int32()))).to_pylist() == [LIBRARY.decode(i) for i in lists]
+
+
 @pytest.mark.parametrize("text", ["a" * 6000, " " * 6000 + "x", "ab" * 4000 + " " * 900 + "tail", "日" * 3000, "\U0010ffff" * 500, "word " * 5000])
 def test_long_words_and_runs(text):
     assert OWN.encode(pa.array([text, "", text]))[0].as_py() == library(text)
